@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, packing, quality, urls
+from . import decontam, licenses, packing, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,18 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's label is that of the document whose number its path carries: bad where the document's quality is 0."""
     pages = table(spark, sf_dir, "pages")
@@ -59,6 +71,7 @@ def queries() -> dict[str, Query]:
         "op5_quality_rules": op5_quality_rules,
         "op7_packing": op7_packing,
         "op8_license_scan": op8_license_scan,
+        "op9_decontamination": op9_decontamination,
         "op10_url_filter": op10_url_filter,
     }
 
