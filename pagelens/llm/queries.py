@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, packing, quality, urls
+from . import decontam, licenses, packing, pii, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    name = lambda c: F.concat_ws(":", c["kind"], c["start"].cast("string"), c["end"].cast("string"))
+    joined = lambda c: F.array_join(F.transform(c, name), ",")
+    counts = [F.size(F.expr(f"filter(base, c -> c.kind = '{k}')")).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"))
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -68,6 +76,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_pii": op1_pii,
         "op5_quality_rules": op5_quality_rules,
         "op7_packing": op7_packing,
         "op8_license_scan": op8_license_scan,
