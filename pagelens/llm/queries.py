@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, neardup, packing, pii, quality, urls
+from . import decontam, licenses, linededup, neardup, packing, pii, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = linededup.dedup(table(spark, sf_dir, "documents"), counts=True)
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.classes(table(spark, sf_dir, "documents"), params=neardup.Params(shingle_words=3, percent=85))
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
@@ -82,6 +87,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_pii": op1_pii,
+        "op2_line_dedup": op2_line_dedup,
         "op4_minhash": op4_minhash,
         "op5_quality_rules": op5_quality_rules,
         "op7_packing": op7_packing,
