@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, linededup, neardup, packing, pii, quality, urls
+from . import decontam, licenses, linededup, neardup, packing, pii, quality, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,14 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    net = toxicity.train(docs, labels.where(~held_out).select("doc_id", "toxic"))
+    scored = toxicity.score(docs, net)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.classes(table(spark, sf_dir, "documents"), params=neardup.Params(shingle_words=3, percent=85))
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
@@ -88,6 +96,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_pii": op1_pii,
         "op2_line_dedup": op2_line_dedup,
+        "op3_toxicity": op3_toxicity,
         "op4_minhash": op4_minhash,
         "op5_quality_rules": op5_quality_rules,
         "op7_packing": op7_packing,
