@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, linededup, neardup, packing, pii, quality, toxicity, urls
+from . import decontam, licenses, linededup, neardup, packing, pii, quality, repeats, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +48,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), (~base & F.col("kept")).alias("kept"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.dedup(table(spark, sf_dir, "documents"), with_bytes=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -99,6 +103,7 @@ def queries() -> dict[str, Query]:
         "op3_toxicity": op3_toxicity,
         "op4_minhash": op4_minhash,
         "op5_quality_rules": op5_quality_rules,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_packing": op7_packing,
         "op8_license_scan": op8_license_scan,
         "op9_decontamination": op9_decontamination,
