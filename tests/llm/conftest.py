@@ -1,6 +1,11 @@
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import SparkSession
 
+sys.path[:0] = [str(Path(__file__).parents[2])]
+
 
 @pytest.fixture(scope="session")
 def spark():
