@@ -1,14 +1,16 @@
-"""Two tools on keyed rows: groups of bounded size handed to a Python function, and connected components."""
+"""Tools on keyed rows: groups of bounded size handed to a Python function, connected components, and key filters of fixed size."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
+from . import text as X
 
 
 def in_blocks(df: DataFrame, key: str, sizes: DataFrame, blocks: Column, spread: Column, to: str = "task") -> DataFrame:
@@ -77,3 +79,47 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+
+
+#: Bits of a key filter, whatever the number of keys, and parts in which it is gathered.
+FILTER_BITS, _FILTER_PARTS = 23, 16
+
+
+def _bit(keys: np.ndarray) -> np.ndarray:
+    return (X.mix(keys.view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """A bit for each hash of the keys (one long column), packed to 1 MB. A key that isn't among them may find its bit set, never the reverse."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, any_row = np.zeros(1 << FILTER_BITS, bool), False
+        for batch in batches:
+            bits[_bit(X.longs(batch.column(0)))] = True
+            any_row = True
+        if any_row:
+            parts = np.split(np.packbits(bits), _FILTER_PARTS)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(_FILTER_PARTS)), pa.array([x.tobytes() for x in parts], pa.binary())], names=["part", "bits"])
+
+    def either(t: pa.Table) -> pa.Table:
+        bits = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in t.column("bits").to_pylist()])
+        return pa.table({"part": t.column("part").slice(0, 1), "bits": pa.array([bits.tobytes()], pa.binary())})
+
+    found = keys.mapInArrow(run, "part long, bits binary").groupBy("part").applyInArrow(either, "part long, bits binary").collect()
+    out = np.zeros((_FILTER_PARTS, (1 << FILTER_BITS) // 8 // _FILTER_PARTS), np.uint8)
+    for part, bits in found:
+        out[part] = np.frombuffer(bits, np.uint8)
+    return out.reshape(-1)
+
+
+def filtered(df: DataFrame, key: str, bits: np.ndarray, member: bool) -> DataFrame:
+    """The rows whose key may be in the filter; or, with member false, those whose key isn't in it for certain. Spares the others a shuffle."""
+    at, sent = df.columns.index(key), df.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.unpackbits(sent.value).view(bool)
+        for batch in batches:
+            hit = known[_bit(X.longs(batch.column(at).cast(pa.int64())))]
+            yield batch.filter(pa.array(hit if member else ~hit))
+
+    return df.mapInArrow(run, df.schema)

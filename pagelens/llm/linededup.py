@@ -1,12 +1,12 @@
 """Line dedup as an exact set-similarity join.
 
-A line's tokens are its adjacent pairs of words (lower-cased A-Z, split at white space; a line of one word is one token). Two lines match if the
+A line's tokens are its shingles of five words (lower-cased A-Z, split at white space; a shorter line is one token). Two lines match if the
 Jaccard similarity of their token sets is at least `percent` hundredths. A line is removed if it matches any earlier line of the corpus, in
 the order of key and line number, whether or not that one is removed itself.
 
-1. Rarity: occurrences of every token over the whole corpus, in a fixed number of hash buckets. It orders the tokens; any fixed order gives
-   the same result, a good one gives few candidates.
-2. Lines with the same set are one record with its first place; all its later places go.
+1. One pass counts the occurrences of every token over the whole corpus, in a fixed number of hash buckets, and numbers all lines. The rarity so
+   found orders the tokens; any fixed order gives the same result, a good one gives few candidates.
+2. Lines with the same tokens are one record with its first place; all its later places go.
 3. Prefix filter: of n tokens, the n - ceil(t n) + 1 rarest have to share one with a match. They meet by token; length and positional bounds
    prune, and of what remains a spanning forest is kept, never all pairs.
 4. In each group of records so joined, every record is verified against the earlier ones on full sets by counting common tokens. Large groups are
@@ -37,36 +37,52 @@ BLOCK_RECORDS = 2048
 _LINE_BREAK = X.byte_class(lambda b: b == 10)
 
 
-def tokens(texts: X.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def tokens(texts: X.Texts, k: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Token hashes of all lines that have words, their bounds, and each line's text and number in its text."""
     w = X.words(texts, X.NOT_SPACE, lower=True)
     starts, ends, own = line_bounds(texts)
     bounds = np.append(np.searchsorted(w.starts, starts), len(w.starts))
     has = np.flatnonzero(np.diff(bounds) > 0)
     number = np.arange(len(own)) - np.searchsorted(own, own)
-    hashes, to = X.shingles(w.hashes, np.append(bounds[has], bounds[-1]), 2)
+    hashes, to = X.shingles(w.hashes, np.append(bounds[has], bounds[-1]), k)
     return hashes, to, own[has], number[has]
 
 
-def rarity(docs: DataFrame, text: str) -> np.ndarray:
-    """Occurrences of tokens by hash bucket over the whole corpus, as logarithmic ranks that fit in _RANK_BITS."""
+def survey(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The one pass that counts and numbers: part, counts (occurrences of tokens by hash bucket, a row for each range of buckets and task) or
+    record, key, line (every line with words). A record is a line's tokens with their multiplicity."""
     width = RARITY_BUCKETS // _RANGES
+    names = ["part", "counts", "record", "key", "line"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, any_row = np.zeros(RARITY_BUCKETS, np.int64), False
         for batch in batches:
-            for group in X.chunked(batch.column(0)):
+            keys = X.longs(batch.column(0))
+            for group in X.chunked(batch.column(1)):
                 any_row = True
-                hashes = tokens(group)[0]
+                hashes, bounds, own, number = tokens(group)
                 counts += np.bincount((hashes % np.uint64(RARITY_BUCKETS)).astype(np.int64), minlength=RARITY_BUCKETS)
+                n = len(own)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(_records(hashes, bounds).view(np.int64)), pa.array(keys[group.first + own]), pa.array(number.astype(np.int32))], names=names
+                )
         if any_row:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(_RANGES)), pa.array([counts[i * width : (i + 1) * width].tobytes() for i in range(_RANGES)], pa.binary())], names=["part", "counts"])
+            blobs = [counts[i * width : (i + 1) * width].tobytes() for i in range(_RANGES)]
+            none = [pa.nulls(_RANGES, t) for t in (pa.int64(), pa.int64(), pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(_RANGES)), pa.array(blobs, pa.binary()), *none], names=names)
+
+    return docs.select(F.col(key).cast("long").alias("key"), text).mapInArrow(run, "part long, counts binary, record long, key long, line int")
+
+
+def rarity(surveyed: DataFrame) -> np.ndarray:
+    """Occurrences of tokens by hash bucket over the whole corpus, as logarithmic ranks that fit in _RANK_BITS."""
+    width = RARITY_BUCKETS // _RANGES
 
     def add(t: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x, np.int64) for x in t.column("counts").to_pylist())
         return pa.table({"part": t.column("part").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
-    parts = docs.select(text).mapInArrow(run, "part long, counts binary").groupBy("part").applyInArrow(add, "part long, counts binary").collect()
+    parts = surveyed.where("part IS NOT NULL").select("part", "counts").groupBy("part").applyInArrow(add, "part long, counts binary").collect()
     whole = np.zeros(RARITY_BUCKETS, np.int64)
     for part, counts in parts:
         whole[part * width : (part + 1) * width] = np.frombuffer(counts, np.int64)
@@ -100,27 +116,30 @@ def _line_groups(batch: pa.RecordBatch, at: int) -> Iterator[tuple[X.Texts, np.n
             yield group, hashes[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], own[a:b], number[a:b]
 
 
-def _sums(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """A hash of each line's set of tokens."""
-    sums = np.zeros(len(ids) + 1, np.uint64)
-    np.cumsum(X.mix(ids + np.uint64(5)), out=sums[1:])
+def _records(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A hash of each line's tokens with their multiplicity."""
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(X.mix(hashes + np.uint64(5)), out=sums[1:])
     return X.mix(sums[bounds[1:]] - sums[bounds[:-1]] + np.diff(bounds).astype(np.uint64))
 
 
-def places(docs: DataFrame, key: str, text: str, rank: np.ndarray) -> DataFrame:
-    """set_id, key, line of each line with words."""
+def _pack(token: np.ndarray, set_: np.ndarray, n: np.ndarray, pos: np.ndarray) -> bytes:
+    """Records as bytes: tokens in the six bytes that they need, sets, and numbers in two bytes where they fit (first byte 2, else 4)."""
+    width = 2 if not len(n) or n.max() < 1 << 16 else 4
+    small = token.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    return bytes([width]) + small + set_.astype("<u8").tobytes() + n.astype(f"<u{width}").tobytes() + pos.astype(f"<u{width}").tobytes()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            for group, hashes, bounds, own, number in _line_groups(batch, 1):
-                ids, to = ranked(hashes, bounds, rank)
-                yield pa.RecordBatch.from_arrays([pa.array(_sums(ids, to).view(np.int64)), pa.array(keys[group.first + own]), pa.array(number.astype(np.int32))], names=["set_id", "key", "line"])
 
-    return docs.select(F.col(key).cast("long").alias("key"), text).mapInArrow(run, "set_id long, key long, line int")
-
-
-_RECORD = np.dtype([("token", "<u8"), ("set", "<u8"), ("n", "<u4"), ("pos", "<u4")])
+def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    width = data[0]
+    m = (len(data) - 1) // (14 + 2 * width)
+    token = np.zeros((m, 8), np.uint8)
+    token[:, :6] = np.frombuffer(data, np.uint8, 6 * m, 1).reshape(m, 6)
+    rest = [np.frombuffer(data[1 + 6 * m : 1 + 14 * m], "<u8")]
+    for i in range(2):
+        at = 1 + 14 * m + i * width * m
+        rest.append(np.frombuffer(data[at : at + width * m], f"<u{width}").astype(np.int64))
+    return token.reshape(-1).view("<u8"), *rest
 
 
 def prefixes(docs: DataFrame, key: str, text: str, rank: np.ndarray, percent: int, parts: int) -> DataFrame:
@@ -132,30 +151,31 @@ def prefixes(docs: DataFrame, key: str, text: str, rank: np.ndarray, percent: in
             for _, hashes, bounds, _, _ in _line_groups(batch, 0):
                 ids, to = ranked(hashes, bounds, rank)
                 n = np.diff(to)
-                sets = _sums(ids, to)
+                sets = _records(hashes, bounds)
                 _, first = np.unique(sets, return_index=True)
-                first = first[n[first] >= 4]  # below, only the same set reaches the similarity of 0.8 or more
                 length = n[first] - -(-percent * n[first] // 100) + 1
                 which = np.repeat(first, length)
                 pos = np.arange(len(which)) - np.repeat(np.cumsum(length) - length, length)
-                out = np.empty(len(which), _RECORD)
-                out["token"], out["set"], out["n"], out["pos"] = ids[to[which] + pos], sets[which], n[which], pos
-                held.append(out)
-                n_held += len(out)
+                held.append((ids[to[which] + pos], sets[which], n[which], pos))
+                n_held += len(which)
                 if n_held >= 4096 * parts or n_held >= 2_000_000:
                     yield flush(held)
                     held, n_held = [], 0
         if n_held:
             yield flush(held)
 
-    def flush(held: list[np.ndarray]) -> pa.RecordBatch:
-        rows = np.concatenate(held)
-        part = (X.mix(rows["token"]) % np.uint64(parts)).astype(np.int64)
+    def flush(held: list[tuple]) -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+        order = np.lexsort((columns[3], columns[1]))  # a record that stands in several texts is sent once
+        same = np.zeros(len(order), bool)
+        same[1:] = (columns[1][order[1:]] == columns[1][order[:-1]]) & (columns[3][order[1:]] == columns[3][order[:-1]])
+        columns = [c[order[~same]] for c in columns]
+        part = (X.mix(columns[0]) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        rows, part = rows[order], part[order]
+        columns, part = [c[order] for c in columns], part[order]
         found, at = np.unique(part, return_index=True)
-        ends = [*at[1:].tolist(), len(rows)]
-        return pa.RecordBatch.from_arrays([pa.array(found), pa.array([rows[a:b].tobytes() for a, b in zip(at.tolist(), ends, strict=True)], pa.binary())], names=["part", "records"])
+        ends = [*at[1:].tolist(), len(part)]
+        return pa.RecordBatch.from_arrays([pa.array(found), pa.array([_pack(*[c[a:b] for c in columns]) for a, b in zip(at.tolist(), ends, strict=True)], pa.binary())], names=["part", "records"])
 
     return docs.select(text).mapInArrow(run, "part long, records binary")
 
@@ -164,13 +184,19 @@ def _meet(percent: int):
     """Spanning forest of the sets that share a prefix token within the length and positional bounds."""
 
     def work(t: pa.Table) -> pa.Table | None:
-        rows = np.concatenate([np.frombuffer(x, _RECORD) for x in t.column("records").to_pylist()])
-        order = np.lexsort((rows["set"], rows["token"]))
-        token, set_ = rows["token"][order], rows["set"][order]
-        new = np.ones(len(rows), bool)
+        columns = [np.concatenate(c) for c in zip(*[_unpack(x.as_py()) for x in t.column("records")], strict=True)]
+        order = np.argsort(columns[0])  # the token's records are few; only those of shared tokens go on
+        same = np.zeros(len(order), bool)
+        same[1:] = columns[0][order[1:]] == columns[0][order[:-1]]
+        same[:-1] |= same[1:]
+        columns = [c[order[same]] for c in columns]
+        order = np.lexsort((columns[1], columns[0]))
+        token, set_, n, pos = (c[order] for c in columns)
+        new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (set_[1:] != set_[:-1])
-        rows = rows[order[new]]
-        token, set_, n, pos = rows["token"], rows["set"], rows["n"].astype(np.int64), rows["pos"].astype(np.int64)
+        token, set_, n, pos = token[new], set_[new], n[new], pos[new]
+        if not len(token):
+            return None
         ends = np.append(np.flatnonzero(token[1:] != token[:-1]) + 1, len(token))
         size = np.diff(np.concatenate([[0], ends]))
         left, right = [], []
@@ -255,18 +281,19 @@ def _tokens_of(docs: DataFrame, text: str) -> DataFrame:
 
 def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """key and lines (sorted array of the numbers of lines to remove), for keys with any."""
-    if percent < 80:
-        raise ValueError("the shortcut for sets of under four tokens holds from 0.8 on")
     spark = docs.sparkSession
-    rank = rarity(docs, text)
-    at = places(docs, key, text, rank)
+    surveyed = shared.written(survey(docs, key, text), "line-survey")
+    rank = rarity(surveyed)
+    at = surveyed.where("part IS NULL").select(F.col("record").alias("set_id"), "key", "line")
     firsts = shared.written(at.groupBy("set_id").agg(F.min(F.struct("key", "line")).alias("first"), F.count("*").alias("n")), "line-sets")
 
     parts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     met = groups.each(prefixes(docs, key, text, rank, percent, parts), "part", _meet(percent), "a long, b long")
     loose = shared.written(groups.components(met), "line-groups").select(F.col("node").alias("set_id"), "component")
     wanted = loose.join(firsts, "set_id").select("first.key", F.struct("first.line", "set_id", "component").alias("w")).groupBy("key").agg(F.collect_list("w").alias("wanted"))
-    full = _tokens_of(docs.select(F.col(key).cast("long").alias("key"), text).dropna(subset=[text]).join(wanted, "key"), text)
+    wanted = shared.written(wanted, "wanted-lines")
+    plain = docs.select(F.col(key).cast("long").alias("key"), text).dropna(subset=[text])
+    full = _tokens_of(groups.filtered(plain, "key", groups.key_filter(wanted.select("key")), True).join(wanted.hint("merge"), "key"), text)
     sizes = loose.groupBy("component").agg(F.count("*").alias("n"))
     dealt = groups.in_blocks(full, "component", sizes, F.ceil(F.col("n") / BLOCK_RECORDS), F.col("set_id"))
     near = groups.each(dealt.select("task", "set_id", "key", "line", "tokens"), "task", _verify(percent), "set_id long").distinct()
@@ -281,10 +308,12 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     """The documents with matching later lines taken out of the text, with all columns; with counts, n_lines and n_removed are added.
 
     drop_emptied: a document that had words and has none left goes. A document's lines are those between line feeds."""
-    gone = removed(docs, key, text, percent).select(F.col(key).alias("_key"), F.col("lines").alias("_lines"))
+    gone = shared.written(removed(docs, key, text, percent).select(F.col(key).alias("_key"), F.col("lines").alias("_lines")), "removed-lines")
+    bits = groups.key_filter(gone.select("_key"))
     lines = F.split(F.col(text), "\n", -1)
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_lines", i)), "\n")
-    both = docs.join(gone, F.col(key).cast("long") == F.col("_key"), "left")
+    touched = groups.filtered(docs, key, bits, True).join(gone.hint("merge"), F.col(key).cast("long") == F.col("_key"), "left")
+    both = touched.union(groups.filtered(docs, key, bits, False).select("*", F.lit(None).cast("long"), F.lit(None).cast("array<int>")))
     new = F.when(F.col("_lines").isNull(), F.col(text)).otherwise(kept)
     extra = [F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_removed")] if counts else []
     if drop_emptied:

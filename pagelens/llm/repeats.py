@@ -11,7 +11,7 @@
 Texts are UTF-8 bytes; matches never cross texts; all windows are judged on the input.
 
 Defined cases: a null text counts as empty; texts shorter than `length` lose nothing; rows that repeat a key are places of their own, so that
-they lose what they share; an empty table gives an empty result; columns beside key and text are ignored.
+they lose what they share; a row without a key counts as a place and keeps its bytes; an empty table gives an empty result; columns beside key and text are ignored.
 """
 
 from __future__ import annotations
@@ -78,7 +78,7 @@ def anchors(docs: DataFrame, text: str, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            keys = X.longs(batch.column(0))
             for group, rows, offsets in _pieces(batch.column(1), length):
                 own, first, n, gram, variant = segments(group, length)
                 if len(own):

@@ -90,6 +90,11 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw, bounds
 
 
+def longs(column: pa.Array) -> np.ndarray:
+    """A long column as numpy; null becomes the smallest long, which joins with nothing."""
+    return column.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
+
+
 def chunked(column, limit: int = CHUNK_BYTES) -> Iterator[Texts]:
     """The rows in order, in groups of at most `limit` bytes; a longer text is a group of its own."""
     raw, bounds = utf8(column)

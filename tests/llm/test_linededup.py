@@ -26,7 +26,7 @@ EXTRA = [
 
 def pairs(line):
     w = space_words(lower_ascii(line))
-    return frozenset(zip(w, w[1:])) if len(w) > 1 else frozenset(w)
+    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
 
 
 def expected(rows, percent=80):
