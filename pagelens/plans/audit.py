@@ -1,6 +1,7 @@
 """The audit from candidates to stored rows, export and report, as DataFrame stages.
 
 Everything up to the audit rows is narrow but for key joins with fetched pages; then the apex groups, the URL groups and the upsert each shuffle once.
+What several later stages read is written to the shared folder once: discovered pages, parsed pages, contacts, audit rows.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import tables
 from ..config import Settings
 from ..functions import detect, html, score
 from ..operators import dedupe, filters, joins, rows
@@ -55,23 +57,24 @@ def audit_rows(candidates: DataFrame, inputs: Inputs, settings: Settings) -> Dat
     intent = score.intent(tier, has_url, F.col("fetch_error"))
     verdict = F.when(F.col("body").isNotNull(), detect.parking(F.col("body"), F.col("headers"))["verdict"])
     tier_now, intent_now = score.parked(tier, intent, verdict)
-    staged = found.withColumns({"tier": tier_now, "intent_tier": intent_now})
+    staged = tables.written(found.withColumns({"tier": tier_now, "intent_tier": intent_now}), "discovered")
 
     others = rows.empty_rows(staged.where("tier <> 'A'"), settings)
     live = joins.with_robots(staged.where("tier = 'A'"), _robots(inputs), "discovered_url")
     excluded = rows.robots_rows(live.where("NOT robots_allowed"), settings)
-    pages = live.where("robots_allowed").withColumn("facts", html.page_facts("body"))
-    imprint = joins.imprints(pages.select("place_id", "discovered_url", "final_url", "facts"), inputs.fetches)
+    pages = tables.written(live.where("robots_allowed").withColumn("facts", html.page_facts("body")), "parsed")
+    imprint = tables.written(joins.imprints(pages.select("place_id", "discovered_url", "final_url", "facts"), inputs.fetches), "imprints")
     pages = pages.join(imprint, "place_id", "left")
     if settings.impressum_scraper:
         scraped = joins.contacts(pages.where(F.col("website").isNotNull()).select("place_id", "website", "final_url", "facts"), inputs.fetches, _robots(inputs))
+        scraped = tables.written(scraped, "contacts")
         pages = pages.join(scraped, "place_id", "left")
         absent = F.struct(F.lit(False).alias("present"), *[F.lit(None).cast("string").alias(n) for n in ("url", "uid", "company_name", "address", "phone", "email")], F.lit(False).alias("complete"))
         pages = pages.withColumn("impressum", rows.merged_impressum(F.coalesce("impressum", absent), F.col("contact")))
         pages = pages.withColumns({"address": F.coalesce("address", "contact.address"), "phone": F.coalesce("phone", "contact.phone")})
     body, headers = F.col("body"), F.col("headers")
     stack = detect.tech_stack(body, headers)
-    pages = pages.withColumn("_stack", stack)
+    pages = tables.written(pages.withColumn("_stack", stack), "stacks")
     named = F.array(detect.cms(body, headers, F.col("_stack.cms")))
     pages = pages.withColumns(
         {
@@ -87,7 +90,7 @@ def audit_rows(candidates: DataFrame, inputs: Inputs, settings: Settings) -> Dat
     else:
         pages = pages.withColumn("psi", F.lit(None).cast("struct<performance:int,seo:int,accessibility:int,best_practices:int,fetched_at:timestamp,error:string>"))
     audited = rows.audited_rows(pages, settings)
-    return conform(others.unionByName(excluded).unionByName(audited), AUDIT)
+    return tables.written(conform(others.unionByName(excluded).unionByName(audited), AUDIT), "audited")
 
 
 def run(candidates: DataFrame, inputs: Inputs, settings: Settings, patterns: list[joins.BranchPattern], apex_audits: DataFrame | None = None, only_tier: str | None = None) -> Result:
