@@ -111,5 +111,34 @@ def queries() -> dict[str, Query]:
     }
 
 
+_QUALITY_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+r AS (SELECT doc_id, count(DISTINCT pos) AS n_repeat_words FROM (
+    SELECT doc_id, unnest([i, i + 1, i + 2, i + 3, i + 4]) AS pos FROM (
+        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, key) AS times FROM (
+            SELECT doc_id, i, array_to_string(w[i : i + 4], ' ') AS key FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5))) WHERE times > 1) GROUP BY 1),
+l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+m AS (SELECT d.doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) AS n_lines, length(regexp_replace(t, '[^!?]', '', 'g')) AS n_exclaims,
+    len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z\x{80}-\x{10FFFF}]'))) AS n_letters FROM d JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR 10 * n_symbols > n_words OR 10 * n_exclaims > 4 * n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+    OR 10 * n_letters < 7 * n_words OR 2 * n_dup_lines > n_lines) AS kept FROM b
+"""
+
+_LEAKS_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+k AS (SELECT item, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item, n, array_to_string(w[i : i + n - 1], ' ') AS key FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM k)),
+places AS (SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS key FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d CROSS JOIN (SELECT DISTINCT n FROM k) WHERE len(w) >= n)),
+found AS (SELECT doc_id, item, i, n FROM places JOIN windows USING (n, key)),
+hits AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM found) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The other queries rest on a trained model, a tokenizer, fuzzy matching or components; tests compare them with plain-Python versions."""
+    return {"op5_quality_rules": _QUALITY_SQL, "op9_decontamination": _LEAKS_SQL}
