@@ -128,3 +128,9 @@ def longest_rule(path: Column, rules: Column) -> Column:
     fits = F.filter(rules, lambda r: path.startswith(r["path"]))
     best = F.array_max(F.transform(fits, lambda r: F.struct(F.length(r["path"]).alias("n"), r["allow"].alias("allow"))))
     return F.coalesce(best["allow"], F.lit(True))
+
+
+def unexpired(cache: DataFrame, at: str, as_of: Column, ttl_days: int) -> DataFrame:
+    """Cache entries younger than their time to live, with their age in days."""
+    age = (F.unix_seconds(as_of) - F.unix_seconds(F.col(at).cast("timestamp"))) / 86_400
+    return cache.withColumn("age_days", age).where(F.col("age_days") < ttl_days)

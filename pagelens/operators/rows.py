@@ -124,3 +124,10 @@ def merged_impressum(own: Column, scraped: Column) -> Column:
         *[first[n].alias(n) for n in ("uid", "company_name", "address", "phone", "email")], complete.alias("complete"),
     )
     return F.when(scraped.isNull(), own).otherwise(merged)
+
+
+def renamed(audits: DataFrame) -> DataFrame:
+    """The rows whose company name today's rules would write differently, with the new name."""
+    new = text.company_name(F.col("impressum_company_name"))
+    changed = audits.where(~F.col("impressum_company_name").eqNullSafe(new))
+    return conform(changed.withColumn("impressum_company_name", new), AUDIT)
