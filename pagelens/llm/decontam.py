@@ -131,5 +131,7 @@ def contamination(
 
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without any benchmark window, with all their columns."""
-    _, places = occurrences(docs, benchmark, key, text, "item_id", "text", 10, 3)
-    return docs.join(places.select(F.col("doc").alias(key)).distinct(), key, "left_anti").select(*docs.columns)
+    with shared.scratch(docs.sparkSession):
+        _, places = occurrences(docs, benchmark, key, text, "item_id", "text", 10, 3)
+        leaked = shared.written(places.select(F.col("doc").alias(key)).distinct(), "leaked", outlive=True)
+    return docs.join(leaked, key, "left_anti").select(*docs.columns)

@@ -61,23 +61,26 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """node, component (the smallest node reachable) of all nodes of the edges a, b (long).
 
     Alternating large-star and small-star rounds; each round's edges are written to the shared folder. The edges stay as many as the nodes."""
-    now = shared.written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
-    for _ in range(most_rounds):
-        state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if (state["n"], state["s"]) == before or not state["n"]:
-            break
-        before = (state["n"], state["s"])
-        # large star: every larger neighbour of a node goes to the smallest in its neighbourhood
-        both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        # small star: every smaller neighbour, and the node itself, goes to the smallest
-        floor = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(floor, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(floor.select("u", F.col("m").alias("v"))).distinct()
-        now = shared.written(small, "edges")
-    else:
-        raise RuntimeError("components did not settle")
+    spark = edges.sparkSession
+    with shared.scratch(spark):
+        now = shared.written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+        before = None
+        for _ in range(most_rounds):
+            state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
+            if (state["n"], state["s"]) == before or not state["n"]:
+                break
+            before = (state["n"], state["s"])
+            # large star: every larger neighbour of a node goes to the smallest in its neighbourhood
+            both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+            large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            # small star: every smaller neighbour, and the node itself, goes to the smallest
+            floor = large.groupBy("u").agg(F.min("v").alias("m"))
+            small = large.join(floor, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(floor.select("u", F.col("m").alias("v"))).distinct()
+            now = shared.written(small, "edges")
+        else:
+            raise RuntimeError("components did not settle")
+        now = shared.written(now, "components", outlive=True)
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
 
 

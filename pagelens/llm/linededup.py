@@ -308,7 +308,8 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     """The documents with matching later lines taken out of the text, with all columns; with counts, n_lines and n_removed are added.
 
     drop_emptied: a document that had words and has none left goes. A document's lines are those between line feeds."""
-    gone = shared.written(removed(docs, key, text, percent).select(F.col(key).alias("_key"), F.col("lines").alias("_lines")), "removed-lines")
+    with shared.scratch(docs.sparkSession):
+        gone = shared.written(removed(docs, key, text, percent).select(F.col(key).alias("_key"), F.col("lines").alias("_lines")), "removed-lines", outlive=True)
     bits = groups.key_filter(gone.select("_key"))
     lines = F.split(F.col(text), "\n", -1)
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_lines", i)), "\n")

@@ -230,24 +230,25 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", params: Pa
     node = seen.where("n_shingles > 0").groupBy("n_shingles", "fp1", "fp2").agg(F.min("key").alias("node"))
     # a node's row with its bands and signature is that of the smallest key; repeated rows are the same
     heads = shared.written(node, "nodes")
-    nodes = shared.written(
-        seen.select("key", "bands", "signature", "n_shingles").join(heads.select(F.col("node").alias("key")), "key", "left_semi").dropDuplicates(["key"]).withColumnRenamed("key", "node"), "nodes"
-    )
-    keys = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared_keys = keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    met = groups.in_blocks(keys, "bucket", shared_keys, F.ceil(F.col("n") / BLOCK_ROWS), F.col("node"))
-    met = met.select("node", "task").join(nodes.select("node", "signature"), "node")
-    loose_edges = shared.written(groups.each(met, "task", _bucket(params.least_estimate), "a long, b long").distinct(), "candidates")
-    loose = shared.written(groups.components(loose_edges), "loose")
-
-    members = docs.select(F.col(key).cast("long").alias("node"), text).join(loose, "node")
-    full = shared.written(_members(members, text, params).dropDuplicates(["node"]), "sets")
-    full = full.join(nodes.select("node", "signature", "n_shingles"), "node")
-    sizes = loose.join(nodes.select("node", "n_shingles"), "node").groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
-    blocks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("s") / BLOCK_SHINGLES))
-    dealt = groups.in_blocks(full, "component", sizes, blocks, F.col("node")).select("task", "node", "signature", "members")
-    links = groups.each(dealt, "task", _confirm(params.percent, params.least_estimate), "a long, b long")
-    found = shared.written(groups.components(links), "classes")
+    with shared.scratch(docs.sparkSession):
+        nodes = shared.written(
+            seen.select("key", "bands", "signature", "n_shingles").join(heads.select(F.col("node").alias("key")), "key", "left_semi").dropDuplicates(["key"]).withColumnRenamed("key", "node"), "nodes"
+        )
+        keys = nodes.select("node", F.explode("bands").alias("bucket"))
+        shared_keys = keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+        met = groups.in_blocks(keys, "bucket", shared_keys, F.ceil(F.col("n") / BLOCK_ROWS), F.col("node"))
+        met = met.select("node", "task").join(nodes.select("node", "signature"), "node")
+        loose_edges = shared.written(groups.each(met, "task", _bucket(params.least_estimate), "a long, b long").distinct(), "candidates")
+        loose = shared.written(groups.components(loose_edges), "loose")
+
+        members = docs.select(F.col(key).cast("long").alias("node"), text).join(loose, "node")
+        full = shared.written(_members(members, text, params).dropDuplicates(["node"]), "sets")
+        full = full.join(nodes.select("node", "signature", "n_shingles"), "node")
+        sizes = loose.join(nodes.select("node", "n_shingles"), "node").groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
+        blocks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("s") / BLOCK_SHINGLES))
+        dealt = groups.in_blocks(full, "component", sizes, blocks, F.col("node")).select("task", "node", "signature", "members")
+        links = groups.each(dealt, "task", _confirm(params.percent, params.least_estimate), "a long, b long")
+        found = shared.written(groups.components(links), "classes", outlive=True)
 
     named = heads.join(found, "node", "left").select("n_shingles", "fp1", "fp2", F.coalesce("component", "node").alias("component_id"))
     out = seen.select("key", "n_shingles", "fp1", "fp2").join(named, ["n_shingles", "fp1", "fp2"], "left")
@@ -269,8 +270,9 @@ def _members(docs: DataFrame, text: str, p: Params) -> DataFrame:
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", params: Params = Params()) -> DataFrame:
     """One document of each class, the one with the smallest key, with all columns. Of rows with the same key one stays."""
-    found = classes(docs, key, text, params)
-    gone = shared.written(found.where(F.col(key) != F.col("component_id")).select(key).distinct(), "dropped")
+    with shared.scratch(docs.sparkSession):
+        found = classes(docs, key, text, params)
+        gone = shared.written(found.where(F.col(key) != F.col("component_id")).select(key).distinct(), "dropped", outlive=True)
     kept = docs.join(gone, key, "left_anti").select(*docs.columns)
     if docs.groupBy(key).count().where("count > 1").limit(1).count():
         kept = kept.dropDuplicates([key])

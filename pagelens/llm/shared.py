@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,8 +21,27 @@ def folder(spark: SparkSession) -> str:
     return at
 
 
-def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted at the end; what is to outlive it is written with outlive=True. Frames that read deleted tables are void."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in _scopes.pop():
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+
+
+def written(df: DataFrame, name: str, compression: str = "zstd", outlive: bool = False) -> DataFrame:
     """The frame as a Parquet table in the shared folder, read back."""
     path = f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    scopes = _scopes[:-1] if outlive else _scopes
+    if scopes:
+        scopes[-1].append(path)
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
