@@ -29,7 +29,7 @@ from . import text as X
 
 GRAM = 64
 #: Bytes of variants in a shard, and variants of one gram up to which it isn't cut.
-SHARD_BYTES = 4_000_000
+SHARD_BYTES = 1_500_000
 BLOCK_VARIANTS = 4096
 #: Longer texts are handled in pieces that overlap by a window.
 PIECE = 1 << 20
@@ -136,6 +136,7 @@ def _sorted_shard(length: int):
         if not len(first):
             return None
         own = np.searchsorted(starts, first, "right") - 1
+        X.trim()
         return pa.table({"gram": gram[order][own], "variant": variant[order][own], "a": (first - starts[own]).astype(np.int32), "b": (last - starts[own]).astype(np.int32)})
 
     return work
@@ -171,7 +172,8 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 200, with_bytes: bool = True) -> DataFrame:
     """key, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 of the remaining bytes, and these bytes if asked for."""
-    spans = repeats(docs, key, text, length).withColumnRenamed(key, "key")
+    with shared.scratch(docs.sparkSession):
+        spans = shared.written(repeats(docs, key, text, length).withColumnRenamed(key, "key"), "spans", outlive=True)
     plain = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     fields = "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes
     names = [f.split()[0] for f in fields.split(", ")]

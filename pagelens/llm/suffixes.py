@@ -20,7 +20,7 @@ from . import text as X
 
 CAP = 255
 #: Bytes of queued tuples that stay in memory.
-QUEUE_BYTES = 64 << 20
+QUEUE_BYTES = 32 << 20
 #: Reduced strings of at most so many names are ordered by a further induction; larger alphabets by doubling ranks.
 MOST_SYMBOLS = 2000
 

@@ -6,6 +6,8 @@ characters. Hashes are 64-bit: a polynomial over the bytes (random value per byt
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -103,6 +105,14 @@ def chunked(column, limit: int = CHUNK_BYTES) -> Iterator[Texts]:
         to = max(row + 1, int(np.searchsorted(bounds, bounds[row] + limit, "right")) - 1)
         yield Texts(raw[bounds[row] : bounds[to]], bounds[row : to + 1] - bounds[row], row)
         row = to
+    trim()
+
+
+def trim() -> None:
+    """Gives freed memory back to the system, so that idle Python workers of an executor stay small."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def runs(member: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
