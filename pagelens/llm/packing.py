@@ -11,6 +11,7 @@ piece; a text longer than a window fills several; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
+from . import text as X
 
 #: Texts of these characters only are split alike by both libraries, whatever their Unicode versions.
 _COMMON = regex.compile(r"[\x09\x0A\x0D\x20-\x7E¡-¬®-ɏͰ-ͳΆΈ-ϿА-я‐-‧‰-⁞€]*+")
@@ -34,11 +36,9 @@ class Encoder:
     time; texts with a special token's string, unusual characters or very long words go through `tokenizers` itself."""
 
     def __init__(self, json_path: str, rank_path: str | None):
-        from tokenizers import Tokenizer
-
-        self.exact = Tokenizer.from_file(json_path)
-        self.special = [t.content for t in self.exact.get_added_tokens_decoder().values()]
-        self.fast = None
+        with open(json_path, encoding="utf-8") as f:
+            self.special = [t["content"] for t in json.load(f)["added_tokens"]]
+        self.json_path, self._exact, self.fast = json_path, None, None
         if rank_path:
             import public_tokenizers
             import tiktoken
@@ -47,6 +47,15 @@ class Encoder:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @property
+    def exact(self):
+        """Loaded when a text first needs it."""
+        if self._exact is None:
+            from tokenizers import Tokenizer
+
+            self._exact = Tokenizer.from_file(self.json_path)
+        return self._exact
+
     def __call__(self, text: str) -> list[int]:
         if self.fast and _COMMON.fullmatch(text) and not any(s in text for s in self.special) and not _LONG_RUN.search(text):
             return self.fast.encode_ordinary(text)
@@ -87,6 +96,7 @@ def tokenize(docs: DataFrame, key: str = "doc_id", text: str = "text", end_id: i
                     [rows.column(0), pa.array(np.full(len(n), part, np.int32)), pa.array(first), pa.array(n), pa.array([x.tobytes() for x in ids], pa.binary())],
                     names=["key", "part", "first", "n_tokens", "ids"],
                 )
+            X.trim()
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(run, f"key {kind}, part int, first long, n_tokens long, ids binary")
@@ -122,6 +132,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int =
                     out.append(pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in cut], pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(out, names=names)
+            X.trim()
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"key {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, ids_crc32 long" + ", ids array<int>" * with_ids
