@@ -7,16 +7,21 @@ can't be parsed gives empty facts.
 from __future__ import annotations
 
 import json
+import sys
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import contact, detect, js, text, url
 
+# the parser travels to the executors by value: they need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Fixed values.
 SCHEMA_TYPES = (
     "Organization", "LocalBusiness", "Restaurant", "Store", "Service", "Product", "WebSite", "BreadcrumbList", "Person", "Article", "BlogPosting", "Event", "FAQPage",
