@@ -1,14 +1,15 @@
 """Line dedup as an exact set-similarity join.
 
-A line's tokens are its shingles of five words (lower-cased A-Z, split at white space; a shorter line is one token). Two lines match if the
+A line's tokens are its words (lower-cased A-Z, split at white space), as a set. Two lines match if the
 Jaccard similarity of their token sets is at least `percent` hundredths. A line is removed if it matches any earlier line of the corpus, in
 the order of key and line number, whether or not that one is removed itself.
 
 1. One pass counts the occurrences of every token over the whole corpus, in a fixed number of hash buckets, and numbers all lines. The rarity so
    found orders the tokens; any fixed order gives the same result, a good one gives few candidates.
 2. Lines with the same tokens are one record with its first place; all its later places go.
-3. Prefix filter: of n tokens, the n - ceil(t n) + 1 rarest have to share one with a match. They meet by token; length and positional bounds
-   prune, and of what remains a spanning forest is kept, never all pairs.
+3. Prefix filter: of n tokens, the n - ceil(t n) + 1 rarest have to share one with a match. They meet by token; length, positional and signature
+   bounds prune, and of what remains a spanning forest is kept, never all pairs. A signature has a parity bit for each of 64 to 512 parts
+   of the token space (more for longer lines), so sets differ in at least as many tokens as signatures in bits.
 4. In each group of records so joined, every record is verified against the earlier ones on full sets by counting common tokens. Large groups are
    cut into blocks whose pairs are tasks of their own.
 
@@ -34,18 +35,19 @@ RARITY_BUCKETS = 1 << 20
 _RANGES = 64
 _RANK_BITS, _HASH_BITS = 14, 32
 BLOCK_RECORDS = 2048
+#: Up to so many records of a token, all pairs within the length bound are tried at once.
+SMALL_GROUP = 512
 _LINE_BREAK = X.byte_class(lambda b: b == 10)
 
 
-def tokens(texts: X.Texts, k: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def tokens(texts: X.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Token hashes of all lines that have words, their bounds, and each line's text and number in its text."""
     w = X.words(texts, X.NOT_SPACE, lower=True)
     starts, ends, own = line_bounds(texts)
     bounds = np.append(np.searchsorted(w.starts, starts), len(w.starts))
     has = np.flatnonzero(np.diff(bounds) > 0)
     number = np.arange(len(own)) - np.searchsorted(own, own)
-    hashes, to = X.shingles(w.hashes, np.append(bounds[has], bounds[-1]), k)
-    return hashes, to, own[has], number[has]
+    return w.hashes, np.append(bounds[has], bounds[-1]), own[has], number[has]
 
 
 def survey(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -123,30 +125,48 @@ def _records(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return X.mix(sums[bounds[1:]] - sums[bounds[:-1]] + np.diff(bounds).astype(np.uint64))
 
 
-def _pack(token: np.ndarray, set_: np.ndarray, n: np.ndarray, pos: np.ndarray) -> bytes:
-    """Records as bytes: tokens in the six bytes that they need, sets, and numbers in two bytes where they fit (first byte 2, else 4)."""
+#: Most words of a signature, and the numbers of tokens up to which one, two or four do.
+_SIG_WORDS, _SIG_UPTO = 8, np.array([80, 170, 360])
+
+
+def _widths(n: np.ndarray) -> np.ndarray:
+    return 1 << np.searchsorted(_SIG_UPTO, n)
+
+
+def _signatures(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """512 parities of each line's distinct tokens, by the top hash bits of their ids, folded to the width for their number (rest 0)."""
+    own = X.owner(bounds)
+    part = (ids >> np.uint64(_HASH_BITS - 9)).astype(np.int64) & 511
+    part %= 64 * _widths(np.diff(bounds))[own]
+    out = np.zeros((len(bounds) - 1) * _SIG_WORDS, np.uint64)
+    np.bitwise_xor.at(out, own * _SIG_WORDS + part // 64, np.uint64(1) << (part % 64).astype(np.uint64))
+    return out.reshape(-1, _SIG_WORDS)
+
+
+def _pack(token: np.ndarray, set_: np.ndarray, sig: np.ndarray, n: np.ndarray, pos: np.ndarray) -> bytes:
+    """Records as bytes: tokens in the six bytes that they need, sets, numbers in two bytes where they fit (first byte 2, else 4), and signatures
+    in their widths. The first eight bytes after the width are the number of records."""
     width = 2 if not len(n) or n.max() < 1 << 16 else 4
     small = token.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-    return bytes([width]) + small + set_.astype("<u8").tobytes() + n.astype(f"<u{width}").tobytes() + pos.astype(f"<u{width}").tobytes()
+    sig = sig[np.arange(_SIG_WORDS) < _widths(n)[:, None]]
+    return bytes([width]) + len(n).to_bytes(8, "little") + small + set_.astype("<u8").tobytes() + n.astype(f"<u{width}").tobytes() + pos.astype(f"<u{width}").tobytes() + sig.astype("<u8").tobytes()
 
 
-def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    width = data[0]
-    m = (len(data) - 1) // (14 + 2 * width)
+def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens, sets, numbers, places, and the words of all signatures one after the other."""
+    width, m = data[0], int.from_bytes(data[1:9], "little")
     token = np.zeros((m, 8), np.uint8)
-    token[:, :6] = np.frombuffer(data, np.uint8, 6 * m, 1).reshape(m, 6)
-    rest = [np.frombuffer(data[1 + 6 * m : 1 + 14 * m], "<u8")]
-    for i in range(2):
-        at = 1 + 14 * m + i * width * m
-        rest.append(np.frombuffer(data[at : at + width * m], f"<u{width}").astype(np.int64))
-    return token.reshape(-1).view("<u8"), *rest
+    token[:, :6] = np.frombuffer(data, np.uint8, 6 * m, 9).reshape(m, 6)
+    set_ = np.frombuffer(data, "<u8", m, 9 + 6 * m)
+    n, pos = (np.frombuffer(data, f"<u{width}", m, 9 + (14 + i * width) * m).astype(np.int64) for i in range(2))
+    return token.reshape(-1).view("<u8"), set_, n, pos, np.frombuffer(data, "<u8", -1, 9 + (14 + 2 * width) * m)
 
 
 def prefixes(docs: DataFrame, key: str, text: str, rank: np.ndarray, percent: int, parts: int) -> DataFrame:
     """part, records: prefix tokens of all sets that may match another set, packed by part of the token space."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n_held = [], 0
+        held, sigs, n_held, n_lines = [], [], 0, 0
         for batch in batches:
             for _, hashes, bounds, _, _ in _line_groups(batch, 0):
                 ids, to = ranked(hashes, bounds, rank)
@@ -156,77 +176,121 @@ def prefixes(docs: DataFrame, key: str, text: str, rank: np.ndarray, percent: in
                 length = n[first] - -(-percent * n[first] // 100) + 1
                 which = np.repeat(first, length)
                 pos = np.arange(len(which)) - np.repeat(np.cumsum(length) - length, length)
-                held.append((ids[to[which] + pos], sets[which], n[which], pos))
+                held.append((ids[to[which] + pos], sets[which], n_lines + which, n[which], pos))
+                sigs.append(_signatures(ids, to))
+                n_lines += len(n)
                 n_held += len(which)
                 if n_held >= 4096 * parts or n_held >= 2_000_000:
-                    yield flush(held)
-                    held, n_held = [], 0
+                    yield flush(held, np.concatenate(sigs))
+                    held, sigs, n_held, n_lines = [], [], 0, 0
         if n_held:
-            yield flush(held)
+            yield flush(held, np.concatenate(sigs))
 
-    def flush(held: list[tuple]) -> pa.RecordBatch:
+    def flush(held: list[tuple], sigs: np.ndarray) -> pa.RecordBatch:
         columns = [np.concatenate(c) for c in zip(*held, strict=True)]
-        order = np.lexsort((columns[3], columns[1]))  # a record that stands in several texts is sent once
+        order = np.lexsort((columns[4], columns[1]))  # a record that stands in several texts is sent once
         same = np.zeros(len(order), bool)
-        same[1:] = (columns[1][order[1:]] == columns[1][order[:-1]]) & (columns[3][order[1:]] == columns[3][order[:-1]])
+        same[1:] = (columns[1][order[1:]] == columns[1][order[:-1]]) & (columns[4][order[1:]] == columns[4][order[:-1]])
         columns = [c[order[~same]] for c in columns]
         part = (X.mix(columns[0]) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         columns, part = [c[order] for c in columns], part[order]
         found, at = np.unique(part, return_index=True)
         ends = [*at[1:].tolist(), len(part)]
-        return pa.RecordBatch.from_arrays([pa.array(found), pa.array([_pack(*[c[a:b] for c in columns]) for a, b in zip(at.tolist(), ends, strict=True)], pa.binary())], names=["part", "records"])
+        token, set_, line, n, pos = columns
+        packed = [_pack(token[a:b], set_[a:b], sigs[line[a:b]], n[a:b], pos[a:b]) for a, b in zip(at.tolist(), ends, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(found), pa.array(packed, pa.binary())], names=["part", "records"])
 
     return docs.select(text).mapInArrow(run, "part long, records binary")
 
 
+def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest node reachable from each of n nodes by the links a, b."""
+    root = np.arange(n)
+    while len(a):
+        least = np.minimum(root[a], root[b])
+        for x in (root[a], root[b], a, b):
+            np.minimum.at(root, x, least)
+        while (root[root] != root).any():
+            root = root[root]
+        apart = root[a] != root[b]
+        a, b = a[apart], b[apart]
+    return root
+
+
 def _meet(percent: int):
     """Spanning forest of the sets that share a prefix token within the length and positional bounds."""
 
     def work(t: pa.Table) -> pa.Table | None:
-        columns = [np.concatenate(c) for c in zip(*[_unpack(x.as_py()) for x in t.column("records")], strict=True)]
+        *columns, words = [np.concatenate(c) for c in zip(*[_unpack(x.as_py()) for x in t.column("records")], strict=True)]
+        columns.append(np.cumsum(_widths(columns[2])) - _widths(columns[2]))  # where each record's signature begins
         order = np.argsort(columns[0])  # the token's records are few; only those of shared tokens go on
         same = np.zeros(len(order), bool)
         same[1:] = columns[0][order[1:]] == columns[0][order[:-1]]
         same[:-1] |= same[1:]
         columns = [c[order[same]] for c in columns]
-        order = np.lexsort((columns[1], columns[0]))
-        token, set_, n, pos = (c[order] for c in columns)
+        order = np.lexsort((columns[1], columns[2], columns[0]))
+        token, set_, n, pos, sig = (c[order] for c in columns)
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (set_[1:] != set_[:-1])
-        token, set_, n, pos = token[new], set_[new], n[new], pos[new]
+        token, set_, n, pos, sig = token[new], set_[new], n[new], pos[new], sig[new]
         if not len(token):
             return None
         ends = np.append(np.flatnonzero(token[1:] != token[:-1]) + 1, len(token))
         size = np.diff(np.concatenate([[0], ends]))
-        left, right = [], []
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+
+        width = _widths(n)
+
+        def folded(i, to, x):
+            out = words[sig[i] + x]
+            for y in range(x + to, int(width[i].max()), to):
+                more = width[i] > y
+                out[more] ^= words[sig[i[more]] + y]
+            return out
 
         def fit(i, j):
+            """Which of the pairs i, j may match."""
             need = -(-percent * (n[i] + n[j]) // (100 + percent))
             most = np.minimum(pos[i], pos[j]) + 1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1
-            return (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (most >= need)
-
-        small = np.flatnonzero(size == 2)
-        i = ends[small] - 2
-        ok = fit(i, i + 1)
-        left.append(i[ok])
-        right.append(i[ok] + 1)
-        for g in np.flatnonzero(size > 2).tolist():
+            ok = (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (most >= need)
+            least = np.minimum(width[i], width[j])
+            for to in (1, 2, 4, 8):
+                at = np.flatnonzero(ok & (least == to))
+                if len(at):
+                    differ = sum(np.bitwise_count(folded(i[at], to, x) ^ folded(j[at], to, x)).astype(np.int64) for x in range(to))
+                    ok[at] = differ <= n[i[at]] + n[j[at]] - 2 * need[at]
+            return ok
+
+        # within a token records stand by length, so that those within the length bound follow each other
+        end_of = np.repeat(ends, size)
+        at, step = np.flatnonzero(np.repeat(size <= SMALL_GROUP, size)), 1
+        while True:
+            at = at[at + step < end_of[at]]
+            at = at[100 * n[at] >= percent * n[at + step]]
+            if not len(at):
+                break
+            ok = at[fit(at, at + step)]
+            left.append(ok)
+            right.append(ok + step)
+            step += 1
+        for g in np.flatnonzero(size > SMALL_GROUP).tolist():
             a, b = int(ends[g] - size[g]), int(ends[g])
-            at = np.arange(a, b)
-            todo = at
+            todo = np.arange(a, b)
             while len(todo):  # breadth first over the pairs that fit, each record visited once
                 front, todo = todo[:1], todo[1:]
                 while len(front) and len(todo):
-                    ok = fit(front[0], todo)
+                    ok = fit(np.full(len(todo), front[0]), todo)
                     left.append(np.full(int(ok.sum()), front[0]))
                     right.append(todo[ok])
                     front, todo = np.concatenate([front[1:], todo[ok]]), todo[~ok]
         left, right = np.concatenate(left), np.concatenate(right)
         if not len(left):
             return None
-        pairs = np.unique(np.stack([set_[left], set_[right]], 1), axis=0).view(np.int64)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+        nodes, ends_of_pairs = np.unique(set_[np.concatenate([left, right])], return_inverse=True)
+        root = _roots(len(nodes), ends_of_pairs[: len(left)], ends_of_pairs[len(left) :])
+        far = np.flatnonzero(root != np.arange(len(nodes)))
+        return pa.table({"a": nodes[far].view(np.int64), "b": nodes[root[far]].view(np.int64)}) if len(far) else None
 
     return work
 
