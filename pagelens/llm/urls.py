@@ -3,7 +3,8 @@
 1. A URL's host and path give a template: path segments that look variable (numbers, numbers with an extension, long hexadecimal
    or mixed strings) become wildcards. Pages are counted by (host, template) first, with map-side partial sums, so a host
    with a third of all pages is a few rows from here on.
-2. Level by level, where a branch has more distinct children than max_children, the children become one wildcard.
+2. Level by level, where a branch has more distinct children than max_children, those become one wildcard whose share of bad labels doesn't
+   differ from that of all, neither as a whole nor in one of the templates below. The others stay branches of their own.
 3. Siblings whose share of bad labels doesn't differ from their parent's by a two-proportion test are merged into one branch.
 4. A branch's purity is its share of good labels, smoothed towards its host's, and the host's towards the whole table's. A template
    is rejected where its branch's purity is below the limit.
@@ -84,21 +85,33 @@ def segments(path: Column, depth: int) -> Column:
     return F.when(F.size(parts) > depth, F.concat(F.transform(F.slice(parts, 1, depth), general), F.array(F.lit("**")))).otherwise(F.transform(parts, general))
 
 
-def templates(pages: DataFrame, url: str, bad: Column, depth: int, max_children: int) -> DataFrame:
-    """host, raw (the template as generalised row by row), branch (with crowded levels as wildcards), n, labelled, bad."""
+def differs(bad: Column, n: Column, of_bad: Column, of_n: Column, z_limit: float) -> Column:
+    """Whether a share of bad labels differs significantly from that of the whole it is part of."""
+    rate = of_bad / F.greatest(of_n, F.lit(1))
+    z = F.abs(bad / F.greatest(n, F.lit(1)) - rate) / F.sqrt(F.greatest(rate * (1 - rate), F.lit(1e-6)) / F.greatest(n, F.lit(1)))
+    return (n > 0) & (z > z_limit)
+
+
+def templates(pages: DataFrame, url: str, bad: Column, depth: int, max_children: int, z_limit: float = 2.58) -> DataFrame:
+    """host, raw (the template as generalised row by row), branch (with alike children of crowded levels as wildcards), n, labelled, bad."""
+    sums = lambda b, n: [F.sum("bad").alias(b), F.sum("labelled").alias(n)]
+    apart = differs(F.col("bad"), F.col("labelled"), F.col("of_bad"), F.col("of_n"), z_limit)
     at = pages.select(host(F.col(url)).alias("host"), F.array_join(segments(path(F.col(url)), depth), "/").alias("raw"), bad.alias("bad"))
     found = shared.written(at.groupBy("host", "raw").agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")), "templates")
     tree = found.withColumn("parts", F.split("raw", "/", -1)).withColumn("branch", F.lit(""))
     for level in range(depth + 1):
         here = F.get("parts", F.lit(level))
-        crowded = (
-            tree.where(here.isNotNull()).select("host", "branch", here.alias("child")).distinct()
-            .groupBy("host", "branch").agg(F.count("*").alias("children")).where(F.col("children") > max_children).select("host", "branch", F.lit(True).alias("crowded"))
-        )
-        tree = tree.join(crowded, ["host", "branch"], "left")
-        tree = tree.withColumn("branch", F.when(here.isNull(), F.col("branch")).otherwise(F.concat("branch", F.lit("/"), F.when(F.col("crowded"), F.lit("*")).otherwise(here)))).drop("crowded")
-        if level % 2:
-            tree = shared.written(tree, "tree")
+        tree = tree.withColumn("child", here)
+        children = tree.where("child IS NOT NULL").groupBy("host", "branch", "child").agg(*sums("bad", "labelled"))
+        crowded = children.groupBy("host", "branch").agg(F.count("*").alias("children"), *sums("of_bad", "of_n")).where(F.col("children") > max_children)
+        below = tree.where("child IS NOT NULL AND labelled > 0").join(crowded.select("host", "branch"), ["host", "branch"]).withColumn("rest", F.array_join(F.slice("parts", level + 2, depth + 1), "/"))
+        alike = below.groupBy("host", "branch", "rest").agg(*sums("of_bad", "of_n"))
+        own = children.join(crowded, ["host", "branch"]).where(apart).select("host", "branch", "child")
+        own = own.union(below.join(alike, ["host", "branch", "rest"]).where(apart).select("host", "branch", "child")).distinct().withColumn("own", F.lit(True))
+        tree = tree.join(crowded.select("host", "branch", F.lit(True).alias("crowded")), ["host", "branch"], "left").join(own, ["host", "branch", "child"], "left")
+        name = F.when(F.col("crowded") & F.col("own").isNull(), F.lit("*")).otherwise(F.col("child"))
+        tree = tree.withColumn("branch", F.when(F.col("child").isNull(), F.col("branch")).otherwise(F.concat("branch", F.lit("/"), name))).drop("crowded", "own", "child")
+        tree = shared.written(tree, "tree")
     return tree.drop("parts")
 
 
@@ -112,9 +125,7 @@ def purity(tree: DataFrame, prior_weight: float = 5.0, z_limit: float = 2.58) ->
     branches = tree.groupBy("host", "branch").agg(F.sum("bad").alias("b_bad"), F.sum("labelled").alias("b_n")).withColumn("parent", parent)
     parents = branches.groupBy("host", "parent").agg(F.sum("b_bad").alias("p_bad"), F.sum("b_n").alias("p_n"))
     both = branches.join(parents, ["host", "parent"]).join(hosts, "host")
-    rate = F.col("p_bad") / F.greatest(F.col("p_n"), F.lit(1))
-    z = F.abs(F.col("b_bad") / F.greatest(F.col("b_n"), F.lit(1)) - rate) / F.sqrt(F.greatest(rate * (1 - rate), F.lit(1e-6)) / F.greatest(F.col("b_n"), F.lit(1)))
-    both = both.withColumn("apart", (F.col("b_n") > 0) & (z > z_limit))
+    both = both.withColumn("apart", differs(F.col("b_bad"), F.col("b_n"), F.col("p_bad"), F.col("p_n"), z_limit))
     # the siblings that aren't apart are one merged branch
     pooled = both.where(~F.col("apart")).groupBy("host", "parent").agg(F.sum("b_bad").alias("m_bad"), F.sum("b_n").alias("m_n"))
     judged = both.join(pooled, ["host", "parent"], "left")

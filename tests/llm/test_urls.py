@@ -59,3 +59,19 @@ def test_empty_and_repeated(spark):
     assert urls.judge(empty, labels).count() == 0
     twice = spark.createDataFrame([(1, "http://a.org/x")] * 3, "page_id long, url string")
     assert urls.judge(twice, labels).count() == 3
+
+
+def test_children_of_crowded_levels_are_judged_by_their_own_labels(spark):
+    def verdicts(sections):
+        rows = [(100 * i + j, f"http://h.example.com/{s}/{'x' if j % 2 else 'y'}/{j}") for i, s in enumerate(sections) for j in range(40)]
+        pages = spark.createDataFrame(rows, "page_id long, url string")
+        bad = {"spam": lambda j: 1, "odd": lambda j: j % 2, "even": lambda j: 1 - j % 2}
+        labels = [(100 * i + j, bad.get(s, lambda j: 0)(j)) for i, s in enumerate(sections) for j in range(40)]
+        got = urls.judge(pages, spark.createDataFrame(labels, "page_id long, bad int"), rules=()).collect()
+        return {(r.page_id, r.verdict) for r in got}, {(k, "block" if b else "allow") for k, b in labels}, {r.template for r in got}
+
+    names = ["spam", "odd", "even", *[f"part{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(77)]]
+    for n in (64, 65, 80):
+        got, want, templates = verdicts(names[:n])
+        assert got == want
+        assert n == 64 or templates == {"/*/x/{n}", "/*/y/{n}", *[f"/{s}/{e}/{{n}}" for s in names[:3] for e in "xy"]}
