@@ -269,11 +269,12 @@ def _members(docs: DataFrame, text: str, p: Params) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", params: Params = Params()) -> DataFrame:
-    """One document of each class, the one with the smallest key, with all columns. Of rows with the same key one stays."""
+    """One document of each class, the one with the smallest key, with all columns. Of rows with the same key and text one
+    stays; rows with a null key stay all."""
     with shared.scratch(docs.sparkSession):
         found = classes(docs, key, text, params)
         gone = shared.written(found.where(F.col(key) != F.col("component_id")).select(key).distinct(), "dropped", outlive=True)
     kept = docs.join(gone, key, "left_anti").select(*docs.columns)
-    if docs.groupBy(key).count().where("count > 1").limit(1).count():
-        kept = kept.dropDuplicates([key])
+    if docs.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").limit(1).count():
+        kept = kept.where(F.col(key).isNotNull()).dropDuplicates([key, text]).union(kept.where(F.col(key).isNull()))
     return kept
