@@ -113,11 +113,10 @@ class Scanner:
             for offset, piece in p.pieces:
                 for at in find_all(data, piece):
                     row = int(np.searchsorted(bounds, at, "right")) - 1
-                    lo, hi = at - offset - p.edits - 1, at - offset + len(p.notice) + p.edits + 1
-                    regions.add((row, max(lo, int(bounds[row])), min(hi, int(bounds[row + 1]) - 1)))
+                    # an edit may put in a character of four bytes; a region is whole words, as all begin and end with a space
+                    lo, hi = max(at - offset - 4 * p.edits, int(bounds[row]) + 1), min(at - offset + len(p.notice) + 4 * p.edits, int(bounds[row + 1]) - 2)
+                    regions.add((row, data.rfind(b" ", int(bounds[row]), lo) + 1, data.find(b" ", hi)))
             for row, lo, hi in merged(regions):
-                while lo < hi and data[lo] & 0xC0 == 0x80:
-                    lo += 1
                 window = data[lo:hi].decode("utf-8", "ignore")
                 for m in fuzzy.finditer(window):
                     edits = sum(m.fuzzy_counts)
