@@ -118,16 +118,26 @@ class Scanner:
                     regions.add((row, data.rfind(b" ", int(bounds[row]), lo) + 1, data.find(b" ", hi)))
             for row, lo, hi in merged(regions):
                 window = data[lo:hi].decode("utf-8", "ignore")
-                for m in fuzzy.finditer(window):
-                    edits = sum(m.fuzzy_counts)
-                    a = lo + len(window[: m.start()].encode())
-                    b = a + len(m.group().encode())
+                for start, end, edits in places(fuzzy, window, len(p.notice) - p.edits):
+                    a = lo + len(window[:start].encode())
+                    b = a + len(window[start:end].encode())
                     first = int(spaces[a] - spaces[bounds[row]]) - 1
                     last = int(spaces[b] - spaces[bounds[row]]) - 1
                     matches.setdefault(row, []).append((p.label, first, last + 1, edits, 1 - edits / len(p.notice)))
         return [(int(counts[i]), sorted(base.get(i, [])), sorted(set(matches.get(i, [])))) for i in range(len(texts))]
 
 
+def places(fuzzy: regex.Pattern, window: str, least: int) -> Iterator[tuple[int, int, int]]:
+    """Start, end and edits of matches that don't overlap: the best one, and those before and behind it in the same way."""
+    todo = [(0, len(window))]
+    while todo:
+        a, b = todo.pop()
+        m = fuzzy.search(window[a:b]) if b - a >= least else None
+        if m:
+            yield a + m.start(), a + m.end(), sum(m.fuzzy_counts)
+            todo += [(a, a + m.start() - 1), (a + m.end() + 1, b)]
+
+
 def merged(regions: set[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
     """Regions of the same text that overlap become one."""
     now = None

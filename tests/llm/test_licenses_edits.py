@@ -18,3 +18,9 @@ def test_edits_of_several_bytes():
 
 def test_matches_are_whole_words():
     assert not matches("xxxxxxxxxall rights reserved") and not matches("all rights reservedxxxxxxxxx")
+
+
+def test_weaker_matches_before_a_better_one_are_kept():
+    notice, weak = "all rights reserved", "all rights reservd"
+    for text, edits in ((f"{weak} {notice}", [1, 0]), (f"{notice} {weak} {notice} {weak}", [0, 1, 0, 1]), (f"{weak} {weak} x {notice}", [1, 1, 0])):
+        assert [m[3] for m in matches(text) if m[0] == "all-rights-reserved"] == edits, text
