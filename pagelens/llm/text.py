@@ -1,7 +1,7 @@
 """Vectorised text kernels: words, lines and shingles of whole Arrow batches as numpy arrays.
 
 Texts are UTF-8 bytes. All word classes used here have ASCII delimiters only, so that working on bytes equals working on
-characters. Hashes are 64-bit: a polynomial over the bytes (random value per byte, odd base, modulo 2**64) and a final mix.
+characters. Hashes are polynomials over the bytes modulo a prime, for two bases, joined and mixed to 64 bits.
 """
 
 from __future__ import annotations
@@ -17,9 +17,6 @@ import pyarrow as pa
 #: Bytes of text handled at once; one longer text is handled alone.
 CHUNK_BYTES = 1 << 20
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
-
 
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalise 64-bit hashes so that all bits depend on all bits."""
@@ -31,10 +28,10 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-_BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_LOWERED_VALUES = _BYTE_VALUES[_LOWER]
+_VALUES = np.arange(1, 257, dtype=np.uint64)
+_LOWERED_VALUES = _VALUES[_LOWER]
 
 
 def byte_class(is_word) -> np.ndarray:
@@ -47,25 +44,48 @@ NOT_SPACE = byte_class(lambda b: b != 0x20 and not 0x09 <= b <= 0x0D)
 #: `[^\x00-\x2F\x3A-\x60\x7B-\x7F]` after lower-casing A-Z: digits, ASCII letters, all beyond ASCII.
 ALNUM = byte_class(lambda b: b >= 0x80 or 0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A)
 
+#: A Mersenne prime, so that a remainder takes shifts and sums, and the two bases of the byte hash.
+_PRIME = (1 << 31) - 1
+_BASES = (0x5DEECE66 % _PRIME, 0x2545F491)
+
+
+def fold(x: np.ndarray) -> np.ndarray:
+    """Remainders of values below 2**62 by _PRIME."""
+    p, s = np.uint64(_PRIME), np.uint64(31)
+    x = (x & p) + (x >> s)
+    x = (x & p) + (x >> s)
+    return np.where(x >= p, x - p, x)
+
+
+def _upto(base: int, n: int) -> np.ndarray:
+    out = np.ones(n, np.uint64)
+    k = 1
+    while k < n:
+        out[k : 2 * k] = fold(out[: min(k, n - k)] * np.uint64(pow(base, k, _PRIME)))
+        k *= 2
+    return out.astype(np.uint32)
+
+
+class _Local(dict):
+    """A cache of the process. It is empty again wherever it is sent, so that functions that use it stay small when pickled."""
+
+    def __reduce__(self):
+        return _Local, ()
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    def upto(base: int) -> np.ndarray:
-        out = np.full(n, base & _MASK, dtype=np.uint64)
-        out[0] = 1
-        return np.multiply.accumulate(out)
 
-    return upto(_BASE), upto(pow(_BASE, -1, 1 << 64))
+_cache = _Local()
 
 
-_cache: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+def powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each base its powers and those of its inverse; tables for ordinary chunks are kept."""
 
+    def tables(m: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [(_upto(b, m), _upto(pow(b, -1, _PRIME), m)) for b in _BASES]
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse; tables for ordinary chunks are kept."""
     if n > 2 * CHUNK_BYTES:
-        return _powers(n)
-    if "p" not in _cache or len(_cache["p"][0]) < n:
-        _cache["p"] = _powers(max(n, CHUNK_BYTES + 1))
+        return tables(n)
+    if "p" not in _cache or len(_cache["p"][0][0]) < n:
+        _cache["p"] = tables(max(n, CHUNK_BYTES + 1))
     return _cache["p"]
 
 
@@ -132,13 +152,17 @@ class Hasher:
     """Hashes of any byte ranges of a group of texts."""
 
     def __init__(self, data: np.ndarray, lower: bool = False):
-        power, self.inverse = powers(len(data) + 1)
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        if len(data):
-            np.cumsum((_LOWERED_VALUES if lower else _BYTE_VALUES)[data] * power[: len(data)], out=self.sums[1:])
+        n = len(data)
+        values, self.parts = (_LOWERED_VALUES if lower else _VALUES)[data], []
+        for power, inverse in powers(n + 1):
+            sums = np.zeros(n + 1, np.uint64)
+            terms = values * power[:n]
+            np.cumsum(terms if n < 1 << 22 else fold(terms), out=sums[1:])  # below 2**62 either way
+            self.parts.append((sums, inverse))
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+        high, low = (fold(fold(sums[ends] - sums[starts]) * inverse[starts]) for sums, inverse in self.parts)
+        return mix(((high << np.uint64(31)) | low) + mix((ends - starts).astype(np.uint64)))
 
 
 @dataclass
