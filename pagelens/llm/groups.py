@@ -13,22 +13,69 @@ from . import shared
 from . import text as X
 
 
-def in_blocks(df: DataFrame, key: str, sizes: DataFrame, blocks: Column, spread: Column, to: str = "task") -> DataFrame:
-    """The rows of each key, dealt to tasks of bounded size so that any two rows of a key meet in one of them.
+def in_blocks(df: DataFrame, key: str, sizes: DataFrame, blocks: Column, spread: Column, salt: int = 1) -> DataFrame:
+    """The rows of each key with a column task: a key's rows are cut into blocks by a hash of `spread`, and each block is a task.
 
-    sizes: the keys that matter and their figures; blocks: from these figures the number of blocks. A key of one block is one task. A
-    larger one is cut into blocks by a hash of `spread`, and each pair of blocks is a task."""
+    sizes: the keys that matter and their figures; blocks: from these figures the number of blocks. Rows of different blocks don't meet here."""
     dealt = df.join(sizes.select(key, blocks.cast("int").alias("_blocks")), key)
-    own = F.pmod(F.xxhash64(spread, F.lit(1)), F.col("_blocks")).cast("int")
-    dealt = dealt.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    task = F.struct(F.col(key), F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"))
-    return dealt.withColumn(to, F.xxhash64(task)).drop("_blocks", "_own", "_other")
-
-
-def each(df: DataFrame, key: str, work: Callable[[pa.Table], pa.Table | None], schema: str) -> DataFrame:
+    own = F.pmod(F.xxhash64(spread, F.lit(salt)), F.col("_blocks"))
+    return dealt.withColumn("task", F.xxhash64(F.struct(F.col(key), F.lit(salt), own))).drop("_blocks")
+
+
+def against_all(df: DataFrame, key: str, rest: Column, sizes: DataFrame, blocks: Column, rest_blocks: Column, spread: Column) -> DataFrame:
+    """The rows of each key with a column task, so that each row of the rest meets every row of its key in one of the tasks.
+
+    All rows stand in `blocks`, those of the rest also in `rest_blocks`; a task is a pair of them. Where the rest fills one block, every other
+    row is sent once."""
+    dealt = df.join(sizes.select(key, blocks.cast("int").alias("_blocks"), F.greatest(rest_blocks.cast("int"), F.lit(1)).alias("_rests")), key)
+    at = lambda salt, n: F.pmod(F.xxhash64(spread, F.lit(salt)), F.col(n)).cast("int")
+    pair = lambda r, b: F.struct(r.alias("r"), b.alias("b"))
+    member = F.transform(F.sequence(F.lit(0), F.col("_rests") - 1), lambda r: pair(r, at(11, "_blocks")))
+    of_rest = F.when(rest, F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda b: pair(at(12, "_rests"), b))).otherwise(F.array().cast("array<struct<r:int,b:int>>"))
+    dealt = dealt.withColumn("_pair", F.explode(F.array_union(member, of_rest)))
+    return dealt.withColumn("task", F.xxhash64(F.struct(F.col(key), F.lit(-1), F.col("_pair")))).drop("_blocks", "_rests", "_pair")
+
+
+def forest(
+    members: DataFrame, payload: DataFrame, work: Callable[[pa.Table], pa.Table | None], most_rows: int, most_weight: int, rounds: int = 1
+) -> DataFrame:
+    """Links a, b whose components are those of all links that `work` finds between two nodes of a group.
+
+    members: group, node, weight. payload: node and what work needs of it; work gets it with task and component, and may skip pairs of one component.
+    Groups within the bounds are one task. Larger ones are cut into blocks, `rounds` times by different hashes. Nodes outside the largest component
+    so found are then held against all nodes of their group: no pair of different components is left out, and a group that is one class costs
+    no more than its rows."""
+    blocks = lambda n, w: F.greatest(F.ceil(F.col(n) / most_rows), F.ceil(F.col(w) / most_weight))
+    sizes = shared.written(members.groupBy("group").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).where("n > 1"), "group-sizes")
+    large = sizes.where(blocks("n", "w") > 1)
+
+    def linked(dealt: DataFrame) -> DataFrame:
+        return shared.written(each(dealt.join(payload, "node"), "task", work, "a long, b long").distinct(), "links")
+
+    found = linked(in_blocks(members.select("group", "node"), "group", sizes, blocks("n", "w"), F.col("node")).select("task", "node", F.col("node").alias("component")))
+    if not large.limit(1).count():
+        return found
+    members = shared.written(members.join(large.select("group"), "group", "left_semi"), "large-groups")
+
+    def named() -> DataFrame:
+        return members.join(components(found).withColumnRenamed("component", "_c"), "node", "left").withColumn("component", F.coalesce("_c", "node")).drop("_c")
+
+    for salt in range(2, rounds + 1):
+        found = found.union(linked(in_blocks(named(), "group", large, blocks("n", "w"), F.col("node"), salt).select("task", "node", "component")))
+    now = shared.written(named(), "named")
+    each_one = now.groupBy("group", "component").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
+    whole = each_one.groupBy("group").agg(F.count("*").alias("components"), F.sum("n").alias("n"), F.sum("w").alias("w"), F.max(F.struct("n", "w", "component")).alias("main"))
+    whole = whole.where("components > 1").select("group", "n", "w", "main.component", (F.col("n") - F.col("main.n")).alias("rn"), (F.col("w") - F.col("main.w")).alias("rw"))
+    whole = shared.written(whole.withColumnRenamed("component", "main"), "rest-sizes")
+    marked = now.join(whole.select("group", "main"), "group")
+    rest = against_all(marked, "group", F.col("component") != F.col("main"), whole, blocks("n", "w"), blocks("rn", "rw"), F.col("node"))
+    return found.union(linked(rest.select("task", "node", "component")))
+
+
+def each(df: DataFrame, key: str, work: Callable[[pa.Table], pa.Table | None], schema: str, tasks: int | None = None) -> DataFrame:
     """work applied to all rows of each value of a long key. Rows of a key are together in memory, so their number has to be bounded.
 
-    Rows stream through sorted partitions; many small groups cost no call of Spark's each."""
+    Rows stream through sorted partitions (`tasks` of them, if given); many small groups cost no call of Spark's each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.RecordBatch] = []
@@ -54,7 +101,8 @@ def each(df: DataFrame, key: str, work: Callable[[pa.Table], pa.Table | None], s
             yield from out.combine_chunks().to_batches()
 
     columns = [key, *[c for c in df.columns if c != key]]
-    return df.select(*columns).repartition(key).sortWithinPartitions(key).mapInArrow(run, schema)
+    dealt = df.select(*columns).repartition(tasks, key) if tasks else df.select(*columns).repartition(key)
+    return dealt.sortWithinPartitions(key).mapInArrow(run, schema)
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:

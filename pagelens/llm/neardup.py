@@ -2,21 +2,23 @@
 
 1. One pass over the texts gives each document's set of word shingles as a fingerprint, band keys and a signature: of each of the
    minima only the low bits are kept and packed.
-2. Documents with the same set are one node from here on, the smallest id; so exact copies cost nothing more.
+2. Documents with the same set are one node from here on; so exact copies cost nothing more.
 3. Nodes that share a band key are candidates. Within a bucket the similarity is estimated from the number of equal low-bit groups
    (by bit counts), corrected for chance collisions; pairs far below the threshold are dropped, and of the rest a spanning forest is kept.
 4. Nodes joined by candidates form loose groups. In each, links are confirmed on the full sets, skipping pairs that are already connected.
 5. Connected components of the confirmed links are the classes.
 
-Buckets and loose groups above a bounded size are cut into blocks, and every pair of blocks is a task of its own: nothing is capped,
-sampled or dropped, and no pair is listed unless it is part of a spanning forest.
+Large buckets and loose groups are cut into blocks (see groups.forest). Copies of one template are one component after that, whatever their number;
+nodes outside the largest component are held against all of the group. Nothing is capped, sampled or dropped, and no pair is listed unless it is part
+of a spanning forest.
 
 Recall: with 32 bands of 4 (threshold under 0.85) or 25 of 5, a pair at the threshold is missed by banding with a chance under 1e-6, and by
 the estimate's margin (4.5 standard deviations) with one under 1e-5; a class is lost only if all its connecting pairs are.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is alone; a text with fewer words than a shingle is one
-shingle; repeated rows are members of the same class; an empty table gives an empty result; other columns are ignored. A class's id is its
-smallest key.
+shingle; repeated rows are members of the same class; rows that share a key but not the text are nodes of their own; rows with a null key are members,
+and a class without any key has a null id; a very long text is one set; an empty table gives an empty result; other columns are ignored, whatever their
+names. A class's id is its smallest key, ties don't matter to it.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ from . import text as X
 BITS = 4
 HASHES = 128
 #: Rows, and shingles, that one task of a bucket or loose group holds at most for each of its two blocks.
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 256
 BLOCK_SHINGLES = 1_000_000
 
 
@@ -101,8 +103,10 @@ def estimates(words: np.ndarray, one: np.ndarray) -> np.ndarray:
 class Forest:
     """Union-find over positions."""
 
-    def __init__(self, n: int):
-        self.up = np.arange(n)
+    def __init__(self, component: np.ndarray):
+        """Positions of the same component are joined from the start."""
+        _, first, own = np.unique(component, return_index=True, return_inverse=True)
+        self.up = first[own]
 
     def root(self, i: int) -> int:
         while self.up[i] != i:
@@ -127,18 +131,25 @@ class Forest:
         return True
 
 
-def sketches(docs: DataFrame, key: str, text: str, p: Params) -> DataFrame:
-    """key, n_shingles, fp1 and fp2 (fingerprint of the set), bands (array of longs), signature; the last two null for empty sets."""
+def _identified(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """key, id (the key, or the smallest long without one), th (hash of the text), text. Rows with the same id and th are the same document."""
+    k = F.col(key).cast("long")
+    return docs.select(k.alias("key"), F.coalesce(k, F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+
+
+def sketches(docs: DataFrame, p: Params) -> DataFrame:
+    """key, id, th, n_shingles, node (fingerprint of the set), bands (array of longs), signature; the last two null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for group in X.chunked(batch.column(1)):
+            for group in X.chunked(batch.column(3)):
                 values, bounds = sets(group, p.shingle_words)
                 n = np.diff(bounds)
                 sums = np.zeros((2, len(values) + 1), np.uint64)
                 np.cumsum(values, out=sums[0, 1:])
                 np.cumsum(X.mix(values + np.uint64(77)), out=sums[1, 1:])
-                fp = (sums[:, bounds[1:]] - sums[:, bounds[:-1]]).view(np.int64)
+                fp = sums[:, bounds[1:]] - sums[:, bounds[:-1]]
+                node = X.mix(fp[0] ^ X.mix(fp[1] + n.astype(np.uint64)))
                 low = minima(values, bounds)
                 bands = np.zeros((len(low), p.bands), np.uint64)
                 for b in range(p.bands):
@@ -147,19 +158,19 @@ def sketches(docs: DataFrame, key: str, text: str, p: Params) -> DataFrame:
                 packed = signatures(low)
                 has = n > 0
                 where = np.cumsum(has) - 1
+                rows = batch.slice(group.first, len(group))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(group.first, len(group)),
+                        *rows.columns[:3],
                         pa.array(n.astype(np.int64)),
-                        pa.array(fp[0]),
-                        pa.array(fp[1]),
+                        pa.array(node.view(np.int64)),
                         pa.array([bands[where[i]].view(np.int64) if has[i] else None for i in range(len(n))], pa.list_(pa.int64())),
                         pa.array([packed[where[i]].tobytes() if has[i] else None for i in range(len(n))], pa.binary()),
                     ],
-                    names=["key", "n_shingles", "fp1", "fp2", "bands", "signature"],
+                    names=["key", "id", "th", "n_shingles", "node", "bands", "signature"],
                 )
 
-    return docs.select(F.col(key).cast("long").alias("key"), text).mapInArrow(run, "key long, n_shingles long, fp1 long, fp2 long, bands array<long>, signature binary")
+    return docs.mapInArrow(run, "key long, id long, th long, n_shingles long, node long, bands array<long>, signature binary")
 
 
 def _bucket(least: float):
@@ -174,7 +185,7 @@ def _bucket(least: float):
             return None
         packed = t.column("signature").to_pylist()
         sig = np.frombuffer(b"".join(packed[i] for i in first), np.uint64).reshape(n, -1)
-        forest, a, b = Forest(n), [], []
+        forest, a, b = Forest(t.column("component").to_numpy()[first]), [], []
         for i in range(n - 1):
             near = np.flatnonzero(estimates(sig[i + 1 :], sig[i]) >= least) + i + 1
             roots = forest.roots()
@@ -201,7 +212,7 @@ def _confirm(percent: int, least: float):
         sig = np.frombuffer(b"".join(packed[i] for i in first), np.uint64).reshape(n, -1)
         own = [np.frombuffer(members[i], np.uint64) for i in first]
         size = np.array([len(x) for x in own])
-        forest, a, b = Forest(n), [], []
+        forest, a, b = Forest(t.column("component").to_numpy()[first]), [], []
         for i in range(n - 1):
             est = estimates(sig[i + 1 :], sig[i])
             fit = (est >= least) & (100 * np.minimum(size[i + 1 :], size[i]) >= percent * np.maximum(size[i + 1 :], size[i]))
@@ -224,57 +235,61 @@ def _confirm(percent: int, least: float):
     return work
 
 
+def _classes(docs: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
+    """The sketches of all rows; and node, least (smallest key of its class), keep (id and th of its first document with a key). docs: see _identified."""
+    seen = shared.written(sketches(docs, params), "sketches", outlive=True)
+    head, keyed = F.struct("id", "th"), F.when(F.col("key").isNotNull(), F.struct("id", "th"))
+    first = [F.first(c).alias(c) for c in ("n_shingles", "bands", "signature")]
+    nodes = shared.written(seen.where("n_shingles > 0").groupBy("node").agg(F.min(head).alias("head"), F.min(keyed).alias("keep"), F.min("key").alias("least"), *first), "nodes")
+
+    banded = nodes.select(F.explode("bands").alias("group"), "node", F.lit(0).cast("long").alias("weight"))
+    loose = groups.forest(banded, nodes.select("node", "signature"), _bucket(params.least_estimate), BLOCK_ROWS, 1)
+    loose = shared.written(groups.components(loose), "loose")
+
+    wanted = loose.join(nodes.select("node", "head.id", "head.th"), "node")
+    full = shared.written(_members(docs.join(wanted, ["id", "th"]), params).dropDuplicates(["node"]), "sets")
+    full = full.join(nodes.select("node", "signature"), "node")
+    members = loose.join(nodes.select("node", "n_shingles"), "node").select(F.col("component").alias("group"), "node", F.col("n_shingles").alias("weight"))
+    links = groups.forest(members, full, _confirm(params.percent, params.least_estimate), BLOCK_ROWS, BLOCK_SHINGLES, rounds=2)
+    found = shared.written(groups.components(links), "classes")
+
+    of = nodes.select("node", "least", "keep").join(found, "node", "left").withColumn("class", F.coalesce("component", "node"))
+    least = of.where("component IS NOT NULL").groupBy("class").agg(F.min("least").alias("c_least"), F.min("keep").alias("c_keep"))
+    named = of.join(least, "class", "left").select("node", F.coalesce("c_least", "least").alias("least"), F.coalesce("c_keep", "keep").alias("keep"))
+    return seen, shared.written(named, "named-classes", outlive=True)
+
+
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", params: Params = Params()) -> DataFrame:
     """key, n_shingles, component_id (the smallest key of the class) for each row."""
-    seen = shared.written(sketches(docs, key, text, params), "sketches")
-    node = seen.where("n_shingles > 0").groupBy("n_shingles", "fp1", "fp2").agg(F.min("key").alias("node"))
-    # a node's row with its bands and signature is that of the smallest key; repeated rows are the same
-    heads = shared.written(node, "nodes")
     with shared.scratch(docs.sparkSession):
-        nodes = shared.written(
-            seen.select("key", "bands", "signature", "n_shingles").join(heads.select(F.col("node").alias("key")), "key", "left_semi").dropDuplicates(["key"]).withColumnRenamed("key", "node"), "nodes"
-        )
-        keys = nodes.select("node", F.explode("bands").alias("bucket"))
-        shared_keys = keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-        met = groups.in_blocks(keys, "bucket", shared_keys, F.ceil(F.col("n") / BLOCK_ROWS), F.col("node"))
-        met = met.select("node", "task").join(nodes.select("node", "signature"), "node")
-        loose_edges = shared.written(groups.each(met, "task", _bucket(params.least_estimate), "a long, b long").distinct(), "candidates")
-        loose = shared.written(groups.components(loose_edges), "loose")
-
-        members = docs.select(F.col(key).cast("long").alias("node"), text).join(loose, "node")
-        full = shared.written(_members(members, text, params).dropDuplicates(["node"]), "sets")
-        full = full.join(nodes.select("node", "signature", "n_shingles"), "node")
-        sizes = loose.join(nodes.select("node", "n_shingles"), "node").groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
-        blocks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("s") / BLOCK_SHINGLES))
-        dealt = groups.in_blocks(full, "component", sizes, blocks, F.col("node")).select("task", "node", "signature", "members")
-        links = groups.each(dealt, "task", _confirm(params.percent, params.least_estimate), "a long, b long")
-        found = shared.written(groups.components(links), "classes", outlive=True)
-
-    named = heads.join(found, "node", "left").select("n_shingles", "fp1", "fp2", F.coalesce("component", "node").alias("component_id"))
-    out = seen.select("key", "n_shingles", "fp1", "fp2").join(named, ["n_shingles", "fp1", "fp2"], "left")
-    return out.select(F.col("key").alias(key), "n_shingles", F.coalesce("component_id", "key").alias("component_id"))
-
-
-def _members(docs: DataFrame, text: str, p: Params) -> DataFrame:
-    """node, component, members (sorted shingle hashes as bytes)."""
+        seen, named = _classes(_identified(docs, key, text), params)
+    out = seen.select("key", "n_shingles", "node").join(named.select("node", "least"), "node", "left")
+    alone = F.col("n_shingles") == 0
+    return out.select(F.col("key").alias(key), "n_shingles", F.when(alone, F.col("key")).otherwise(F.col("least")).alias("component_id"))
+
+
+def _members(docs: DataFrame, p: Params) -> DataFrame:
+    """node, members (sorted shingle hashes as bytes). docs: node and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for group in X.chunked(batch.column(2)):
+            for group in X.chunked(batch.column(1)):
                 values, bounds = sets(group, p.shingle_words)
                 rows = batch.slice(group.first, len(group))
-                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array([values[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)], pa.binary())], names=["node", "component", "members"])
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([values[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)], pa.binary())], names=["node", "members"])
 
-    return docs.select("node", "component", text).mapInArrow(run, "node long, component long, members binary")
+    return docs.select("node", "text").mapInArrow(run, "node long, members binary")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", params: Params = Params()) -> DataFrame:
     """One document of each class, the one with the smallest key, with all columns. Of rows with the same key and text one
-    stays; rows with a null key stay all."""
+    stays; rows with a null key stay all, and so do rows without words."""
     with shared.scratch(docs.sparkSession):
-        found = classes(docs, key, text, params)
-        gone = shared.written(found.where(F.col(key) != F.col("component_id")).select(key).distinct(), "dropped", outlive=True)
-    kept = docs.join(gone, key, "left_anti").select(*docs.columns)
-    if docs.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").limit(1).count():
+        seen, named = _classes(_identified(docs, key, text), params)
+        rows = seen.where("n_shingles > 0 AND key IS NOT NULL").join(named, "node")
+        gone = rows.where((F.col("id") != F.col("keep.id")) | (F.col("th") != F.col("keep.th"))).select(F.col("id").alias("_gone_id"), F.col("th").alias("_gone_th")).distinct()
+        gone = shared.written(gone, "dropped", outlive=True)
+    kept = docs.join(gone, (F.col(key).cast("long") == gone["_gone_id"]) & (F.xxhash64(text) == gone["_gone_th"]), "left_anti")
+    if seen.where("key IS NOT NULL").groupBy("id", "th").count().where("count > 1").limit(1).count():
         kept = kept.where(F.col(key).isNotNull()).dropDuplicates([key, text]).union(kept.where(F.col(key).isNull()))
     return kept
