@@ -2,29 +2,34 @@
 
 A line's tokens are its words (lower-cased A-Z, split at white space), as a set. Two lines match if the
 Jaccard similarity of their token sets is at least `percent` hundredths. A line is removed if it matches any earlier line of the corpus, in
-the order of key and line number, whether or not that one is removed itself.
+the order of key (rows without one first), hash of the text and line number, whether or not that one is removed itself.
 
 1. One pass counts the occurrences of every token over the whole corpus, in a fixed number of hash buckets, and numbers all lines. The rarity so
    found orders the tokens; any fixed order gives the same result, a good one gives few candidates.
 2. Lines with the same tokens are one record with its first place; all its later places go.
 3. Prefix filter: of n tokens, the n - ceil(t n) + 1 rarest have to share one with a match. They meet by token; length, positional and signature
    bounds prune, and of what remains a spanning forest is kept, never all pairs. A signature has a parity bit for each of 64 to 512 parts
-   of the token space (more for longer lines), so sets differ in at least as many tokens as signatures in bits.
+   of the token space (more for longer lines), so sets differ in at least as many tokens as signatures in bits. The token space is cut into parts of
+   bounded size; a token too frequent for a part is a group of its own, cut into blocks (see groups.forest).
 4. In each group of records so joined, every record is verified against the earlier ones on full sets by counting common tokens. Large groups are
-   cut into blocks whose pairs are tasks of their own.
+   cut into blocks; what no earlier record of its block matches is then held against all of the group.
 
-Defined cases: a null or empty text stays as it is; a line without words stays; rows that repeat a key
-are one document, and the same lines go from each; an empty table gives an empty result; other columns pass through.
+Defined cases: a null or empty text stays as it is; a line without words stays; rows with the same key and text are one document, and the same
+lines go from each; rows that share a key only are documents of their own; rows without a key are documents too; a text or line may have any length; an
+empty table gives an empty result; other columns pass through, whatever their names, but n_lines and n_removed are replaced where counts are asked for.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import groups, shared
 from . import text as X
@@ -33,11 +38,16 @@ from .quality import lines as line_bounds
 #: Hash buckets of the rarity table (four bytes each, whatever the corpus), and ranges that are summed together.
 RARITY_BUCKETS = 1 << 20
 _RANGES = 64
+_WORD = re.compile(r"[^\x20\x09-\x0D]")
 _RANK_BITS, _HASH_BITS = 14, 32
-BLOCK_RECORDS = 2048
+#: Records, and tokens, of a block of a group that is verified.
+BLOCK_RECORDS, BLOCK_TOKENS = 512, 1_000_000
 #: Up to so many records of a token, all pairs within the length bound are tried at once.
 SMALL_GROUP = 512
-_LINE_BREAK = X.byte_class(lambda b: b == 10)
+#: Bytes of a part of the token space, and what a token's occurrence sends into it at most, on average.
+PART_BYTES, _SENT_BYTES = 32 << 20, 10
+#: Tokens that occur more often don't go to a part; of their records so many are a block.
+FREQUENT, FREQUENT_BLOCK = 1_000_000, 8192
 
 
 def tokens(texts: X.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -50,34 +60,38 @@ def tokens(texts: X.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return w.hashes, np.append(bounds[has], bounds[-1]), own[has], number[has]
 
 
-def survey(docs: DataFrame, key: str, text: str) -> DataFrame:
+def survey(docs: DataFrame) -> DataFrame:
     """The one pass that counts and numbers: part, counts (occurrences of tokens by hash bucket, a row for each range of buckets and task) or
-    record, key, line (every line with words). A record is a line's tokens with their multiplicity."""
+    record, id, th, line (every line with words). A record is a line's tokens with their multiplicity. docs: see identified."""
     width = RARITY_BUCKETS // _RANGES
-    names = ["part", "counts", "record", "key", "line"]
+    names = ["part", "counts", "record", "id", "th", "line"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, any_row = np.zeros(RARITY_BUCKETS, np.int64), False
         for batch in batches:
-            keys = X.longs(batch.column(0))
-            for group in X.chunked(batch.column(1)):
+            ids, th = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for group in X.chunked(batch.column(2)):
                 any_row = True
                 hashes, bounds, own, number = tokens(group)
                 counts += np.bincount((hashes % np.uint64(RARITY_BUCKETS)).astype(np.int64), minlength=RARITY_BUCKETS)
-                n = len(own)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(_records(hashes, bounds).view(np.int64)), pa.array(keys[group.first + own]), pa.array(number.astype(np.int32))], names=names
-                )
+                n, at = len(own), group.first + own
+                columns = [_records(hashes, bounds).view(np.int64), ids[at], th[at], number.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), *map(pa.array, columns)], names=names)
         if any_row:
             blobs = [counts[i * width : (i + 1) * width].tobytes() for i in range(_RANGES)]
-            none = [pa.nulls(_RANGES, t) for t in (pa.int64(), pa.int64(), pa.int32())]
+            none = [pa.nulls(_RANGES, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int32())]
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(_RANGES)), pa.array(blobs, pa.binary()), *none], names=names)
 
-    return docs.select(F.col(key).cast("long").alias("key"), text).mapInArrow(run, "part long, counts binary, record long, key long, line int")
+    return docs.mapInArrow(run, "part long, counts binary, record long, id long, th long, line int")
 
 
-def rarity(surveyed: DataFrame) -> np.ndarray:
-    """Occurrences of tokens by hash bucket over the whole corpus, as logarithmic ranks that fit in _RANK_BITS."""
+def identified(docs: DataFrame, key: str, text: str, *more: Column) -> DataFrame:
+    """id (the key, or the smallest long without one), th (hash of the text), text and more. Rows with the same id and th are the same document."""
+    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("th"), F.col(text).alias("text"), *more)
+
+
+def occurrences(surveyed: DataFrame) -> np.ndarray:
+    """Occurrences of tokens by hash bucket over the whole corpus."""
     width = RARITY_BUCKETS // _RANGES
 
     def add(t: pa.Table) -> pa.Table:
@@ -88,19 +102,28 @@ def rarity(surveyed: DataFrame) -> np.ndarray:
     whole = np.zeros(RARITY_BUCKETS, np.int64)
     for part, counts in parts:
         whole[part * width : (part + 1) * width] = np.frombuffer(counts, np.int64)
+    return whole
+
+
+def rarity(counts: np.ndarray) -> np.ndarray:
+    """Logarithmic ranks of counts, that fit in _RANK_BITS; they grow with the counts."""
     top = (1 << _RANK_BITS) - 1
-    return np.minimum(top, np.round(np.log2(1 + whole) * 256)).astype(np.uint64)
+    return np.minimum(top, np.round(np.log2(1 + counts) * 256)).astype(np.uint16)
 
 
 def ranked(hashes: np.ndarray, bounds: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct tokens of each line as short ids in the order of rarity, and the bounds.
+    """The distinct tokens of each line as short ids in the order of rarity and full hash, and the bounds.
 
-    An id is rank and 32 hash bits; ids of different tokens may clash, which adds candidates and loses none."""
+    An id is rank and 32 hash bits. Ids of different tokens may clash, also in one line, where both stay: that adds candidates and loses none."""
     own = X.owner(bounds).astype(np.uint64)
-    ids = (own << np.uint64(_RANK_BITS + _HASH_BITS)) | (rank[(hashes % np.uint64(RARITY_BUCKETS)).astype(np.int64)] << np.uint64(_HASH_BITS)) | (hashes >> np.uint64(64 - _HASH_BITS))
-    ids.sort()
+    ids = (own << np.uint64(_RANK_BITS + _HASH_BITS)) | (rank[(hashes % np.uint64(RARITY_BUCKETS)).astype(np.int64)].astype(np.uint64) << np.uint64(_HASH_BITS)) | (hashes >> np.uint64(64 - _HASH_BITS))
+    order = np.argsort(ids)
+    same = ids[order[1:]] == ids[order[:-1]]
+    if (same & (hashes[order[1:]] != hashes[order[:-1]])).any():
+        order = np.lexsort((hashes, ids))
+    ids, hashes = ids[order], hashes[order]
     new = np.ones(len(ids), bool)
-    new[1:] = ids[1:] != ids[:-1]
+    new[1:] = (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1])
     ids = ids[new]
     own = (ids >> np.uint64(_RANK_BITS + _HASH_BITS)).astype(np.int64)
     return ids & np.uint64((1 << (_RANK_BITS + _HASH_BITS)) - 1), np.searchsorted(own, np.arange(len(bounds)))
@@ -162,14 +185,15 @@ def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return token.reshape(-1).view("<u8"), set_, n, pos, np.frombuffer(data, "<u8", -1, 9 + (14 + 2 * width) * m)
 
 
-def prefixes(docs: DataFrame, key: str, text: str, rank: np.ndarray, percent: int, parts: int) -> DataFrame:
-    """part, records: prefix tokens of all sets that may match another set, packed by part of the token space."""
+def prefixes(docs: DataFrame, rank, percent: int, parts: int, frequent: int) -> DataFrame:
+    """part, records: prefix tokens of all sets that may match another set, packed by part of the token space; part -1 holds those of tokens
+    whose rank is at least `frequent`. rank: a broadcast of the ranks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, sigs, n_held, n_lines = [], [], 0, 0
         for batch in batches:
             for _, hashes, bounds, _, _ in _line_groups(batch, 0):
-                ids, to = ranked(hashes, bounds, rank)
+                ids, to = ranked(hashes, bounds, rank.value)
                 n = np.diff(to)
                 sets = _records(hashes, bounds)
                 _, first = np.unique(sets, return_index=True)
@@ -193,6 +217,7 @@ def prefixes(docs: DataFrame, key: str, text: str, rank: np.ndarray, percent: in
         same[1:] = (columns[1][order[1:]] == columns[1][order[:-1]]) & (columns[4][order[1:]] == columns[4][order[:-1]])
         columns = [c[order[~same]] for c in columns]
         part = (X.mix(columns[0]) % np.uint64(parts)).astype(np.int64)
+        part[columns[0] >> np.uint64(_HASH_BITS) >= np.uint64(frequent)] = -1
         order = np.argsort(part, kind="stable")
         columns, part = [c[order] for c in columns], part[order]
         found, at = np.unique(part, return_index=True)
@@ -201,7 +226,22 @@ def prefixes(docs: DataFrame, key: str, text: str, rank: np.ndarray, percent: in
         packed = [_pack(token[a:b], set_[a:b], sigs[line[a:b]], n[a:b], pos[a:b]) for a, b in zip(at.tolist(), ends, strict=True)]
         return pa.RecordBatch.from_arrays([pa.array(found), pa.array(packed, pa.binary())], names=["part", "records"])
 
-    return docs.select(text).mapInArrow(run, "part long, records binary")
+    return docs.select("text").mapInArrow(run, "part long, records binary")
+
+
+def _unpacked(packed: DataFrame) -> DataFrame:
+    """group (token), node (set), size (its tokens), signature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column(0):
+                token, set_, n, _, words = _unpack(data.as_py())
+                ends = 8 * np.cumsum(_widths(n))
+                raw = words.tobytes()
+                sigs = [raw[a:b] for a, b in zip((ends - 8 * _widths(n)).tolist(), ends.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(set_.view(np.int64)), pa.array(n), pa.array(sigs, pa.binary())], names=["group", "node", "size", "signature"])
+
+    return packed.select("records").mapInArrow(run, "group long, node long, size long, signature binary")
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -218,6 +258,51 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
+class _Pairs:
+    """Bounds on pairs of records: numbers of tokens, places of the shared token (None: unknown) and signatures (words of all, and where each begins)."""
+
+    def __init__(self, percent: int, n: np.ndarray, pos: np.ndarray | None, words: np.ndarray, at: np.ndarray):
+        self.percent, self.n, self.pos, self.words, self.at, self.width = percent, n, pos, words, at, _widths(n)
+
+    def _folded(self, i: np.ndarray, to: int, x: int) -> np.ndarray:
+        out = self.words[self.at[i] + x]
+        for y in range(x + to, int(self.width[i].max()), to):
+            more = self.width[i] > y
+            out[more] ^= self.words[self.at[i[more]] + y]
+        return out
+
+    def fit(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which of the pairs i, j may match."""
+        n, percent = self.n, self.percent
+        need = -(-percent * (n[i] + n[j]) // (100 + percent))
+        ok = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+        if self.pos is not None:
+            ok &= np.minimum(self.pos[i], self.pos[j]) + np.minimum(n[i] - self.pos[i], n[j] - self.pos[j]) >= need
+        least = np.minimum(self.width[i], self.width[j])
+        for to in (1, 2, 4, 8):
+            at = np.flatnonzero(ok & (least == to))
+            if len(at):
+                differ = sum(np.bitwise_count(self._folded(i[at], to, x) ^ self._folded(j[at], to, x)).astype(np.int64) for x in range(to))
+                ok[at] = differ <= n[i[at]] + n[j[at]] - 2 * need[at]
+        return ok
+
+    def spread(self, a: int, b: int, label: np.ndarray) -> tuple[list[int], list[int]]:
+        """Links that join the labels of the records a to b (in order of n) as far as pairs fit; pairs of one label are skipped."""
+        left, right, n = [], [], self.n[a:b]
+        names, own, count = np.unique(label[a:b], return_inverse=True, return_counts=True)
+        label = own.copy()
+        for i in np.flatnonzero(own != count.argmax()).tolist() if len(names) > 1 else []:
+            lo, hi = np.searchsorted(n, -(-self.percent * n[i] // 100)), np.searchsorted(n, 100 * n[i] // self.percent, "right")
+            todo = np.flatnonzero(label[lo:hi] != label[i]) + lo
+            ok = todo[self.fit(np.full(len(todo), a + i), a + todo)] if len(todo) else todo
+            if len(ok):
+                others, first = np.unique(label[ok], return_index=True)
+                left += [a + i] * len(others)
+                right += (a + ok[first]).tolist()
+                label[np.isin(label, others)] = label[i]
+        return left, right
+
+
 def _meet(percent: int):
     """Spanning forest of the sets that share a prefix token within the length and positional bounds."""
 
@@ -229,38 +314,17 @@ def _meet(percent: int):
         same[1:] = columns[0][order[1:]] == columns[0][order[:-1]]
         same[:-1] |= same[1:]
         columns = [c[order[same]] for c in columns]
-        order = np.lexsort((columns[1], columns[2], columns[0]))
+        order = np.lexsort((columns[3], columns[1], columns[2], columns[0]))
         token, set_, n, pos, sig = (c[order] for c in columns)
         new = np.ones(len(token), bool)
-        new[1:] = (token[1:] != token[:-1]) | (set_[1:] != set_[:-1])
+        new[1:] = (token[1:] != token[:-1]) | (set_[1:] != set_[:-1]) | (pos[1:] != pos[:-1])
         token, set_, n, pos, sig = token[new], set_[new], n[new], pos[new], sig[new]
         if not len(token):
             return None
         ends = np.append(np.flatnonzero(token[1:] != token[:-1]) + 1, len(token))
         size = np.diff(np.concatenate([[0], ends]))
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-
-        width = _widths(n)
-
-        def folded(i, to, x):
-            out = words[sig[i] + x]
-            for y in range(x + to, int(width[i].max()), to):
-                more = width[i] > y
-                out[more] ^= words[sig[i[more]] + y]
-            return out
-
-        def fit(i, j):
-            """Which of the pairs i, j may match."""
-            need = -(-percent * (n[i] + n[j]) // (100 + percent))
-            most = np.minimum(pos[i], pos[j]) + 1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1
-            ok = (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (most >= need)
-            least = np.minimum(width[i], width[j])
-            for to in (1, 2, 4, 8):
-                at = np.flatnonzero(ok & (least == to))
-                if len(at):
-                    differ = sum(np.bitwise_count(folded(i[at], to, x) ^ folded(j[at], to, x)).astype(np.int64) for x in range(to))
-                    ok[at] = differ <= n[i[at]] + n[j[at]] - 2 * need[at]
-            return ok
+        pairs = _Pairs(percent, n, pos, words, sig)
 
         # within a token records stand by length, so that those within the length bound follow each other
         end_of = np.repeat(ends, size)
@@ -270,21 +334,17 @@ def _meet(percent: int):
             at = at[100 * n[at] >= percent * n[at + step]]
             if not len(at):
                 break
-            ok = at[fit(at, at + step)]
+            ok = at[pairs.fit(at, at + step)]
             left.append(ok)
             right.append(ok + step)
             step += 1
         for g in np.flatnonzero(size > SMALL_GROUP).tolist():
-            a, b = int(ends[g] - size[g]), int(ends[g])
-            todo = np.arange(a, b)
-            while len(todo):  # breadth first over the pairs that fit, each record visited once
-                front, todo = todo[:1], todo[1:]
-                while len(front) and len(todo):
-                    ok = fit(np.full(len(todo), front[0]), todo)
-                    left.append(np.full(int(ok.sum()), front[0]))
-                    right.append(todo[ok])
-                    front, todo = np.concatenate([front[1:], todo[ok]]), todo[~ok]
+            a, b = pairs.spread(int(ends[g] - size[g]), int(ends[g]), set_)
+            left.append(np.array(a, np.int64))
+            right.append(np.array(b, np.int64))
         left, right = np.concatenate(left), np.concatenate(right)
+        apart = set_[left] != set_[right]
+        left, right = left[apart], right[apart]
         if not len(left):
             return None
         nodes, ends_of_pairs = np.unique(set_[np.concatenate([left, right])], return_inverse=True)
@@ -295,12 +355,29 @@ def _meet(percent: int):
     return work
 
 
+def _meet_block(percent: int):
+    """The same for a block of a frequent token's sets, without the positional bound."""
+
+    def work(t: pa.Table) -> pa.Table | None:
+        node, n = t.column("node").to_numpy(), t.column("size").to_numpy()
+        _, first = np.unique(node, return_index=True)
+        order = first[np.argsort(n[first], kind="stable")]
+        node, n = node[order], n[order]
+        packed = t.column("signature").to_pylist()
+        words = np.frombuffer(b"".join(packed[i] for i in order.tolist()), np.uint64)
+        pairs = _Pairs(percent, n, None, words, np.cumsum(_widths(n)) - _widths(n))
+        a, b = pairs.spread(0, len(n), t.column("component").to_numpy()[order])
+        return pa.table({"a": node[a], "b": node[b]}) if a else None
+
+    return work
+
+
 def _verify(percent: int):
-    """The records of a group that match an earlier one."""
+    """The records of a group that match an earlier one; of records with known true, only whether others match them matters."""
 
     def work(t: pa.Table) -> pa.Table | None:
-        sets, keys, line = t.column("set_id").to_numpy(), t.column("key").to_numpy(), t.column("line").to_numpy()
-        order = np.lexsort((line, keys))
+        sets, known = t.column("set_id").to_numpy(), t.column("known").to_numpy()
+        order = np.lexsort([t.column(c).to_numpy() for c in ("line", "th", "id")])
         _, first = np.unique(sets[order], return_index=True)
         order = order[np.sort(first)]
         packed = t.column("tokens").to_pylist()
@@ -309,11 +386,12 @@ def _verify(percent: int):
         for i, row in enumerate(order.tolist()):
             own = np.frombuffer(packed[row], np.uint64)
             size[i] = len(own)
-            earlier = [posted[x] for x in own.tolist() if x in posted]
-            if earlier:
-                common = np.bincount(np.concatenate([np.array(e) for e in earlier]), minlength=i)
-                if (100 * common >= percent * (size[:i] + len(own) - common)).any():
-                    hit.append(sets[row])
+            if not known[row]:
+                earlier = [posted[x] for x in own.tolist() if x in posted]
+                if earlier:
+                    common = np.bincount(np.concatenate([np.array(e) for e in earlier]), minlength=i)
+                    if (100 * common >= percent * (size[:i] + len(own) - common)).any():
+                        hit.append(sets[row])
             for x in own.tolist():
                 posted.setdefault(x, []).append(i)
         return pa.table({"set_id": pa.array(hit, pa.int64())}) if hit else None
@@ -321,13 +399,13 @@ def _verify(percent: int):
     return work
 
 
-def _tokens_of(docs: DataFrame, text: str) -> DataFrame:
-    """task, set_id, key, line and tokens of the wanted lines. docs: key, text and wanted (array of structs line, set_id, component)."""
+def _tokens_of(docs: DataFrame) -> DataFrame:
+    """component, set_id, id, th, line and tokens of the wanted lines. docs: id, th, text and wanted (array of structs line, set_id, component)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, wanted = batch.column(0).to_pylist(), batch.column(2)
-            for group in X.chunked(batch.column(1)):
+            ids, th, wanted = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)
+            for group in X.chunked(batch.column(2)):
                 hashes, bounds, own, number = tokens(group)
                 values, to = X.distinct(hashes, bounds)
                 at = {(o, m): i for i, (o, m) in enumerate(zip(own.tolist(), number.tolist(), strict=True))}
@@ -335,52 +413,105 @@ def _tokens_of(docs: DataFrame, text: str) -> DataFrame:
                 for r in range(len(group)):
                     for w in wanted[group.first + r].as_py():
                         i = at[r, w["line"]]
-                        rows.append((w["component"], w["set_id"], keys[group.first + r], w["line"], values[to[i] : to[i + 1]].tobytes()))
+                        rows.append((w["component"], w["set_id"], ids[group.first + r], th[group.first + r], w["line"], values[to[i] : to[i + 1]].tobytes()))
                 if rows:
-                    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["component", "set_id", "key", "line", "tokens"])
-
-    return docs.select("key", text, "wanted").mapInArrow(run, "component long, set_id long, key long, line int, tokens binary")
-
-
-def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
-    """key and lines (sorted array of the numbers of lines to remove), for keys with any."""
-    spark = docs.sparkSession
-    surveyed = shared.written(survey(docs, key, text), "line-survey")
-    rank = rarity(surveyed)
-    at = surveyed.where("part IS NULL").select(F.col("record").alias("set_id"), "key", "line")
-    firsts = shared.written(at.groupBy("set_id").agg(F.min(F.struct("key", "line")).alias("first"), F.count("*").alias("n")), "line-sets")
-
-    parts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    met = groups.each(prefixes(docs, key, text, rank, percent, parts), "part", _meet(percent), "a long, b long")
+                    kinds = [*[pa.int64()] * 4, pa.int32(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["component", "set_id", "id", "th", "line", "tokens"])
+
+    return docs.select("id", "th", "text", "wanted").mapInArrow(run, "component long, set_id long, id long, th long, line int, tokens binary")
+
+
+def _near(full: DataFrame, percent: int) -> DataFrame:
+    """set_id of the records that match an earlier one of their component."""
+    blocks = lambda n, w: F.greatest(F.ceil(F.col(n) / BLOCK_RECORDS), F.ceil(F.col(w) / (8 * BLOCK_TOKENS)))
+    weigh = [F.count("*").alias("n"), F.sum(F.octet_length("tokens").cast("long")).alias("w")]
+    sizes = shared.written(full.groupBy("component").agg(*weigh), "component-sizes")
+    large = sizes.where(blocks("n", "w") > 1)
+
+    def verified(dealt: DataFrame) -> DataFrame:
+        return shared.written(groups.each(dealt.select("task", "set_id", "id", "th", "line", "known", "tokens"), "task", _verify(percent), "set_id long").distinct(), "near-lines")
+
+    near = verified(groups.in_blocks(full.withColumn("known", F.lit(False)), "component", sizes, blocks("n", "w"), F.col("set_id")))
+    if not large.limit(1).count():
+        return near
+    marked = full.join(large.select("component"), "component", "left_semi").join(near.withColumn("known", F.lit(True)), "set_id", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    rest = marked.where(~F.col("known")).groupBy("component").agg(*[w.alias(n) for w, n in zip(weigh, ("rn", "rw"), strict=True)])
+    both = shared.written(large.join(rest, "component"), "undecided-sizes")
+    return near.union(verified(groups.against_all(marked, "component", ~F.col("known"), both, blocks("n", "w"), blocks("rn", "rw"), F.col("set_id"))))
+
+
+def removed(plain: DataFrame, percent: int = 80) -> DataFrame:
+    """id, th and lines (array of the numbers of lines to remove), for documents with any. plain: see identified."""
+    spark = plain.sparkSession
+    surveyed = shared.written(survey(plain.select("id", "th", "text")), "line-survey")
+    counts = occurrences(surveyed)
+    place = F.struct("id", "th", "line")
+    at = surveyed.where("part IS NULL").select(F.col("record").alias("set_id"), "id", "th", "line")
+    firsts = shared.written(at.groupBy("set_id").agg(F.min(place).alias("first"), F.count("*").alias("n")), "line-sets")
+
+    parts = max(16, -(-int(counts.sum()) * _SENT_BYTES // PART_BYTES))
+    sent = spark.sparkContext.broadcast(rarity(counts))
+    packed = shared.written(prefixes(plain, sent, percent, parts, int(rarity(np.array([FREQUENT]))[0])), "line-prefixes", "lz4")
+    sent.destroy()
+    met = groups.each(packed.where("part >= 0"), "part", _meet(percent), "a long, b long", parts)
+    frequent = packed.where("part < 0")
+    if frequent.limit(1).count():
+        rows = shared.written(_unpacked(frequent).distinct(), "frequent-tokens")
+        nodes = rows.select("node", "size", "signature").dropDuplicates(["node"])
+        met = shared.written(met, "met").union(groups.forest(rows.select("group", "node", F.lit(0).cast("long").alias("weight")).distinct(), nodes, _meet_block(percent), FREQUENT_BLOCK, 1))
     loose = shared.written(groups.components(met), "line-groups").select(F.col("node").alias("set_id"), "component")
-    wanted = loose.join(firsts, "set_id").select("first.key", F.struct("first.line", "set_id", "component").alias("w")).groupBy("key").agg(F.collect_list("w").alias("wanted"))
+    wanted = loose.join(firsts, "set_id").select("first.id", "first.th", F.struct("first.line", "set_id", "component").alias("w")).groupBy("id", "th").agg(F.collect_list("w").alias("wanted"))
     wanted = shared.written(wanted, "wanted-lines")
-    plain = docs.select(F.col(key).cast("long").alias("key"), text).dropna(subset=[text])
-    full = _tokens_of(groups.filtered(plain, "key", groups.key_filter(wanted.select("key")), True).join(wanted.hint("merge"), "key"), text)
-    sizes = loose.groupBy("component").agg(F.count("*").alias("n"))
-    dealt = groups.in_blocks(full, "component", sizes, F.ceil(F.col("n") / BLOCK_RECORDS), F.col("set_id"))
-    near = groups.each(dealt.select("task", "set_id", "key", "line", "tokens"), "task", _verify(percent), "set_id long").distinct()
+    texts = groups.filtered(plain.select("id", "th", "text"), "th", groups.key_filter(wanted.select("th")), True)
+    full = _tokens_of(texts.join(wanted.hint("merge"), ["id", "th"])).dropDuplicates(["set_id"])
+    near = _near(shared.written(full, "line-tokens", "lz4"), percent).distinct()
 
     near = near.withColumn("near", F.lit(True))
-    known = shared.written(firsts.join(near, "set_id", "left").where((F.col("n") > 1) | F.col("near")), "known-lines")
-    gone = at.join(known, "set_id").where(F.col("near") | (F.struct("key", "line") != F.col("first")))
-    return gone.groupBy("key").agg(F.array_sort(F.collect_set("line")).alias("lines")).withColumnRenamed("key", key)
+    known = shared.written(firsts.join(near, "set_id", "left").where((F.col("n") > 1) | F.col("near")).select("set_id", "near", "first"), "known-lines")
+    gone = at.join(known, "set_id").where(F.col("near") | (place != F.col("first")))
+    return gone.groupBy("id", "th").agg(F.collect_set("line").alias("lines"))
+
+
+def _cut(schema: T.StructType, text_at: int, drop_emptied: bool):
+    """From rows of (doc, lines) the columns of doc without these lines of its text, n_lines and n_removed."""
+    kind = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, texts, n_lines, n_removed = batch.column(0), [], [], []
+            columns = doc.flatten()
+            for text, lines in zip(columns[text_at].to_pylist(), batch.column(1).to_pylist(), strict=True):
+                parts, gone = (text or "").split("\n"), set(lines or ())
+                n_lines.append(0 if text is None else len(parts))
+                n_removed.append(len(gone))
+                texts.append("\n".join(p for i, p in enumerate(parts) if i not in gone) if gone else text)
+            columns[text_at] = pa.array(texts, kind.field(text_at).type)
+            out = pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())], names=[f.name for f in schema])
+            if drop_emptied:
+                left = [not gone or _WORD.search(t) is not None for t, gone in zip(texts, n_removed, strict=True)]
+                out = out.filter(pa.array(left, pa.bool_()))
+            yield out
+
+    return run
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, counts: bool = False, drop_emptied: bool = False) -> DataFrame:
     """The documents with matching later lines taken out of the text, with all columns; with counts, n_lines and n_removed are added.
 
     drop_emptied: a document that had words and has none left goes. A document's lines are those between line feeds."""
+    added = ["n_lines", "n_removed"] if counts else []
+    names = [c for c in docs.columns if c not in added]
+    numbered = [T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(names)]
+    doc = F.struct(*[F.col(f"`{c}`").alias(f.name) for c, f in zip(names, numbered, strict=True)]).alias("doc")
     with shared.scratch(docs.sparkSession):
-        gone = shared.written(removed(docs, key, text, percent).select(F.col(key).alias("_key"), F.col("lines").alias("_lines")), "removed-lines", outlive=True)
-    bits = groups.key_filter(gone.select("_key"))
-    lines = F.split(F.col(text), "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_lines", i)), "\n")
-    touched = groups.filtered(docs, key, bits, True).join(gone.hint("merge"), F.col(key).cast("long") == F.col("_key"), "left")
-    both = touched.union(groups.filtered(docs, key, bits, False).select("*", F.lit(None).cast("long"), F.lit(None).cast("array<int>")))
-    new = F.when(F.col("_lines").isNull(), F.col(text)).otherwise(kept)
-    extra = [F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_removed")] if counts else []
-    if drop_emptied:
-        both = both.where(F.col("_lines").isNull() | new.rlike(r"[^\x20\x09-\x0D]"))
-    return both.select(*[new.alias(c) if c == text else F.col(c) for c in docs.columns], *extra)
+        gone = shared.written(removed(identified(docs, key, text), percent), "removed-lines", outlive=True)
+    whole = identified(docs, key, text, doc).drop("text")
+    bits = groups.key_filter(gone.select("th"))
+    out = T.StructType([*numbered, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
+    touched = groups.filtered(whole, "th", bits, True).join(gone.hint("merge"), ["id", "th"], "left").select("doc", "lines")
+    touched = touched.mapInArrow(_cut(out, names.index(text), drop_emptied), out)
+    own = F.col(f"doc.c{names.index(text)}")
+    n_lines = F.coalesce(F.length(own) - F.length(F.translate(own, "\n", "")) + 1, F.lit(0)).cast("long") if counts else F.lit(0).cast("long")
+    untouched = groups.filtered(whole, "th", bits, False).select("doc.*", n_lines.alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
+    both = touched.union(untouched)
+    return both.select(*[F.col(f.name).alias(c) for f, c in zip(numbered, names, strict=True)], *added)

@@ -24,9 +24,8 @@ EXTRA = [
 ]
 
 
-def pairs(line):
-    w = space_words(lower_ascii(line))
-    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+def tokens(line):
+    return frozenset(space_words(lower_ascii(line)))
 
 
 def expected(rows, percent=80):
@@ -37,7 +36,7 @@ def expected(rows, percent=80):
             continue
         kept, ls = [], t.split("\n")
         for line in ls:
-            s = pairs(line)
+            s = tokens(line)
             if not s or not any(100 * len(s & o) >= percent * len(s | o) for o in seen):
                 kept.append(line)
             if s:
@@ -46,9 +45,11 @@ def expected(rows, percent=80):
     return out
 
 
-@pytest.mark.parametrize("block", [2048, 5])
-def test_lines(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "frequent"), [(2048, 1_000_000), (5, 20)])
+def test_lines(spark, monkeypatch, block, frequent):
     monkeypatch.setattr(linededup, "BLOCK_RECORDS", block)
+    monkeypatch.setattr(linededup, "FREQUENT", frequent)
+    monkeypatch.setattr(linededup, "FREQUENT_BLOCK", 10)
     rows = documents(EXTRA)
     got = linededup.dedup(spark.createDataFrame(rows, SCHEMA).repartition(3), counts=True).collect()
     want = expected(rows)
@@ -75,3 +76,26 @@ def test_query(spark, tmp_path):
     for r in queries.op2_line_dedup(spark, str(tmp_path)).collect():
         n, gone, text = want[r.doc_id]
         assert (r.n_lines, r.n_removed, r.text_sha256) == (n, gone, sha(text or ""))
+
+
+def test_repeated_keys_rows_and_clashing_columns(spark):
+    a, b = "\n".join([prose(9, 1), prose(9, 2)]), "\n".join([prose(9, 3), prose(9, 1), prose(9, 4)])
+    rows = [(1, a, 1, 2, 3, 4, 5), (1, b, 1, 2, 3, 4, 5), (1, b, 1, 2, 3, 4, 6), (2, a + "\n" + prose(9, 5), 1, 2, 3, 4, 5), (None, prose(9, 5), 1, 2, 3, 4, 5), (None, None, 1, 2, 3, 4, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key int, _lines int, n_lines int, n_removed int, th int")
+    assert linededup.dedup(docs).columns == docs.columns
+    got = linededup.dedup(docs, counts=True)
+    assert got.columns == ["doc_id", "text", "_key", "_lines", "th", "n_lines", "n_removed"]
+    got = got.collect()
+    assert sorted(r.n_removed for r in got if r.doc_id == 2) == [3]  # the last line equals that of the row without a key, which comes first
+    assert [(r.n_lines, r.n_removed, r.text) for r in got if r.doc_id is None and r.text is None] == [(0, 0, None)]
+    one = {r.text for r in got if r.doc_id == 1}
+    assert len([r for r in got if r.doc_id == 1]) == 3 and len(one) == 2  # equal rows lose the same lines
+    assert sum(t.split("\n").count(prose(9, 1)) for t in one) == 1
+
+
+def test_tokens_that_share_rank_and_hash_bits_count_each():
+    import numpy as np
+
+    hashes = np.array([7 << 32 | 5, 7 << 32 | 9, 7 << 32 | 5, 3 << 32], np.uint64)
+    ids, bounds = linededup.ranked(hashes, np.array([0, 4]), np.zeros(linededup.RARITY_BUCKETS, np.uint16))
+    assert bounds.tolist() == [0, 3] and ids.tolist() == [3, 7, 7]
