@@ -6,7 +6,8 @@ rejected are not looked at by later ones once dropping them saves work. A text i
 changes the cost and the reported first failure, never the verdict.
 
 Defined cases: a null or empty text has no words and is rejected by `few_words`; repeated rows are judged alike, each on its
-own; an empty table gives an empty result; other columns pass through untouched.
+own; ties between rules keep the order of RULES; a very long text is judged whole; an empty table gives an empty result; other columns pass through
+untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ class Measures:
 
     @property
     def n_words(self) -> np.ndarray:
-        return self.words.counts
+        return self._once("n_words", lambda: self.words.counts)
 
     @property
     def word_chars(self) -> np.ndarray:
@@ -85,13 +86,19 @@ class Measures:
         n = np.bincount(own, minlength=len(self))
         return n, n - np.bincount(own[first], minlength=len(self))
 
+    def _count_lines(self) -> None:
+        if "n_lines" not in self._got:
+            self._got["n_lines"], self._got["n_dup_lines"] = self._lines()
+
     @property
     def n_lines(self) -> np.ndarray:
-        return self._once("lines", self._lines)[0]
+        self._count_lines()
+        return self._got["n_lines"]
 
     @property
     def n_dup_lines(self) -> np.ndarray:
-        return self._once("lines", self._lines)[1]
+        self._count_lines()
+        return self._got["n_dup_lines"]
 
     @property
     def n_repeat_words(self) -> np.ndarray:
@@ -111,7 +118,7 @@ class Measures:
         """The measures of some of the texts; what is known of each text as a whole is carried over."""
         sizes = np.diff(self.texts.bounds)
         new = Measures(X.Texts(self.texts.data[np.repeat(keep, sizes)], np.concatenate([[0], np.cumsum(sizes[keep])]), 0))
-        for name in ("word_chars", "n_symbols", "n_exclaims", "n_letter_words", "n_repeat_words"):
+        for name in ("n_words", "word_chars", "n_symbols", "n_exclaims", "n_letter_words", "n_lines", "n_dup_lines", "n_repeat_words"):
             if name in self._got:
                 new._got[name] = self._got[name][keep]
         return new
@@ -159,9 +166,9 @@ def estimate(texts: list[str], rules: tuple[Rule, ...] = RULES) -> list[dict]:
     return sorted(found, key=lambda x: -x["rejected"] / x["seconds"])
 
 
-def cascade(texts: X.Texts, rules: list[Rule]) -> np.ndarray:
-    """For each text the index of the first rule, in this order, that rejects it, or -1."""
-    failed, rows, measures = np.full(len(texts), -1), np.arange(len(texts)), Measures(texts)
+def cascade(texts: X.Texts, rules: list[Rule], measures: Measures | None = None) -> np.ndarray:
+    """For each text the index of the first rule, in this order, that rejects it, or -1. What measures hold already is not counted again."""
+    failed, rows, measures = np.full(len(texts), -1), np.arange(len(texts)), measures or Measures(texts)
     for i, rule in enumerate(rules):
         bad = rule.rejects(measures)
         failed[rows[bad & (failed[rows] < 0)]] = i
@@ -174,8 +181,9 @@ def cascade(texts: X.Texts, rules: list[Rule]) -> np.ndarray:
 
 
 def plan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", sample_rows: int = 256, seed: int = 7) -> list[Rule]:
-    """The rules in the cascade's order, from a sample of at most sample_rows rows. Only the order depends on it."""
-    sample = [r[0] for r in docs.select(text).sample(fraction=0.05, seed=seed).limit(sample_rows).collect()]
+    """The rules in the cascade's order, from a sample of about sample_rows rows from all partitions, twice as many at most. Only the order depends on it."""
+    share = min(1.0, sample_rows / max(docs.count(), 1))
+    sample = [r[0] for r in docs.select(text).sample(fraction=share, seed=seed).limit(2 * sample_rows).collect()]
     by = {r.name: r for r in rules}
     return [by[x["name"]] for x in estimate(sample, rules)]
 
@@ -193,13 +201,12 @@ def judge(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), text: str = "tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for group in X.chunked(batch.column(len(keys))):
-                failed = cascade(group, order)
+                m = Measures(group)
+                known = [pa.array(np.asarray(getattr(m, c), np.int64)) for c in _COUNTS] if counts else []
+                failed = cascade(group, order, m)
                 part = batch.slice(group.first, len(group))
                 out = [part.column(i) for i in range(len(keys))]
-                if counts:
-                    m = Measures(group)
-                    out += [pa.array(np.asarray(getattr(m, c), np.int64)) for c in _COUNTS]
-                out += [pa.array(failed < 0), pa.array([None if i < 0 else names[i] for i in failed], pa.string())]
+                out += [*known, pa.array(failed < 0), pa.array([None if i < 0 else names[i] for i in failed], pa.string())]
                 yield pa.RecordBatch.from_arrays(out, names=[f.name for f in fields])
 
     return docs.select(*keys, text).mapInArrow(run, T.StructType(fields))
