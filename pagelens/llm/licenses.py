@@ -1,17 +1,18 @@
 """License scans: fuzzy search for short notices.
 
 A notice may be found with up to k character edits. Cut into k + 1 pieces, at least one piece stands unchanged in every such
-place (pigeonhole), so exact search for the pieces finds all candidates. Only there the `regex` library's bounded-error
-matching runs, verifies the edits and gives the span. Exact phrases are counted beside it on the same normalised text.
+place (pigeonhole), so exact search for the pieces finds all candidates. Only there, in a window of bounded size, the `regex` library's
+bounded-error matching runs, verifies the edits and gives the span; of matches that overlap the one with fewest edits stays. Exact phrases are counted beside it on the same normalised text.
 
 Normalised text: A-Z lower-cased, words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` joined by single spaces. Spans are word positions.
 
-Defined cases: a null or empty text has no words, no label and score 0; repeated rows are scanned each; an empty table gives
-an empty result; other columns are ignored.
+Defined cases: a null or empty text has no words, no label and score 0; repeated rows are scanned each; of equally good matches that overlap
+the first stays; a very long text is scanned whole, in linear time; an empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -109,47 +110,44 @@ class Scanner:
                 base.setdefault(row, []).append((int(spaces[at] - spaces[bounds[row]]), label))
         matches: dict[int, list] = {}
         for p, fuzzy in zip(self.patterns, self.fuzzy, strict=True):
-            regions: set[tuple[int, int, int]] = set()
+            windows: set[tuple[int, int, int]] = set()
             for offset, piece in p.pieces:
                 for at in find_all(data, piece):
                     row = int(np.searchsorted(bounds, at, "right")) - 1
-                    # an edit may put in a character of four bytes; a region is whole words, as all begin and end with a space
+                    # an edit may put in a character of four bytes; a match begins and ends with a word, so a window does too
                     lo, hi = max(at - offset - 4 * p.edits, int(bounds[row]) + 1), min(at - offset + len(p.notice) + 4 * p.edits, int(bounds[row + 1]) - 2)
-                    regions.add((row, data.rfind(b" ", int(bounds[row]), lo) + 1, data.find(b" ", hi)))
-            for row, lo, hi in merged(regions):
-                window = data[lo:hi].decode("utf-8", "ignore")
-                for start, end, edits in places(fuzzy, window, len(p.notice) - p.edits):
-                    a = lo + len(window[:start].encode())
-                    b = a + len(window[start:end].encode())
-                    first = int(spaces[a] - spaces[bounds[row]]) - 1
-                    last = int(spaces[b] - spaces[bounds[row]]) - 1
-                    matches.setdefault(row, []).append((p.label, first, last + 1, edits, 1 - edits / len(p.notice)))
+                    lo, hi = data.find(b" ", lo - 1, at + 1) + 1, data.rfind(b" ", at, hi + 1)
+                    if 0 < lo < hi:
+                        windows.add((row, lo, hi))
+            for row, a, b, edits in apart({(row, *m) for row, lo, hi in windows for m in places(fuzzy, data[lo:hi], lo, len(p.notice) - p.edits)}):
+                first = int(spaces[a] - spaces[bounds[row]]) - 1
+                last = int(spaces[b] - spaces[bounds[row]]) - 1
+                matches.setdefault(row, []).append((p.label, first, last + 1, edits, 1 - edits / len(p.notice)))
         return [(int(counts[i]), sorted(base.get(i, [])), sorted(set(matches.get(i, [])))) for i in range(len(texts))]
 
 
-def places(fuzzy: regex.Pattern, window: str, least: int) -> Iterator[tuple[int, int, int]]:
-    """Start, end and edits of matches that don't overlap: the best one, and those before and behind it in the same way."""
-    todo = [(0, len(window))]
+def places(fuzzy: regex.Pattern, window: bytes, at: int, least: int) -> Iterator[tuple[int, int, int]]:
+    """Start, end and edits of matches in a window at byte `at`: the best one, and those before and behind it in the same way."""
+    text = window.decode()
+    byte = (lambda i: at + i) if len(text) == len(window) else (lambda i: at + len(text[:i].encode()))
+    todo = [(0, len(text))]
     while todo:
         a, b = todo.pop()
-        m = fuzzy.search(window[a:b]) if b - a >= least else None
+        m = fuzzy.search(text[a:b]) if b - a >= least else None
         if m:
-            yield a + m.start(), a + m.end(), sum(m.fuzzy_counts)
+            yield byte(a + m.start()), byte(a + m.end()), sum(m.fuzzy_counts)
             todo += [(a, a + m.start() - 1), (a + m.end() + 1, b)]
 
 
-def merged(regions: set[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
-    """Regions of the same text that overlap become one."""
-    now = None
-    for row, lo, hi in sorted(regions):
-        if now and now[0] == row and lo <= now[2]:
-            now = (row, now[1], max(hi, now[2]))
-        else:
-            if now:
-                yield now
-            now = (row, lo, hi)
-    if now:
-        yield now
+def apart(found: set[tuple[int, int, int, int]]) -> Iterator[tuple[int, int, int, int]]:
+    """Of (text, start, end, edits), those that overlap no better one that is chosen; the earlier one counts as better where edits are equal."""
+    taken: dict[int, list[tuple[int, int]]] = {}
+    for row, a, b, edits in sorted(found, key=lambda m: (m[3], m[0], m[1], m[2])):
+        own = taken.setdefault(row, [])
+        i = bisect.bisect(own, (a, b))
+        if (i == 0 or own[i - 1][1] < a) and (i == len(own) or b < own[i][0]):
+            own.insert(i, (a, b))
+            yield row, a, b, edits
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", notices=NOTICES, phrases=None) -> DataFrame:

@@ -72,6 +72,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.array_sort(base_labels), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_distinct(labels)), ",").alias("labels"),
         "score",
+        F.array_join(F.transform("matches", lambda x: F.concat_ws(":", x["label"], x["first_word"].cast("string"), x["end_word"].cast("string"), x["edits"].cast("string"))), ",").alias("matches"),
     )
 
 

@@ -71,3 +71,51 @@ def test_query_columns(spark, tmp_path):
         assert (r.first_word, r.last_word) == ((min(places)[0], max(places)[0]) if places else (None, None))
         assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
     assert licenses.scan(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def best(t):
+    """Label -> the fewest edits of a match anywhere, by a search of the whole text."""
+    import regex
+
+    text, out = " ".join(alnum_words(t)), {}
+    for p in licenses.compile_notices():
+        m = regex.search(p.fuzzy, text)
+        if m:
+            out[p.label] = min(out.get(p.label, (99, 0)), (sum(m.fuzzy_counts) / len(p.notice), sum(m.fuzzy_counts)))
+    return {k: 1 - v[0] for k, v in out.items()}
+
+
+def test_labels_and_score_against_a_search_of_whole_texts(spark, tmp_path):
+    import random
+
+    r, extra = random.Random(8), list(EXTRA)
+    for _, notice in licenses.NOTICES:
+        for edits in (0, 1, 2, 4, 9):
+            s = list(notice)
+            for _ in range(edits):
+                s[r.randrange(len(s))] = r.choice(["", "x", " ", "é", "ss"])
+            extra.append(f"words before {''.join(s)} and {notice[: len(notice) // 2]} after")
+    rows = documents(extra)
+    spark.createDataFrame([*rows, rows[0], rows[-1]], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op8_license_scan(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) + 2
+    for g in got:
+        t = next(x[1] for x in rows if x[0] == g.doc_id)
+        want, exact = best(t), {x for _, x in base(t)[1]}
+        assert g.labels == ",".join(sorted(set(want) | exact)), t
+        assert abs(g.score - (1 if exact else max(want.values(), default=0))) < 1e-12, t
+        assert {m.split(":")[0] for m in filter(None, g.matches.split(","))} == set(want)
+
+
+def test_repeated_seeds_take_linear_time():
+    import time
+
+    import numpy as np
+
+    from pagelens.llm import text as X
+
+    for piece in (b"all right s reserved ", b"allrights", b"under the mit " * 3):
+        data = np.frombuffer(piece * ((1 << 20) // len(piece)), np.uint8)
+        began = time.process_time()
+        licenses.Scanner(licenses.compile_notices(), licenses.PHRASES)(X.Texts(data, np.array([0, len(data)]), 0))
+        assert time.process_time() - began < 20
