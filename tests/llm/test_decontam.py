@@ -48,7 +48,7 @@ def test_long_items_only(spark):
 
 
 def test_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(decontam, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", -1)
     check(spark, ITEMS[:4])
 
 
@@ -71,3 +71,15 @@ def test_query(spark, tmp_path):
     for r in queries.op9_decontamination(spark, str(tmp_path)).collect():
         n, hit, found = expected(texts[r.doc_id], ITEMS)
         assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == (n, hit, len(found), sha(",".join(found)), hit > 0)
+
+
+def test_repeated_keys_and_items(spark):
+    a, b = prose(30, 1), prose(30, 2)
+    items = spark.createDataFrame([(1, a), (1, b), (None, prose(12, 3)), (1, a)], "item_id long, text string")
+    rows = [(5, a, 1), (5, "nothing here", 1), (5, "nothing here", 1), (None, b, 1), (None, "clean words", 2), (7, prose(12, 3), 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, doc int")
+    got = sorted(((r.doc_id or 0, r.n_words, r.n_hit, tuple(r.items)) for r in decontam.contamination(docs, items).collect()))
+    assert got == sorted([(5, 30, 30, ("1",)), (5, 2, 0, ()), (5, 2, 0, ()), (0, 30, 30, ("1",)), (0, 2, 0, ()), (7, 12, 12, ())])
+    kept = decontam.clean(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, "clean words"), (5, "nothing here"), (5, "nothing here")]
