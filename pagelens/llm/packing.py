@@ -5,7 +5,8 @@ by a prefix sum, each partition's first token in one global stream; pass two cut
 text that crosses a window's end leaves a boundary record in each window that it touches. Only the last window may be short.
 
 Defined cases: a null or empty text is the end token alone; repeated rows are packed once each; an empty table gives no
-piece; a text longer than a window fills several; other columns are ignored.
+piece; a text longer than a window fills several, and is encoded whole; rows stand in the order of their partitions, keys (repeated, null) play no
+part in it; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -62,7 +63,7 @@ class Encoder:
         return self.exact.encode(text, add_special_tokens=False).ids
 
 
-_encoders: dict[tuple, Encoder] = {}
+_encoders = X._Local()
 
 
 def encoder(*paths) -> Encoder:

@@ -47,3 +47,18 @@ def test_both_libraries_agree_on_all_common_characters():
 
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_both_libraries_agree_on_whole_documents(spark):
+    encode = packing.encoder(*packing.default_paths())
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    assert len(texts) > 100
+    for t in filter(None, texts):
+        assert encode(t) == encode.exact.encode(t, add_special_tokens=False).ids
+
+
+def test_repeated_rows_and_null_keys(spark):
+    rows = [(1, "one two", 0), (1, "one two", 0), (1, "other", 0), (None, "x", 0), (None, None, 0)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string, start long"), length=4).collect()
+    assert sorted({(p.sequence_id, p.offset + i) for p in got for i in range(p.length)}) == [(i // 4, i % 4) for i in range(sum(p.length for p in got))]
+    assert sum(p.start == 0 for p in got) == len(rows)
