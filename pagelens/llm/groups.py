@@ -22,6 +22,23 @@ def in_blocks(df: DataFrame, key: str, sizes: DataFrame, blocks: Column, spread:
     return dealt.withColumn("task", F.xxhash64(F.struct(F.col(key), F.lit(salt), own))).drop("_blocks")
 
 
+#: Rows of a key from which it counts as hot, and hot keys up to which they are broadcast.
+HOT_ROWS, MOST_HOT = 10_000, 200_000
+
+
+def spread_join(df: DataFrame, right: DataFrame, on: list[str], rows: Column) -> DataFrame:
+    """The inner join on key columns; right is a written table, and rows, from its columns, the number of df's rows that a key may have.
+
+    Rows of hot keys join where they are, with a broadcast of their keys' rows, and are left out of the shuffle. With more hot rows than a broadcast may
+    hold, all go through a sort-merge join, which Spark splits where a partition is skewed."""
+    hot = right.where(rows > HOT_ROWS)
+    n = hot.limit(MOST_HOT + 1).count()
+    if n > MOST_HOT or not n:
+        return df.join(right, on)
+    cold = df.join(F.broadcast(hot.select(*on).distinct()), on, "left_anti").join(right.where(~(rows > HOT_ROWS)), on)
+    return cold.unionByName(df.join(F.broadcast(hot), on))
+
+
 def against_all(df: DataFrame, key: str, rest: Column, sizes: DataFrame, blocks: Column, rest_blocks: Column, spread: Column) -> DataFrame:
     """The rows of each key with a column task, so that each row of the rest meets every row of its key in one of the tasks.
 

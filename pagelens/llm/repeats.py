@@ -5,13 +5,15 @@
 2. Segments of grams that occur once are done. Segments with the same bytes are one variant: with two places or more all its windows repeat.
 3. Grams with several variants go to shards; a shard's variants are joined to one string, and external induced sorting (see suffixes) gives
    the order of its suffixes with common-prefix values. A window repeats if it shares `length` bytes with a neighbour in that order.
-   Grams with very many variants are cut into blocks whose pairs are shards of their own.
+   Shards are several times as large as what the sorting holds in memory. The variants of a gram with very many of them would fit no shard, and meet
+   in pairs of shards only; their windows are counted by hash instead, each sent once.
 4. The repeated windows of a variant hold for all its places; each text loses the union of their bytes.
 
 Texts are UTF-8 bytes; matches never cross texts; all windows are judged on the input.
 
-Defined cases: a null text counts as empty; texts shorter than `length` lose nothing; rows that repeat a key are places of their own, so that
-they lose what they share; a row without a key counts as a place and keeps its bytes; an empty table gives an empty result; columns beside key and text are ignored.
+Defined cases: a null text counts as empty; texts shorter than `length` lose nothing; rows that repeat a key, or have none, are places of their own, so
+that they lose what they share; a text of any length is handled in pieces that overlap; there are no ties: all places of a string lose it; an empty
+table gives an empty result; columns beside key and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,9 +30,9 @@ from . import groups, shared, suffixes
 from . import text as X
 
 GRAM = 64
-#: Bytes of variants in a shard, and variants of one gram up to which it isn't cut.
-SHARD_BYTES = 1_500_000
-BLOCK_VARIANTS = 4096
+#: Bytes of variants in a shard (on average), and variants of one gram up to which they go to a shard.
+SHARD_BYTES = 3_000_000
+MOST_VARIANTS = 4096
 #: Longer texts are handled in pieces that overlap by a window.
 PIECE = 1 << 20
 _POS_BITS = 22
@@ -50,13 +52,14 @@ def _pieces(batch_column, length: int) -> Iterator[tuple[X.Texts, np.ndarray, np
 
 def segments(texts: X.Texts, length: int) -> tuple[np.ndarray, ...]:
     """text, first window, windows, hash of the anchor's gram, hash of the segment's bytes and anchor."""
-    n, grams = len(texts.data), length - GRAM + 1
+    size = min(GRAM, length)
+    n, grams = len(texts.data), length - size + 1
     none = np.zeros(0, np.int64)
     if n < length:
         return none, none, none, none, none
     hasher = X.Hasher(texts.data)
-    at = np.arange(n - GRAM + 1)
-    keys = hasher(at, at + GRAM)
+    at = np.arange(n - size + 1)
+    keys = hasher(at, at + size)
     packed = (keys & ~np.uint64((1 << _POS_BITS) - 1)) | at.astype(np.uint64)
     width, least = 1, packed
     while 2 * width <= grams:
@@ -73,39 +76,52 @@ def segments(texts: X.Texts, length: int) -> tuple[np.ndarray, ...]:
     return own[start], start - texts.bounds[own[start]], stop - start, keys[anchor[start]], X.mix(body ^ X.mix((anchor[start] - start).astype(np.uint64)))
 
 
-def anchors(docs: DataFrame, text: str, length: int) -> DataFrame:
-    """gram, variant, key, first, n of every segment. docs: key and text."""
+def anchors(docs: DataFrame, length: int) -> DataFrame:
+    """gram, variant, id, th, first, n of every segment. docs: id, th and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = X.longs(batch.column(0))
-            for group, rows, offsets in _pieces(batch.column(1), length):
+            ids, th = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for group, rows, offsets in _pieces(batch.column(2), length):
                 own, first, n, gram, variant = segments(group, length)
                 if len(own):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(gram.view(np.int64)), pa.array(variant.view(np.int64)), pa.array(keys[rows[own]]), pa.array(offsets[own] + first), pa.array(n.astype(np.int32))],
-                        names=["gram", "variant", "key", "first", "n"],
-                    )
+                    at = rows[own]
+                    columns = [gram.view(np.int64), variant.view(np.int64), ids[at], th[at], offsets[own] + first, n.astype(np.int32)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "variant", "id", "th", "first", "n"])
 
-    return docs.select("key", text).mapInArrow(run, "gram long, variant long, key long, first long, n int")
+    return docs.mapInArrow(run, "gram long, variant long, id long, th long, first long, n int")
 
 
-def _bytes_of(docs: DataFrame, text: str, length: int) -> DataFrame:
-    """gram, variant, n, bytes of the wanted segments. docs: key, text and wanted (array of structs gram, variant, first, n)."""
+def _bytes_of(docs: DataFrame, length: int) -> DataFrame:
+    """gram, variant, variants, bytes of the wanted segments. docs: text and wanted (array of structs gram, variant, variants, first, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 128):
                 part = batch.slice(start, 128)
                 out = []
-                for t, wanted in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                for t, wanted in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     data = t.encode()
-                    out += [(w["gram"], w["variant"], w["n"], data[w["first"] : w["first"] + w["n"] - 1 + length]) for w in wanted]
+                    out += [(w["gram"], w["variant"], w["variants"], data[w["first"] : w["first"] + w["n"] - 1 + length]) for w in wanted]
                 if out:
-                    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["gram", "variant", "n", "bytes"])
+                    kinds = [*[pa.int64()] * 3, pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["gram", "variant", "variants", "bytes"])
 
-    return docs.select("key", text, "wanted").mapInArrow(run, "gram long, variant long, n int, bytes binary")
+    return docs.select("text", "wanted").mapInArrow(run, "gram long, variant long, variants long, bytes binary")
+
+
+def _windows_of(bodies: DataFrame, length: int) -> DataFrame:
+    """gram, variant, a, b, hash of every window of some variants."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for gram, variant, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                data = np.frombuffer(body, np.uint8)
+                at = np.arange(len(data) - length + 1)
+                columns = [np.full(len(at), gram), np.full(len(at), variant), at.astype(np.int32), at.astype(np.int32) + 1, X.Hasher(data)(at, at + length).view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "variant", "a", "b", "window"])
+
+    return bodies.select("gram", "variant", "bytes").mapInArrow(run, "gram long, variant long, a int, b int, window long")
 
 
 def _sorted_shard(length: int):
@@ -121,12 +137,12 @@ def _sorted_shard(length: int):
         parts = [np.frombuffer(bodies[i], np.uint8) for i in order]
         sizes = np.array([len(p) + 1 for p in parts])
         starts = np.cumsum(sizes) - sizes
-        joined = np.zeros(int(sizes.sum()) + 1, np.int16)
+        joined = suffixes.Store().array(int(sizes.sum()) + 1, np.int16)
         for s, p in zip(starts.tolist(), parts, strict=True):
             joined[s : s + len(p)] = p
             joined[s : s + len(p)] += 2
             joined[s + len(p)] = 1
-        suffix, common = suffixes.order(joined)
+        suffix, common = suffixes.order(joined, length)
         twice = np.zeros(len(joined), bool)
         equal = common >= length
         twice[suffix[equal]] = True
@@ -142,39 +158,52 @@ def _sorted_shard(length: int):
     return work
 
 
-def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 200) -> DataFrame:
-    """key and spans (array of structs start, end: bytes to remove, which may overlap) of texts with any."""
-    plain = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    found = shared.written(anchors(plain, "text", length), "anchors")
-    often = found.groupBy("gram").agg(F.count("*").alias("places")).where("places > 1")
-    kept = shared.written(found.join(often.select("gram"), "gram"), "repeated-grams")
-    place = F.struct("key", "first")
+def _identified(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """key, id (the key, or the smallest long without one), th (hash of the text), text."""
+    k = F.col(key).cast("long")
+    return docs.select(k.alias("key"), F.coalesce(k, F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+
+
+def repeats(plain: DataFrame, length: int = 200) -> DataFrame:
+    """id, th and spans (array of structs start, end: bytes to remove, which may overlap) of texts with any. plain: id, th and text."""
+    found = shared.written(anchors(plain, length), "anchors")
+    often = shared.written(found.groupBy("gram").agg(F.count("*").alias("places")).where("places > 1"), "gram-places")
+    kept = shared.written(groups.spread_join(found, often, ["gram"], F.col("places")).drop("places"), "repeated-grams")
+    place = F.struct("id", "th", "first")
     variants = shared.written(kept.groupBy("gram", "variant").agg(F.count("*").alias("places"), F.min(place).alias("at"), F.first("n").alias("n")), "variants")
     several = shared.written(variants.groupBy("gram").agg(F.count("*").alias("variants"), F.sum(F.col("n") + length).alias("bytes")).where("variants > 1"), "several")
 
-    wanted = variants.join(several.select("gram"), "gram").select("at.key", F.struct("gram", "variant", "at.first", "n").alias("w")).groupBy("key").agg(F.collect_list("w").alias("wanted"))
-    # rows that repeat a key hold the same text
-    bodies = shared.written(_bytes_of(plain.dropna().join(wanted, "key"), "text", length), "variant-bytes")
-    total = several.agg(F.sum("bytes")).first()[0] or 0
+    of = groups.spread_join(variants, several, ["gram"], F.col("variants"))
+    wanted = of.select("at.id", "at.th", F.struct("gram", "variant", "variants", "at.first", "n").alias("w")).groupBy("id", "th").agg(F.collect_list("w").alias("wanted"))
+    # rows with the same id and hash hold the same text
+    bodies = shared.written(_bytes_of(plain.where("text IS NOT NULL").join(wanted, ["id", "th"]), length), "variant-bytes")
+    in_shards = F.col("variants") <= MOST_VARIANTS
+    total = several.where(in_shards).agg(F.sum("bytes")).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
-    small = bodies.join(several.where(F.col("variants") <= BLOCK_VARIANTS).select("gram"), "gram").withColumn("task", F.pmod(F.xxhash64("gram", F.lit(3)), F.lit(shards)))
-    large = groups.in_blocks(bodies, "gram", several.where(F.col("variants") > BLOCK_VARIANTS), F.ceil(F.col("variants") / BLOCK_VARIANTS), F.col("variant"))
-    columns = ["task", "gram", "variant", "bytes"]
-    sorted_ = groups.each(small.select(columns), "task", _sorted_shard(length), "gram long, variant long, a int, b int")
-    sorted_ = sorted_.union(groups.each(large.select(columns), "task", _sorted_shard(length), "gram long, variant long, a int, b int"))
-
-    copies = variants.where("places > 1").select("gram", "variant", F.lit(0).alias("a"), F.col("n").alias("b"))
+    dealt = bodies.where(in_shards).select(F.pmod(F.xxhash64("gram", F.lit(3)), F.lit(shards)).alias("task"), "gram", "variant", "bytes")
+    sorted_ = groups.each(dealt, "task", _sorted_shard(length), "gram long, variant long, a int, b int", int(shards))
+    crowded = bodies.where(~in_shards)
+    if several.where(~in_shards).limit(1).count():
+        every = shared.written(_windows_of(crowded, length).distinct(), "crowded-windows")
+        twice = shared.written(every.groupBy("window").agg(F.count("*").alias("times")).where("times > 1"), "window-places")
+        sorted_ = sorted_.union(groups.spread_join(every, twice, ["window"], F.col("times")).select("gram", "variant", "a", "b"))
+
+    copies = variants.where("places > 1").select("gram", "variant", F.lit(0).alias("a"), F.col("n").alias("b"), "places")
     lone = variants.where("places = 1").select("gram", "variant")
-    windows = shared.written(copies.unionByName(sorted_.join(lone, ["gram", "variant"], "left_semi")), "windows")
-    spans = kept.join(windows, ["gram", "variant"]).select("key", F.struct((F.col("first") + F.col("a")).alias("start"), (F.col("first") + F.col("b") - 1 + length).alias("end")).alias("span"))
-    return spans.groupBy("key").agg(F.collect_list("span").alias("spans")).withColumnRenamed("key", key)
+    own = sorted_.join(lone, ["gram", "variant"], "left_semi").withColumn("places", F.lit(1).cast("long"))
+    windows = shared.written(copies.unionByName(own), "windows")
+    hit = groups.spread_join(kept, windows, ["gram", "variant"], F.col("places"))
+    spans = hit.select("id", "th", F.struct((F.col("first") + F.col("a")).alias("start"), (F.col("first") + F.col("b") - 1 + length).alias("end")).alias("span"))
+    return spans.groupBy("id", "th").agg(F.collect_set("span").alias("spans"))
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 200, with_bytes: bool = True) -> DataFrame:
     """key, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 of the remaining bytes, and these bytes if asked for."""
+    if not 0 < length < 1 << 16:
+        raise ValueError("length has to be from 1 to 65535")
+    plain = _identified(docs, key, text)
     with shared.scratch(docs.sparkSession):
-        spans = shared.written(repeats(docs, key, text, length).withColumnRenamed(key, "key"), "spans", outlive=True)
-    plain = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+        spans = shared.written(repeats(plain.select("id", "th", "text"), length), "spans", outlive=True)
     fields = "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes
     names = [f.split()[0] for f in fields.split(", ")]
 
@@ -195,4 +224,4 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
                 kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=False)], names=names)
 
-    return plain.join(spans, "key", "left").select("key", "text", "spans").mapInArrow(run, fields).withColumnRenamed("key", key)
+    return plain.join(spans, ["id", "th"], "left").select("key", "text", "spans").mapInArrow(run, fields).withColumnRenamed("key", key)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from cases import BASE, SCHEMA, documents, prose, sha
 
-from pagelens.llm import queries, repeats, suffixes
+from pagelens.llm import groups, queries, repeats, suffixes
 
 P = prose(60, 201)
 EXTRA = [
@@ -38,8 +38,9 @@ def expected(rows, n=200):
 @pytest.mark.parametrize("mode", ["plain", "blocks", "pieces"])
 def test_repeats(spark, monkeypatch, mode):
     if mode == "blocks":
-        monkeypatch.setattr(repeats, "BLOCK_VARIANTS", 3)
+        monkeypatch.setattr(repeats, "MOST_VARIANTS", 3)
         monkeypatch.setattr(repeats, "SHARD_BYTES", 2000)
+        monkeypatch.setattr(groups, "HOT_ROWS", 4)
     if mode == "pieces":
         monkeypatch.setattr(repeats, "PIECE", 300)
     rows = documents(EXTRA)
@@ -60,17 +61,45 @@ def test_query_and_empty_table(spark, tmp_path):
     assert repeats.dedup(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 20])
-def test_suffix_order_and_common_prefixes(limit):
+@pytest.mark.parametrize("cap", [3, 255, 1000])
+@pytest.mark.parametrize("memory", [96, 640, 1 << 20])
+def test_suffix_order_and_common_prefixes(cap, memory):
     r = np.random.default_rng(0)
-    for trial in range(150):
+    for trial in range(60):
         t = r.integers(1, r.integers(1, 5) + 1, r.integers(0, 70))
         t = np.append(np.tile(t, 4) if trial % 3 == 0 else t, 0)
-        got, common = suffixes.order(t, limit)
+        got, common = suffixes.order(t, cap, memory)
         l = t.tolist()
         want = sorted(range(len(l)), key=lambda i: l[i:])
         assert got.tolist() == want
         for i in range(1, len(l)):
             a, b = l[want[i - 1] :], l[want[i] :]
             k = next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
-            assert common[i] == min(k, suffixes.CAP)
+            assert common[i] == min(k, cap)
+
+
+def test_shards_are_larger_than_the_queues_memory(monkeypatch):
+    spills = []
+    monkeypatch.setattr(suffixes.Queue, "spill", lambda self, spill=suffixes.Queue.spill: (spills.append(self.bytes), spill(self))[1])
+    data = np.frombuffer((prose(50_000, 1) + prose(1000, 2) * 2).encode()[: 1 << 18], np.uint8).astype(np.int16) + 1
+    t = np.append(data, 0)
+    small, values = suffixes.order(t, 200, 1 << 14)
+    assert len(spills) > 20 and len(t) * 18 > 100 * (1 << 14)
+    large, same = suffixes.order(t, 200, 1 << 26)
+    assert (small == large).all() and (values == same).all()
+    raw = t.astype(">i2").tobytes()
+    for i in range(1, len(t), 97):
+        assert raw[2 * int(small[i - 1]) :] < raw[2 * int(small[i]) :]
+    del spills[:]
+    suffixes.order(np.append(np.tile(data, 2), 0), 200)
+    assert spills  # at the default setting too
+
+
+@pytest.mark.parametrize("length", [5, 64, 300])
+def test_lengths_repeated_keys_and_null_keys(spark, length):
+    a, b, c = prose(90, 1), prose(90, 2), prose(90, 3)
+    rows = [(1, a + b[:40], 0), (1, b, 0), (2, a, 0), (None, c, 0), (3, "xy" + c, 0), (4, b, 0), (4, b, 0), (None, None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, gram int")
+    want = expected([(i, t) for i, (_, t, _) in enumerate(rows)], length)
+    got = sorted(((r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.dedup(docs, length=length).collect()))
+    assert got == sorted((rows[i][0] or 0, *want[i]) for i in want)
