@@ -3,17 +3,18 @@
 1. A URL's host and path give a template: path segments that look variable (numbers, numbers with an extension, long hexadecimal
    or mixed strings) become wildcards. Pages are counted by (host, template) first, with map-side partial sums, so a host
    with a third of all pages is a few rows from here on.
-2. Level by level, where a branch has more distinct children than max_children, those become one wildcard whose share of bad labels doesn't
-   differ from that of all, neither as a whole nor in one of the templates below. The others stay branches of their own.
-3. Siblings whose share of bad labels doesn't differ from their parent's by a two-proportion test are merged into one branch.
-4. A branch's purity is its share of good labels, smoothed towards its host's, and the host's towards the whole table's. A template
-   is rejected where its branch's purity is below the limit.
+2. From the leaves up, siblings whose share of bad labels doesn't differ from that of all of them by a two-proportion test, neither as a whole nor in
+   one of the merged paths below, are merged into one branch. The others stay branches of their own.
+3. A branch's purity is its share of good labels, smoothed towards its parent's, the host's towards the whole table's. A template
+   is rejected where its merged branch's purity is below the limit.
+4. For reports, crowded levels' alike children become wildcards from the top down (templates); that has no part in the verdict.
 
 Block and allow rules come first: the longest rule whose host (or a parent domain of it) and path prefix fit decides.
 
 Defined cases: a null URL or one without `://` has empty host and path, no rule fits, and the tree judges it as the host '';
-repeated rows each count and get the same verdict; without labels nothing is rejected; an empty table gives an empty result;
-other columns are ignored.
+repeated rows each count and get the same verdict; a page with several labels is bad if one says so; rules of equal length: the last in sort order
+decides; a path of any length is read whole, with segments beyond the depth as one; without labels nothing is rejected; an empty table gives an empty
+result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -92,6 +93,11 @@ def differs(bad: Column, n: Column, of_bad: Column, of_n: Column, z_limit: float
     return (n > 0) & (z > z_limit)
 
 
+def deepest(tree: DataFrame) -> int:
+    """Segments of the longest template."""
+    return tree.agg(F.max(F.size(F.split("raw", "/", -1)))).first()[0] or 0
+
+
 def templates(pages: DataFrame, url: str, bad: Column, depth: int, max_children: int, z_limit: float = 2.58) -> DataFrame:
     """host, raw (the template as generalised row by row), branch (with alike children of crowded levels as wildcards), n, labelled, bad."""
     sums = lambda b, n: [F.sum("bad").alias(b), F.sum("labelled").alias(n)]
@@ -99,7 +105,7 @@ def templates(pages: DataFrame, url: str, bad: Column, depth: int, max_children:
     at = pages.select(host(F.col(url)).alias("host"), F.array_join(segments(path(F.col(url)), depth), "/").alias("raw"), bad.alias("bad"))
     found = shared.written(at.groupBy("host", "raw").agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")), "templates")
     tree = found.withColumn("parts", F.split("raw", "/", -1)).withColumn("branch", F.lit(""))
-    for level in range(depth + 1):
+    for level in range(deepest(found)):
         here = F.get("parts", F.lit(level))
         tree = tree.withColumn("child", here)
         children = tree.where("child IS NOT NULL").groupBy("host", "branch", "child").agg(*sums("bad", "labelled"))
@@ -115,33 +121,58 @@ def templates(pages: DataFrame, url: str, bad: Column, depth: int, max_children:
     return tree.drop("parts")
 
 
-def purity(tree: DataFrame, prior_weight: float = 5.0, z_limit: float = 2.58) -> DataFrame:
-    """host, raw, purity. A branch that doesn't differ significantly from its parent, or has few labels, shares the parent's merged figures."""
+def merged(found: DataFrame, z_limit: float = 2.58) -> DataFrame:
+    """host, raw, path: from the leaves up, siblings whose share of bad labels doesn't differ from that of all of them, neither as a whole nor in one of
+    the merged paths below, become one branch `*`. found: host, raw, labelled, bad."""
+    sums = lambda b, n: [F.sum("bad").alias(b), F.sum("labelled").alias(n)]
+    apart = differs(F.col("bad"), F.col("labelled"), F.col("of_bad"), F.col("of_n"), z_limit)
+    tree = found.select("host", "raw", "labelled", "bad").withColumn("parts", F.split("raw", "/", -1)).withColumn("path", F.lit(""))
+    for level in reversed(range(deepest(found))):
+        tree = tree.withColumn("parent", F.array_join(F.slice("parts", 1, level), "/")).withColumn("child", F.get("parts", F.lit(level)))
+        here = tree.where("child IS NOT NULL")
+        children = here.groupBy("host", "parent", "child").agg(*sums("bad", "labelled"))
+        whole = children.groupBy("host", "parent").agg(F.count("*").alias("children"), *sums("of_bad", "of_n")).where("children > 1")
+        below = here.where("labelled > 0").groupBy("host", "parent", "child", "path").agg(*sums("bad", "labelled"))
+        alike = below.groupBy("host", "parent", "path").agg(*sums("of_bad", "of_n"))
+        own = children.join(whole, ["host", "parent"]).where(apart).select("host", "parent", "child")
+        own = own.union(below.join(alike, ["host", "parent", "path"]).where(apart).select("host", "parent", "child")).distinct().withColumn("own", F.lit(True))
+        tree = tree.join(whole.select("host", "parent", F.lit(True).alias("several")), ["host", "parent"], "left").join(own, ["host", "parent", "child"], "left")
+        name = F.when(F.col("several") & F.col("own").isNull(), F.lit("*")).otherwise(F.col("child"))
+        tree = tree.withColumn("path", F.when(F.col("child").isNull(), F.col("path")).otherwise(F.concat(F.lit("/"), name, F.col("path"))))
+        tree = shared.written(tree.select("host", "raw", "labelled", "bad", "parts", "path"), "merged")
+    return tree
+
+
+def purity(tree: DataFrame, prior_weight: float = 5.0) -> DataFrame:
+    """host, raw, purity. A branch's share of good labels is smoothed towards its parent's, the host's towards the whole table's. tree: see merged."""
     total = tree.agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled")).first()
     whole = 1.0 if not total["labelled"] else 1 - total["bad"] / total["labelled"]
-    smooth = lambda bad, n, prior: (n - bad + F.lit(prior_weight) * prior) / (n + F.lit(prior_weight))
-    hosts = tree.groupBy("host").agg(F.sum("bad").alias("host_bad"), F.sum("labelled").alias("host_labelled"))
-    parent = F.regexp_replace("branch", r"/[^/]*$", "")
-    branches = tree.groupBy("host", "branch").agg(F.sum("bad").alias("b_bad"), F.sum("labelled").alias("b_n")).withColumn("parent", parent)
-    parents = branches.groupBy("host", "parent").agg(F.sum("b_bad").alias("p_bad"), F.sum("b_n").alias("p_n"))
-    both = branches.join(parents, ["host", "parent"]).join(hosts, "host")
-    both = both.withColumn("apart", differs(F.col("b_bad"), F.col("b_n"), F.col("p_bad"), F.col("p_n"), z_limit))
-    # the siblings that aren't apart are one merged branch
-    pooled = both.where(~F.col("apart")).groupBy("host", "parent").agg(F.sum("b_bad").alias("m_bad"), F.sum("b_n").alias("m_n"))
-    judged = both.join(pooled, ["host", "parent"], "left")
-    prior = smooth(F.col("host_bad"), F.col("host_labelled"), F.lit(whole))
-    value = F.when(F.col("apart"), smooth(F.col("b_bad"), F.col("b_n"), prior)).otherwise(smooth(F.col("m_bad"), F.col("m_n"), prior))
-    return tree.join(judged.select("host", "branch", value.alias("purity")), ["host", "branch"]).select("host", "raw", "branch", "purity")
-
-
-def judge(pages: DataFrame, labels: DataFrame, key: str = "page_id", url: str = "url", rules=RULES, depth: int = 6, max_children: int = 64, min_purity: float = 0.5) -> DataFrame:
-    """key, host, path, rule, template, purity, verdict for each page. labels: key and bad (0 or 1)."""
+    smooth = lambda prior: (F.col("n") - F.col("b") + F.lit(prior_weight) * prior) / (F.col("n") + F.lit(prior_weight))
+    sums = [F.sum("bad").alias("b"), F.sum("labelled").alias("n")]
+    nodes = tree.groupBy("host", "path").agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled")).withColumn("purity", F.lit(whole))
+    steps = F.split("path", "/", -1)
+    for level in range(deepest(tree) + 1):
+        nodes = nodes.withColumn("node", F.array_join(F.slice(steps, 1, level + 1), "/"))
+        here = nodes.where(F.size(steps) > level).groupBy("host", "node").agg(*sums)
+        nodes = nodes.join(here, ["host", "node"], "left").withColumn("purity", F.when(F.size(steps) > level, smooth(F.col("purity"))).otherwise(F.col("purity"))).drop("node", "b", "n")
+    return tree.join(nodes.select("host", "path", "purity"), ["host", "path"]).select("host", "raw", F.col("path").alias("merged"), "purity")
+
+
+def judge(
+    pages: DataFrame, labels: DataFrame, key: str = "page_id", url: str = "url", rules=RULES, depth: int = 6, max_children: int = 64, min_purity: float = 0.5,
+    z_limit: float = 2.58, prior_weight: float = 5.0,
+) -> DataFrame:
+    """key, host, path, rule, template, merged, purity, verdict for each page. labels: key and bad (0 or 1).
+
+    depth: segments of a path that are told apart. max_children: children up to which a level's templates are reported by name; verdicts don't depend on it."""
     plain = pages.select(F.col(key).alias("key"), F.col(url).alias("url"))
     known = labels.where(F.col("bad").isNotNull()).groupBy(F.col(key).alias("key")).agg(F.max("bad").cast("long").alias("bad"))
-    tree = templates(plain.join(known, "key", "left"), "url", F.col("bad"), depth, max_children)
-    verdicts = shared.written(purity(tree), "purity")
+    with shared.scratch(pages.sparkSession):
+        tree = templates(plain.join(known, "key", "left"), "url", F.col("bad"), depth, max_children, z_limit)
+        judged = purity(merged(tree, z_limit), prior_weight)
+        verdicts = shared.written(judged.join(tree.select("host", "raw", "branch"), ["host", "raw"]), "purity", outlive=True)
     at = plain.withColumn("host", host(F.col("url"))).withColumn("path", path(F.col("url")))
     at = at.withColumn("raw", F.array_join(segments(F.col("path"), depth), "/")).drop("url")
     name, fixed = rule_of(F.col("host"), F.col("path"), rules)
     by_tree = F.when(F.col("purity") < min_purity, F.lit("block")).otherwise(F.lit("allow"))
-    return at.join(verdicts, ["host", "raw"], "left").select(F.col("key").alias(key), "host", "path", name.alias("rule"), F.col("branch").alias("template"), "purity", F.coalesce(fixed, by_tree).alias("verdict"))
+    return at.join(verdicts, ["host", "raw"], "left").select(F.col("key").alias(key), "host", "path", name.alias("rule"), F.col("branch").alias("template"), "merged", "purity", F.coalesce(fixed, by_tree).alias("verdict"))

@@ -1,6 +1,10 @@
+import random
+import re
+from collections import defaultdict
+
 from pyspark.sql import functions as F
 
-from pagelens.llm import urls
+from pagelens.llm import queries, urls
 
 URLS = [
     None, "", "no scheme", "http://", "HTTP://WWW.Example.COM/en/7x?q#f", "https://example.com/en/7", "https://notexample.com/en/7", "https://a.example.net/de/8/9",
@@ -75,3 +79,99 @@ def test_children_of_crowded_levels_are_judged_by_their_own_labels(spark):
         got, want, templates = verdicts(names[:n])
         assert got == want
         assert n == 64 or templates == {"/*/x/{n}", "/*/y/{n}", *[f"/{s}/{e}/{{n}}" for s in names[:3] for e in "xy"]}
+
+
+def twin(pages, labels, depth=6, z_limit=2.58, weight=5.0):
+    """Purities by the merged tree in plain Python."""
+    def general(x):
+        ext = re.search(r"(\.[A-Za-z]{1,5})$", x)
+        bare, ext = (x[: ext.start()], ext[1]) if ext else (x, "")
+        if re.fullmatch("[0-9]+", bare):
+            return "{n}" + ext
+        if re.fullmatch("[0-9a-fA-F-]{12,}", bare):
+            return "{hex}" + ext
+        return "{id}" + ext if len(bare) >= 16 and re.search("[0-9]", bare) else x
+
+    def differs(b, n, of_b, of_n):
+        rate = of_b / max(of_n, 1)
+        return n > 0 and abs(b / n - rate) / (max(rate * (1 - rate), 1e-6) / n) ** 0.5 > z_limit
+
+    rows, at = defaultdict(lambda: [0, 0]), {}
+    for i, u in pages:
+        h, p = parts(u)
+        segs = [x for x in p.split("/") if x]
+        raw = tuple([general(x) for x in segs[:depth]] + ["**"] * (len(segs) > depth)) or ("",)
+        at[i] = (h, raw)
+        rows[h, raw][0] += labels.get(i, 0)
+        rows[h, raw][1] += i in labels
+    paths = {k: () for k in rows}
+    for level in range(depth, -1, -1):
+        groups = defaultdict(lambda: defaultdict(list))
+        for h, raw in rows:
+            if len(raw) > level:
+                groups[h, raw[:level]][raw[level]].append((h, raw))
+        new = dict(paths)
+        for children in groups.values():
+            add = lambda ks: [sum(rows[k][j] for k in ks) for j in (0, 1)]
+            every = [k for ks in children.values() for k in ks]
+            own = set()
+            for child, ks in children.items():
+                if len(children) > 1 and differs(*add(ks), *add(every)):
+                    own.add(child)
+                for path in {paths[k] for k in ks}:
+                    if differs(*add([k for k in ks if paths[k] == path]), *add([k for k in every if paths[k] == path])):
+                        own.add(child)
+            for child, ks in children.items():
+                for k in ks:
+                    new[k] = ("*" if len(children) > 1 and child not in own else child, *paths[k])
+        paths = new
+    stats = defaultdict(lambda: [0, 0])
+    for (h, raw), (b, n) in rows.items():
+        for j in range(len(paths[h, raw]) + 1):
+            stats[h, paths[h, raw][:j]][0] += b
+            stats[h, paths[h, raw][:j]][1] += n
+    total = [sum(v[j] for v in rows.values()) for j in (0, 1)]
+    whole = 1 - total[0] / total[1] if total[1] else 1.0
+
+    def purity(h, path):
+        prior = purity(h, path[:-1]) if path else whole
+        b, n = stats[h, path]
+        return (n - b + weight * prior) / (n + weight)
+
+    return {i: purity(h, paths[h, raw]) for i, (h, raw) in at.items()}
+
+
+def test_purity_against_plain_python(spark):
+    r = random.Random(4)
+    names = ["news", "shop", "tag", "user-" + "a1" * 8, "2020", "deadbeefdead"]
+    pages, labels = [], {}
+    for i in range(900):
+        h = r.choice(["big.com", "big.com", "other.org", "x.net"])
+        segs = [r.choice(names) for _ in range(r.randint(0, 4))] + [f"{i}.html"] * r.randint(0, 1)
+        pages.append((i, f"http://{h}/" + "/".join(segs)))
+        if r.random() < 0.7:
+            labels[i] = int(r.random() < (0.9 if "shop" in segs[:2] else 0.1 if "news" in segs else 0.4))
+    pages += [(1000 + i, u) for i, u in enumerate(URLS)] + [(1500, "http://deep.com/" + "a/" * 9)]
+    got = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(list(labels.items()), "page_id long, bad int"), rules=()).collect()
+    want = twin(pages, labels)
+    assert len({round(v, 6) for v in want.values()}) > 10 and {v < 0.5 for v in want.values()} == {True, False}
+    for g in got:
+        assert abs(g.purity - want[g.page_id]) < 1e-9, (g, want[g.page_id])
+        assert g.verdict == ("block" if want[g.page_id] < 0.5 else "allow")
+
+
+def test_query(spark, tmp_path):
+    pages = [(i, f"http://h{i % 3}.example.org/{'good' if i % 2 else 'bad'}/{i}.html") for i in range(120)] + [(200 + i, u) for i, u in enumerate(URLS)]
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(i, i % 2, 0) for i in range(100)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    labels = {}
+    for i, u in pages:
+        numbers = re.findall("[0-9]+", parts(u)[1])
+        if numbers and len(numbers[-1]) < 3:
+            labels[i] = 1 - int(numbers[-1]) % 2
+    want = twin(pages, labels)
+    for r in queries.op10_url_filter(spark, str(tmp_path)).collect():
+        u = dict(pages)[r.page_id]
+        fit = rule(*parts(u))
+        assert (r.host, r.path, r.rule) == (*parts(u), fit and fit.name)
+        assert r.verdict == (fit.verdict if fit else "block" if want[r.page_id] < 0.5 else "allow"), (u, r, want[r.page_id])
