@@ -10,8 +10,9 @@ addresses and numbers, and look-alikes such as order numbers, versions, dates an
 Spans come from one row's text alone: the pieces between matches and the matches, in order, give every start by prefix sums of their lengths in
 code points. Nothing is shuffled.
 
-Defined cases: a null or empty text has no span; repeated rows are scanned each; an empty table gives an empty result; columns beside
-key and text are ignored. Digits are ASCII digits.
+Defined cases: a null or empty text has no span; repeated rows are scanned each; a very long text is scanned whole, in time that grows with its length;
+matches of one pattern don't overlap, so there are no ties; an empty table gives an empty result; columns beside key and text are ignored,
+whatever their names. Digits are ASCII digits.
 """
 
 from __future__ import annotations
@@ -99,29 +100,54 @@ def features(kind: str, c: Column) -> Column:
     return F.array(*[v.cast("double") for v in values])
 
 
-def spans(text: Column, pieces: Column, hits: Column) -> Column:
-    """Array of structs start, end, body, before, after of a pattern's matches, from the pieces between them and the matches.
+def _let(value: Column, body) -> Column:
+    """body of a value that is computed once, however often body reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    Prefix sums run over blocks, so that very many matches in one text don't take quadratic time."""
-    block = 128
-    size = F.size(hits)
-    steps = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.length(F.get(pieces, i)) + F.length(F.get(hits, i)))
 
-    def total(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0), lambda a, x: a + x)
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda a, x: a + x)
 
-    sums = F.transform(F.sequence(F.lit(0), F.floor((size - 1) / block).cast("int")), lambda b: total(F.slice(steps, b * block + 1, F.lit(block))))
 
-    def one(i: Column) -> Column:
-        b = F.floor(i / block).cast("int")
-        end = total(F.slice(sums, F.lit(1), b)) + total(F.slice(steps, b * block + 1, i % block + 1))
+def _sums_before(values: Column, levels: int = 2, block: int = 64) -> Column:
+    """For each element the sum of those before it: the sum before its block, found in the same way from the blocks' sums, and that inside the block."""
+    each = F.sequence(F.lit(0), F.size(values) - 1)
+    if not levels:
+        return F.transform(each, lambda i: _total(F.slice(values, F.lit(1), i)))
+    blocks = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / block).cast("int"))
+    sums = F.transform(blocks, lambda b: _total(F.slice(values, b * block + 1, F.lit(block))))
+    inside = lambda i: _total(F.slice(values, i - i % block + 1, i % block))
+    return _let(sums, lambda s: _let(_sums_before(s, levels - 1), lambda before: F.transform(each, lambda i: F.get(before, F.floor(i / block).cast("int")) + inside(i))))
+
+
+def spans(pieces: Column, hits: Column) -> Column:
+    """Array of structs start, end, body, before, after of a pattern's matches, from the pieces between them and the matches, in linear time."""
+    each = F.sequence(F.lit(0), F.size(hits) - 1)
+    steps = F.transform(each, lambda i: F.length(F.get(pieces, i)) + F.length(F.get(hits, i)))
+
+    def one(i: Column, before: Column) -> Column:
         body = F.get(hits, i)
+        start = F.get(before, i) + F.length(F.get(pieces, i))
         return F.struct(
-            (end - F.length(body)).alias("start"), end.alias("end"), body.alias("body"),
+            start.alias("start"), (start + F.length(body)).alias("end"), body.alias("body"),
             F.right(F.get(pieces, i), F.lit(32)).alias("before"), F.left(F.get(pieces, i + 1), F.lit(8)).alias("after"),
         )
 
-    return F.when(size > 0, F.transform(F.sequence(F.lit(0), size - 1), one)).otherwise(F.lit(None))
+    found = _let(steps, lambda s: _let(_sums_before(s), lambda before: F.transform(each, lambda i: one(i, before))))
+    return F.when(F.size(hits) > 0, found).otherwise(F.lit(None))
+
+
+def _first_from(items: Column, limit: Column) -> Column:
+    """How many of the items, which are in order and don't overlap, start before a limit, by bisection."""
+    ends = F.struct(F.lit(0).alias("lo"), F.size(items).alias("hi"))
+
+    def halve(at: Column, _: Column) -> Column:
+        mid = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        less = (at["lo"] < at["hi"]) & (F.get(items, mid)["start"] < limit)
+        return F.when(at["lo"] >= at["hi"], at).when(less, F.struct((mid + 1).alias("lo"), at["hi"].alias("hi"))).otherwise(F.struct(at["lo"].alias("lo"), mid.alias("hi")))
+
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(items) + 1)).cast("int"))
+    return F.aggregate(rounds, ends, halve)["lo"]
 
 
 def candidates(docs: DataFrame, key: str, text: str, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -139,7 +165,7 @@ def candidates(docs: DataFrame, key: str, text: str, extra: tuple[str, ...] = ()
         for k in KINDS:
             pieces[f"_p_{group}_{k}"] = F.when(F.size(f"_h_{group}_{k}") > 0, F.split(t, patterns[k], -1))
     out = out.withColumns(pieces)
-    found = {f"{group}_{k}": F.when(F.col(f"_p_{group}_{k}").isNotNull(), spans(t, F.col(f"_p_{group}_{k}"), F.col(f"_h_{group}_{k}"))) for group in ("base", "wide") for k in KINDS}
+    found = {f"{group}_{k}": F.when(F.col(f"_p_{group}_{k}").isNotNull(), spans(F.col(f"_p_{group}_{k}"), F.col(f"_h_{group}_{k}"))) for group in ("base", "wide") for k in KINDS}
     return out.select("_key", *extra, *[v.alias(n) for n, v in found.items()])
 
 
@@ -213,6 +239,7 @@ class Model:
 FORMS = {
     "email": [
         (1, "write to W.W (at) W.com today"), (1, "mail W [at] W [dot] org"), (1, "contact: W00 at W dot net"), (1, "reach me, W_W @ W.com, soon"),
+        (1, "W00 {at} W.org is the address"), (1, "questions to W at W dot de"), (1, "W.W @ W dot com for more"),
         (0, "we met at W. then"), (0, "look at W. W came"), (0, "she was at W dot"), (0, "sold 900 @ 9.00 each"), (0, "the W at W. W is"), (0, "stayed at W. and"),
     ],
     "ip": [
@@ -230,9 +257,8 @@ FORMS = {
 }
 
 
-def composed(spark: SparkSession, kind: str, rows: int, seed: int) -> DataFrame:
+def composed(spark: SparkSession, forms: list[tuple[int, str]], rows: int, seed: int) -> DataFrame:
     """id, text, label: sentences from the forms; every random choice is a hash of seed, row and place."""
-    forms = FORMS[kind]
     pick = lambda i, n: F.pmod(F.xxhash64(F.lit(seed), "id", i), F.lit(n)).cast("int")
     chosen = F.get(F.array(*[F.struct(F.lit(t).alias("form"), F.lit(y).alias("label")) for y, t in forms]), pick(F.lit(-1), len(forms)))
     letters = F.lit("bcdfglmnprstvaeiou")
@@ -253,7 +279,7 @@ def train(spark: SparkSession, rows: int = 3000, trees: int = 24, depth: int = 3
     """Trees from `rows` composed sentences of each kind. Half of the candidates fit, the other half calibrates: the threshold is the lowest with the wanted precision."""
     grown, limits = {}, {}
     for kind in KINDS:
-        found = candidates(composed(spark, kind, rows, seed), "id", "text", ("label",)).select("_key", "label", F.explode(f"wide_{kind}").alias("c"))
+        found = candidates(composed(spark, FORMS[kind], rows, seed), "id", "text", ("label",)).select("_key", "label", F.explode(f"wide_{kind}").alias("c"))
         got = found.select("_key", F.col("label").cast("double").alias("y"), features(kind, F.col("c")).alias("x")).orderBy("_key").collect()
         x, y, held = np.array([r[2] for r in got], float), np.array([r[1] for r in got]), np.array([r[0] % 2 == 0 for r in got])
         fit, total, steps = ~held, np.zeros(len(y)), []
@@ -288,7 +314,8 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", model: Model
     def every(kind: str) -> Column:
         """The base spans and the candidates that overlap none of them and score enough."""
         own = F.col(f"_b_{kind}")
-        fresh = F.filter(f"wide_{kind}", lambda c: ~F.exists(own, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+        last = lambda c: F.get(own, _first_from(own, c["end"]) - 1)
+        fresh = F.when(F.size(own) == 0, F.col(f"wide_{kind}")).otherwise(F.filter(f"wide_{kind}", lambda c: F.coalesce(last(c)["end"] <= c["start"], F.lit(True))))
         described = F.transform(fresh, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), features(kind, c).alias("f")))
         scored = F.transform(described, lambda c: plain(kind, c, model.column(kind, c["f"])))
         kept = F.filter(scored, lambda c: c["score"] >= model.thresholds[kind])

@@ -80,3 +80,38 @@ def test_query_and_empty_table(spark, tmp_path, monkeypatch, model):
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(w[0] == k for w in want) for k in pii.KINDS]
         assert r.base_sha256 == sha(",".join(f"{k}:{a}:{b}" for k, a, b in want))
     assert pii.find(spark.createDataFrame([], SCHEMA), model=model).count() == 0
+
+
+#: Sentences in forms that the training never sees.
+HELD_OUT = {
+    "email": [(1, "my mail is W.W {at} W.com ok"), (1, "send it to W-W@ W dot org please"), (1, "ask W00W (at) W (dot) net"), (0, "they sat at W. Then"), (0, "900 W @ 90.00 per unit"), (0, "arrived at W. org charts")],
+    "ip": [(1, "login from XXXX:XXXX:XXXX:XXXX:XXXX:XXXX:XXXX:XXXX failed"), (1, "the server XXXX:XXX:XXXX:XX:XXXX:XXXX answered"), (0, "clock 00:00:00:00:00:00 stopped"), (0, "mac serial XX:XX:XX:XX:XX:XX label")],
+    "card": [(1, "paid by card 9000.0000.0000.0000 yesterday"), (1, "charge my visa 9000 0000 0000 000 please"), (0, "ticket 900000000000000 closed"), (0, "part no. 0000-0000-0000-0 in stock"), (0, "isbn 900-0-00-000000-0 sold")],
+    "phone": [(1, "ring me on (900) 900-0000 later"), (1, "mobile Z900/0000000 works"), (1, "telephone 900 900 0000 daily"), (0, "dated 0000-00-00 and"), (0, "serial 0000-0000-0000 of"), (0, "invoice 90-00000 sent"), (0, "build 90.00.0000 out")],
+}
+
+
+@pytest.mark.parametrize(("kind", "recall", "precision"), [("email", 0.6, 0.8), ("ip", 0.9, 0.9), ("card", 0.5, 0.7), ("phone", 0.8, 0.7)])
+def test_recall_and_precision_on_held_out_forms(spark, model, kind, recall, precision):
+    docs = pii.composed(spark, HELD_OUT[kind], 400, 77).withColumnRenamed("id", "doc_id")
+    label = {r.doc_id: r.label for r in docs.collect()}
+    hit = {r.doc_id for r in pii.find(docs, model=model).collect() if any(s.kind == kind for s in r.spans)}
+    good = sum(label[i] for i in hit)
+    print(kind, "recall", good / sum(label.values()), "precision", good / max(len(hit), 1))
+    assert good >= recall * sum(label.values()) and good >= precision * len(hit)
+
+
+def test_dense_texts_take_linear_time(spark, model):
+    import time
+
+    def seconds(n):
+        docs = spark.createDataFrame([(1, "call 0900/123456 or 1.1.1.1, " * n)], "doc_id long, text string")
+        began = time.time()
+        (r,) = pii.find(docs, model=model).collect()
+        assert len(r.base) == n and r.spans[-1].end <= 29 * n
+        assert [s.start for s in r.base] == [20 + 29 * i for i in range(n)]
+        return time.time() - began
+
+    seconds(10)
+    a, b = seconds(2000), seconds(16000)
+    assert b < 30 * max(a, 0.3)
