@@ -223,12 +223,6 @@ def year_buckets(spark, sf_dir):
     return aggregates.by_year(table(spark, sf_dir, "orders").select(year.alias("last_modified_signal")))
 
 
-@query("SELECT count(*) FILTER (i % 3 = 1) AS personal, count(*) FILTER (i % 3 = 2) AS generic, count(*) FILTER (i % 3 = 0) AS none, count(*) FILTER (i % 3 <> 0) AS with_email FROM (SELECT page_id AS i FROM pages)")
-def email_generic_counts(spark, sf_dir):
-    i = F.col("page_id")
-    email = F.when(i % 3 == 1, F.lit("anna.b@firma.at")).when(i % 3 == 2, F.lit("Büro12@firma.at"))
-    return aggregates.email_counts(table(spark, sf_dir, "pages").select(email.alias("email"), contact.generic_class(email).alias("email_is_generic")))
-
 
 @query(f"WITH {_AUDITS} SELECT place_id, score FROM s WHERE tier = 'A' ORDER BY score DESC, place_id LIMIT 10")
 def top10_worst(spark, sf_dir):
@@ -256,13 +250,6 @@ def viewport_and_title(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", detect.title(F.col("html")).alias("title"), detect.viewport(F.col("html"))["present"].alias("has_viewport"))
 
 
-@query("SELECT page_id, len(regexp_extract_all(html, '(?i)<a\\s[^>]*href')) AS n_links, 0 AS n_social, FALSE AS has_schema_org FROM pages")
-def html_facts(spark, sf_dir):
-    facts = table(spark, sf_dir, "pages").select("page_id", html.page_facts("html").alias("f"))
-    return facts.select(
-        "page_id", F.size("f.links").cast("long").alias("n_links"), F.size(detect.social_links(html.hrefs(F.col("f")))).alias("n_social"), html.schema_org(F.col("f"))["has_schema_org"].alias("has_schema_org")
-    )
-
 
 @query("SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'nginx' END AS server, 'static_or_custom' AS cms, CASE WHEN page_id % 4 = 1 THEN 'cloudflare' ELSE '' END AS cdn FROM pages")
 def tech_and_cms(spark, sf_dir):
@@ -418,15 +405,6 @@ def first_seen(spark, sf_dir):
     return dedupe.first_seen(table(spark, sf_dir, "events").select("user_id", "event_id"), "user_id", ["event_id"])
 
 
-@query("""SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND ts + INTERVAL 30 DAY > TIMESTAMP '2024-01-20 00:00:00' AND ts + INTERVAL 14 DAY > TIMESTAMP '2024-01-20 00:00:00')""")
-def ttl_freshness_anti(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    at = Settings(as_of=datetime(2024, 1, 20))
-    audits = events.where("event_type = 'purchase'").select(
-        F.col("user_id").alias("place_id"), (F.col("ts") + F.make_dt_interval(F.lit(at.static_ttl_days))).alias("static_signals_expires_at"), (F.col("ts") + F.make_dt_interval(F.lit(at.psi_ttl_days))).alias("psi_signals_expires_at")
-    )
-    return filters.stale(events.select(F.col("user_id").alias("place_id")).distinct(), audits, at).select(F.col("place_id").alias("user_id"))
-
 
 @query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal FROM customer UNION ALL SELECT c_custkey + 10000000, c_acctbal FROM customer WHERE c_custkey % 5 = 0")
 def upsert_merge(spark, sf_dir):
@@ -537,10 +515,14 @@ def audit_pipeline(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
+    from . import page_queries  # noqa: F401 (registers its own)
+
     return {name: e.run for name, e in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import page_queries  # noqa: F401
+
     return {name: e.sql for name, e in REGISTRY.items() if e.sql}
 
 

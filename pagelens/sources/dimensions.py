@@ -10,20 +10,44 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import BranchPattern
 
-#: Chains by kind of place: their names' tokens; a name of several tokens has all of them.
-CHAINS = {
-    "shop=supermarket": "billa spar hofer penny lidl rewe eurospar interspar",
-    "shop=chemist": "dm bipa mueller",
-    "amenity=fast_food": "mcdonalds:mcdonald burger-king kfc subway starbucks",
-    "amenity=fuel": "omv shell bp jet turmoel",
-    "shop=mobile_phone": "a1 magenta drei",
-    "amenity=bank": "erste-bank bank-austria bawag raiffeisen oberbank volksbank",
-}
+#: Chains: id, tokens of the name (all have to stand in a name), kinds of place.
+CHAINS = [
+    ("billa", ["billa"], ["shop=supermarket"]),
+    ("spar", ["spar"], ["shop=supermarket"]),
+    ("hofer", ["hofer"], ["shop=supermarket"]),
+    ("penny", ["penny"], ["shop=supermarket"]),
+    ("lidl", ["lidl"], ["shop=supermarket"]),
+    ("rewe", ["rewe"], ["shop=supermarket"]),
+    ("eurospar", ["eurospar"], ["shop=supermarket"]),
+    ("interspar", ["interspar"], ["shop=supermarket"]),
+    ("dm", ["dm"], ["shop=chemist"]),
+    ("bipa", ["bipa"], ["shop=chemist"]),
+    ("mueller", ["mueller"], ["shop=chemist"]),
+    ("mcdonalds", ["mcdonald"], ["amenity=fast_food"]),
+    ("burger-king", ["burger", "king"], ["amenity=fast_food"]),
+    ("kfc", ["kfc"], ["amenity=fast_food"]),
+    ("subway", ["subway"], ["amenity=fast_food"]),
+    ("starbucks", ["starbucks"], ["amenity=fast_food"]),
+    ("omv", ["omv"], ["amenity=fuel"]),
+    ("shell", ["shell"], ["amenity=fuel"]),
+    ("bp", ["bp"], ["amenity=fuel"]),
+    ("jet", ["jet"], ["amenity=fuel"]),
+    ("turmoel", ["turmoel"], ["amenity=fuel"]),
+    ("a1", ["a1"], ["shop=mobile_phone"]),
+    ("magenta", ["magenta"], ["shop=mobile_phone"]),
+    ("drei", ["drei"], ["shop=mobile_phone"]),
+    ("erste-bank", ["erste", "bank"], ["amenity=bank"]),
+    ("bank-austria", ["bank", "austria"], ["amenity=bank"]),
+    ("bawag", ["bawag"], ["amenity=bank"]),
+    ("raiffeisen", ["raiffeisen"], ["amenity=bank"]),
+    ("oberbank", ["oberbank"], ["amenity=bank"]),
+    ("volksbank", ["volksbank"], ["amenity=bank"]),
+]
 #: Kinds of places that are never chains.
 KEPT_KINDS = {
-    "shop": "jewelry watches antiques art gallery boutique interior_decoration musical_instrument",
-    "office": "lawyer notary engineer architect accountant tax_advisor",
-    "amenity": "arts_centre gallery auction_house",
+    "shop": ("jewelry", "watches", "antiques", "art", "gallery", "boutique", "interior_decoration", "musical_instrument"),
+    "office": ("lawyer", "notary", "engineer", "architect", "accountant", "tax_advisor"),
+    "amenity": ("arts_centre", "gallery", "auction_house"),
 }
 #: Vienna's districts in order of their numbers; the postal code of number n is 1000 + 10 n.
 DISTRICTS = (
@@ -45,11 +69,7 @@ def blacklist(spark: SparkSession, path: str | None = None) -> DataFrame:
     if path:
         found = spark.read.option("multiLine", True).schema("chains array<struct<id:string,tokens:array<string>,categories:array<string>>>").json(path)
         return found.select(F.posexplode("chains").alias("ordinal", "c")).select("c.id", "c.tokens", "c.categories", "ordinal")
-    rows = []
-    for category, names in CHAINS.items():
-        for name in names.split():
-            id_, _, tokens = name.partition(":")
-            rows.append((id_, (tokens or id_).split("-"), [category], len(rows)))
+    rows = [(*chain, i) for i, chain in enumerate(CHAINS)]
     return spark.createDataFrame(rows, "id string, tokens array<string>, categories array<string>, ordinal int")
 
 
@@ -59,7 +79,7 @@ def whitelist(spark: SparkSession, path: str | None = None) -> DataFrame:
         found = spark.read.option("multiLine", True).schema("shop array<string>, office array<string>, amenity array<string>").json(path)
         pairs = F.flatten(F.array(*[F.transform(k, _pair(k)) for k in ("shop", "office", "amenity")]))
         return found.select(F.inline(pairs))
-    return spark.createDataFrame([(k, v) for k, values in KEPT_KINDS.items() for v in values.split()], "key string, value string")
+    return spark.createDataFrame([(k, v) for k, values in KEPT_KINDS.items() for v in values], "key string, value string")
 
 
 def _pair(key: str):
