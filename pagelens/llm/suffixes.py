@@ -1,7 +1,7 @@
 """Suffix order with common-prefix values by external induced sorting.
 
 Suffixes are of type S or L as they are smaller or larger than the next one. The leftmost S suffixes of each run (LMS) are ordered first, by
-naming their substrings (themselves ordered by induction) and ordering the reduced string of names in the same way, to any depth. Then one
+naming their substrings (themselves ordered by induction) and ordering the reduced string of names in the same way, until one fits in memory. Then one
 ascending pass induces all L suffixes and one descending pass all S suffixes: a suffix that leaves the queue sends its predecessor into it.
 
 The priority queue is keyed by first symbol and order of arrival. How many tuples each symbol will get is known from the start, so the symbols are cut
@@ -23,8 +23,8 @@ from collections.abc import Callable
 
 import numpy as np
 
-#: Bytes of tuples in memory.
-MEMORY_BYTES = 1 << 20
+#: Bytes of tuples in memory. A shard of 3 MB has about 100 MB of them.
+MEMORY_BYTES = 16 << 20
 #: What a tuple takes while it is worked on.
 _TUPLE_BYTES = 32
 
@@ -53,46 +53,47 @@ class Queue:
 
     def __init__(self, bounds: np.ndarray, limit: int):
         self.bounds, self.limit = bounds, limit
-        self.parts: dict[int, list] = {}
-        self.bytes, self.file, self.spilled = 0, None, 0
+        self.held: list[list[np.ndarray]] = []
+        self.parts: dict[int, list[tuple[int, int]]] = {}
+        self.bytes, self.file = 0, None
 
     def push(self, *columns: np.ndarray) -> None:
-        where = np.searchsorted(self.bounds, columns[0], "right")
-        order = np.argsort(where, kind="stable")
-        where = where[order]
-        cuts = [0, *(np.flatnonzero(where[1:] != where[:-1]) + 1).tolist(), len(where)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            if a < b:
-                part = [c[order[a:b]].astype(k) for c, k in zip(columns, self.KINDS, strict=True)]
-                self.parts.setdefault(int(where[a]), []).append(part)
-                self.bytes += sum(c.nbytes for c in part)
+        self.held.append([c.astype(k) for c, k in zip(columns, self.KINDS, strict=True)])
+        self.bytes += sum(c.nbytes for c in self.held[-1])
         if self.bytes > self.limit:
             self.spill()
 
+    def _joined(self) -> tuple[list[np.ndarray], np.ndarray]:
+        columns = [np.concatenate(c) for c in zip(*self.held, strict=True)]
+        return columns, np.searchsorted(self.bounds, columns[0], "right")
+
     def spill(self) -> None:
+        """Sends what is in memory to the file, a part for each range."""
+        columns, where = self._joined()
+        order = np.argsort(where, kind="stable")
+        columns, where = [c[order] for c in columns], where[order]
+        found, at = np.unique(where, return_index=True)
         self.file = self.file or tempfile.TemporaryFile()
         self.file.seek(0, 2)
-        for parts in self.parts.values():
-            for i, part in enumerate(parts):
-                if isinstance(part, list):
-                    parts[i] = (self.file.tell(), len(part[0]))
-                    self.file.write(b"".join(c.tobytes() for c in part))
-                    self.spilled += 1
-        self.bytes = 0
+        for r, a, b in zip(found.tolist(), at.tolist(), [*at[1:].tolist(), len(where)], strict=True):
+            self.parts.setdefault(r, []).append((self.file.tell(), b - a))
+            self.file.write(b"".join(c[a:b].tobytes() for c in columns))
+        self.held, self.bytes = [], 0
 
     def take(self, at: int, most: int) -> list[np.ndarray] | None:
-        """The first tuples of a range, at most `most` beyond one push."""
-        parts, out, n = self.parts.get(at), [], 0
+        """The first tuples of a range, at most `most` beyond one part."""
+        parts, out, n = self.parts.get(at, []), [], 0
         while parts and n < most:
-            part = parts.pop(0)
-            if isinstance(part, tuple):
-                place, size = part
-                self.file.seek(place)
-                part = [np.frombuffer(self.file.read(size * np.dtype(k).itemsize), k) for k in self.KINDS]
-            else:
-                self.bytes -= sum(c.nbytes for c in part)
-            out.append(part)
-            n += len(part[0])
+            place, size = parts.pop(0)
+            self.file.seek(place)
+            out.append([np.frombuffer(self.file.read(size * np.dtype(k).itemsize), k) for k in self.KINDS])
+            n += size
+        if self.held and n < most:
+            columns, where = self._joined()
+            own = where == at
+            out.append([c[own] for c in columns])
+            self.held = [[c[~own] for c in columns]]
+            self.bytes = sum(c.nbytes for c in self.held[0])
         return [np.concatenate(c) for c in zip(*out, strict=True)] if out else None
 
 
@@ -231,7 +232,8 @@ class _Pass:
                 pos[slot], lcp[slot] = p[order], v[order]
                 head[which] += n
 
-            if waiting := queue.take(r, 1 << 62):
+            waiting = queue.take(r, 1 << 62)
+            if waiting and len(waiting[0]):
                 put(*waiting)
             j = 0
             while j < size:
@@ -350,7 +352,7 @@ def _sorted_lms(store: Store, s: _String, cap: int, memory: int) -> tuple[np.nda
         name = int(named[-1])
     if name == m - 1:
         return rough, values
-    inner, inner_lcp = _order(store, names, name + 1, cap, memory)
+    inner, inner_lcp = _order(store, names, name + 1, cap, memory, True)
     least = _Minima(between[: name + 1], store.array)
     out, out_lcp = store.array(m, s.place), store.array(m, np.uint16)
     out[0] = s.lms[inner[0]]
@@ -366,8 +368,34 @@ def _sorted_lms(store: Store, s: _String, cap: int, memory: int) -> tuple[np.nda
     return out, out_lcp
 
 
-def _order(store: Store, t: np.ndarray, symbols: int, cap: int, memory: int) -> tuple[np.ndarray, np.ndarray]:
+def _in_memory(t: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same for a string that fits in memory: ranks of prefixes of doubling length, then values of neighbours symbol by symbol."""
+    n, k = len(t), 1
+    rank = np.unique(t, return_inverse=True)[1].astype(np.int64)
+    while True:
+        second = np.zeros(n, np.int64)
+        second[: n - k] = rank[k:] + 1
+        key = rank * (n + 1) + second
+        out = np.argsort(key)
+        rank = np.empty(n, np.int64)
+        rank[out] = np.concatenate([[0], np.cumsum(key[out[1:]] != key[out[:-1]])])
+        k *= 2
+        if rank[out[-1]] == n - 1 or k >= n:
+            break
+    values, live = np.zeros(n, np.uint16), np.arange(1, n)
+    for j in range(cap):
+        a, b = out[live - 1] + j, out[live] + j
+        live = live[(np.maximum(a, b) < n) & (t[np.minimum(a, n - 1)] == t[np.minimum(b, n - 1)])]
+        if not len(live):
+            break
+        values[live] = j + 1
+    return out, values
+
+
+def _order(store: Store, t: np.ndarray, symbols: int, cap: int, memory: int, inner: bool = False) -> tuple[np.ndarray, np.ndarray]:
     n = len(t)
+    if inner and n * _TUPLE_BYTES <= memory:
+        return _in_memory(np.asarray(t), cap)
     s = _String(store, t, symbols, cap, max(1, memory // _TUPLE_BYTES))
     out, values, at = store.array(n, s.place), store.array(n + 1, np.uint16), n
 
