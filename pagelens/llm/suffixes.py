@@ -23,7 +23,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-#: Bytes of tuples in memory. A shard of 3 MB has about 100 MB of them.
+#: Bytes of tuples in memory, a quarter of them queued. A shard of 3 MB has about 100 MB of them.
 MEMORY_BYTES = 16 << 20
 #: What a tuple takes while it is worked on.
 _TUPLE_BYTES = 32
@@ -153,6 +153,19 @@ class _String:
         self.lms = lms[:n_lms][::-1]
 
 
+def _filled(pos: np.ndarray, j: int) -> int:
+    """Where the filled slots from j on end, looked for in windows that grow, so that it takes as long as they are many."""
+    width = 64
+    while j < len(pos):
+        open_ = pos[j : j + width] < 0
+        at = int(open_.argmax())
+        if open_[at]:
+            return j + at
+        j += width
+        width *= 4
+    return len(pos)
+
+
 class _Pass:
     """One pass over a string: from suffixes given in the pass's order all wanted ones are induced."""
 
@@ -205,7 +218,7 @@ class _Pass:
         while not bounds or bounds[-1] < symbols:
             at = bounds[-1] if bounds else 0
             bounds.append(max(at + 1, int(np.searchsorted(start, start[at] + self.most, "right")) - 1))
-        queue, g, lo = Queue(np.array(bounds), self.memory), 0, 0
+        queue, g, lo = Queue(np.array(bounds), self.memory // 4), 0, 0
         for r, hi in enumerate(bounds):
             size = int(start[hi] - start[lo])
             if size > self.most:
@@ -237,8 +250,7 @@ class _Pass:
                 put(*waiting)
             j = 0
             while j < size:
-                open_ = np.flatnonzero(pos[j:] < 0) if size - j <= 1024 or pos[j + 1023] < 0 else np.flatnonzero(pos < 0)
-                k = size if not len(open_) else int(open_[0]) + (j if len(open_) and (size - j <= 1024 or pos[j + 1023] < 0) else 0)
+                k = _filled(pos, j)
                 if k <= j:
                     raise RuntimeError("a slot is reached before it is filled")
                 m = mixed[np.searchsorted(mixed, j) : np.searchsorted(mixed, k)]
