@@ -23,7 +23,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-#: Bytes of tuples in memory, a quarter of them queued. A shard of 3 MB has about 100 MB of them.
+#: Bytes of tuples in memory, a quarter of them queued. A shard of 1.5 MB has about 50 MB of them.
 MEMORY_BYTES = 16 << 20
 #: What a tuple takes while it is worked on.
 _TUPLE_BYTES = 32
