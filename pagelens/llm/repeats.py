@@ -34,8 +34,10 @@ GRAM = 64
 SHARD_BYTES = 1_500_000
 MOST_VARIANTS = 4096
 #: Longer texts are handled in pieces that overlap by a window.
-PIECE = 1 << 20
+PIECE = 1 << 18
 _POS_BITS = 22
+#: An odd multiplier of the hash of grams, which only proposes what is compared.
+_JOIN = 0x9E3779B97F4A7C15
 
 
 def _pieces(batch_column, length: int) -> Iterator[tuple[X.Texts, np.ndarray, np.ndarray]]:
@@ -50,6 +52,22 @@ def _pieces(batch_column, length: int) -> Iterator[tuple[X.Texts, np.ndarray, np
                 yield X.Texts(part, np.array([0, len(part)]), group.first), np.array([group.first]), np.array([at])
 
 
+def _grams(data: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all strings of `size` bytes: those of half the size are joined, down to words of eight bytes (or to single ones)."""
+    width = 8 if size >= 8 else 1
+    h = np.ndarray((len(data) - width + 1,), np.uint64 if width == 8 else np.uint8, np.ascontiguousarray(data), strides=(1,)).astype(np.uint64)
+    while width < size:
+        step = min(width, size - width)
+        left = h[:-step] * np.uint64(_JOIN)
+        left ^= left >> np.uint64(32)
+        left += h[step:]
+        h, width = left, width + step
+    h *= np.uint64(_JOIN)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(_JOIN)
+    return h
+
+
 def segments(texts: X.Texts, length: int) -> tuple[np.ndarray, ...]:
     """text, first window, windows, hash of the anchor's gram, hash of the segment's bytes and anchor."""
     size = min(GRAM, length)
@@ -57,23 +75,28 @@ def segments(texts: X.Texts, length: int) -> tuple[np.ndarray, ...]:
     none = np.zeros(0, np.int64)
     if n < length:
         return none, none, none, none, none
-    hasher = X.Hasher(texts.data)
-    at = np.arange(n - size + 1)
-    keys = hasher(at, at + size)
-    packed = (keys & ~np.uint64((1 << _POS_BITS) - 1)) | at.astype(np.uint64)
-    width, least = 1, packed
-    while 2 * width <= grams:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
+    keys = _grams(texts.data, size)
+    low = np.uint64((1 << _POS_BITS) - 1)
+    least = keys & ~low
+    least |= np.arange(len(keys), dtype=np.uint64)
+    width = 1
+    while width < grams:
+        step = min(width, grams - width)
+        least, width = np.minimum(least[:-step], least[step:]), width + step
     m = n - length + 1
-    least = np.minimum(least[:m], least[grams - width : grams - width + m])
-    anchor = (least & np.uint64((1 << _POS_BITS) - 1)).astype(np.int64)
-    own = np.searchsorted(texts.bounds, np.arange(m), "right") - 1
-    inside = np.arange(m) + length <= texts.bounds[own + 1]
-    start = np.flatnonzero(inside & np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (own[1:] != own[:-1]) | ~inside[:-1]]))
-    stop = np.flatnonzero(inside & np.concatenate([(anchor[1:] != anchor[:-1]) | (own[1:] != own[:-1]) | ~inside[1:], [True]])) + 1
-    body = hasher(start, stop - 1 + length)
-    return own[start], start - texts.bounds[own[start]], stop - start, keys[anchor[start]], X.mix(body ^ X.mix((anchor[start] - start).astype(np.uint64)))
+    edges = np.zeros(m + 1, np.int8)
+    begin, end = texts.bounds[:-1], texts.bounds[1:] - length + 1
+    long_enough = end > begin
+    edges[begin[long_enough]] += 1
+    edges[end[long_enough]] -= 1
+    inside = np.cumsum(edges, dtype=np.int8).astype(bool)  # windows that lie in one text; the last element is a guard
+    other = least[1:] != least[:-1]  # anchors are positions, so texts that meet differ too
+    start = np.flatnonzero(inside[:-1] & np.concatenate([[True], other | ~inside[: m - 1]]))
+    stop = np.flatnonzero(inside[:-1] & np.concatenate([other | ~inside[1:m], [True]])) + 1
+    anchor = (least[start] & low).astype(np.int64)
+    body = X.Hasher(texts.data)(start, stop - 1 + length)
+    own = np.searchsorted(texts.bounds, start, "right") - 1
+    return own, start - texts.bounds[own], stop - start, keys[anchor], X.mix(body ^ X.mix((anchor - start).astype(np.uint64)))
 
 
 def anchors(docs: DataFrame, length: int) -> DataFrame:

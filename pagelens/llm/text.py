@@ -52,9 +52,13 @@ _BASES = (0x5DEECE66 % _PRIME, 0x2545F491)
 def fold(x: np.ndarray) -> np.ndarray:
     """Remainders of values below 2**62 by _PRIME."""
     p, s = np.uint64(_PRIME), np.uint64(31)
-    x = (x & p) + (x >> s)
-    x = (x & p) + (x >> s)
-    return np.where(x >= p, x - p, x)
+    high = x >> s
+    x = x & p
+    x += high
+    np.right_shift(x, s, out=high)
+    x &= p
+    x += high
+    return np.minimum(x, x - p)  # a difference below zero wraps to a large value
 
 
 def _upto(base: int, n: int) -> np.ndarray:
