@@ -381,10 +381,13 @@ def _sorted_lms(store: Store, s: _String, cap: int, memory: int) -> tuple[np.nda
 
 
 def _in_memory(t: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
-    """The same for a string that fits in memory: ranks of prefixes of doubling length, then values of neighbours symbol by symbol."""
+    """The same for a string that fits in memory: ranks of prefixes of doubling length, of which those below the cap give the values of neighbours."""
     n, k = len(t), 1
     rank = np.unique(t, return_inverse=True)[1].astype(np.int64)
+    ranks = []  # of prefixes of 1, 2, 4, ... symbols
     while True:
+        if k <= cap:
+            ranks.append(rank.astype(np.int32 if n < 1 << 31 else np.int64))
         second = np.zeros(n, np.int64)
         second[: n - k] = rank[k:] + 1
         key = rank * (n + 1) + second
@@ -394,14 +397,13 @@ def _in_memory(t: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
         k *= 2
         if rank[out[-1]] == n - 1 or k >= n:
             break
-    values, live = np.zeros(n, np.uint16), np.arange(1, n)
-    for j in range(cap):
-        a, b = out[live - 1] + j, out[live] + j
-        live = live[(np.maximum(a, b) < n) & (t[np.minimum(a, n - 1)] == t[np.minimum(b, n - 1)])]
-        if not len(live):
-            break
-        values[live] = j + 1
-    return out, values
+    values = np.zeros(n, np.int64)
+    for j in reversed(range(len(ranks))):
+        a, b = out[:-1] + values[1:], out[1:] + values[1:]
+        both = np.flatnonzero(np.maximum(a, b) < n)
+        equal = both[ranks[j][a[both]] == ranks[j][b[both]]]
+        values[1 + equal] += 1 << j
+    return out, np.minimum(values, cap).astype(np.uint16)
 
 
 def _order(store: Store, t: np.ndarray, symbols: int, cap: int, memory: int, inner: bool = False) -> tuple[np.ndarray, np.ndarray]:
