@@ -244,20 +244,6 @@ def _unpacked(packed: DataFrame) -> DataFrame:
     return packed.select("records").mapInArrow(run, "group long, node long, size long, signature binary")
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest node reachable from each of n nodes by the links a, b."""
-    root = np.arange(n)
-    while len(a):
-        least = np.minimum(root[a], root[b])
-        for x in (root[a], root[b], a, b):
-            np.minimum.at(root, x, least)
-        while (root[root] != root).any():
-            root = root[root]
-        apart = root[a] != root[b]
-        a, b = a[apart], b[apart]
-    return root
-
-
 class _Pairs:
     """Bounds on pairs of records: numbers of tokens, places of the shared token (None: unknown) and signatures (words of all, and where each begins)."""
 
@@ -348,7 +334,7 @@ def _meet(percent: int):
         if not len(left):
             return None
         nodes, ends_of_pairs = np.unique(set_[np.concatenate([left, right])], return_inverse=True)
-        root = _roots(len(nodes), ends_of_pairs[: len(left)], ends_of_pairs[len(left) :])
+        root = groups.roots(len(nodes), ends_of_pairs[: len(left)], ends_of_pairs[len(left) :])
         far = np.flatnonzero(root != np.arange(len(nodes)))
         return pa.table({"a": nodes[far].view(np.int64), "b": nodes[root[far]].view(np.int64)}) if len(far) else None
 
