@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -186,11 +187,12 @@ def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
 
 
 def prefixes(docs: DataFrame, rank, percent: int, parts: int, frequent: int) -> DataFrame:
-    """part, records: prefix tokens of all sets that may match another set, packed by part of the token space; part -1 holds those of tokens
-    whose rank is at least `frequent`. rank: a broadcast of the ranks."""
+    """part, records: prefix tokens of all sets that may match another set, packed by part of the token space; those of tokens whose rank is at
+    least `frequent` have negative parts, one for each record batch of a task. rank: a broadcast of the ranks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, sigs, n_held, n_lines = [], [], 0, 0
+        apart = -1 - (TaskContext.get().partitionId() << 32)
         for batch in batches:
             for _, hashes, bounds, _, _ in _line_groups(batch, 0):
                 ids, to = ranked(hashes, bounds, rank.value)
@@ -205,19 +207,19 @@ def prefixes(docs: DataFrame, rank, percent: int, parts: int, frequent: int) ->
                 n_lines += len(n)
                 n_held += len(which)
                 if n_held >= 4096 * parts or n_held >= 2_000_000:
-                    yield flush(held, np.concatenate(sigs))
-                    held, sigs, n_held, n_lines = [], [], 0, 0
+                    yield flush(held, np.concatenate(sigs), apart)
+                    held, sigs, n_held, n_lines, apart = [], [], 0, 0, apart - 1
         if n_held:
-            yield flush(held, np.concatenate(sigs))
+            yield flush(held, np.concatenate(sigs), apart)
 
-    def flush(held: list[tuple], sigs: np.ndarray) -> pa.RecordBatch:
+    def flush(held: list[tuple], sigs: np.ndarray, apart: int) -> pa.RecordBatch:
         columns = [np.concatenate(c) for c in zip(*held, strict=True)]
         order = np.lexsort((columns[4], columns[1]))  # a record that stands in several texts is sent once
         same = np.zeros(len(order), bool)
         same[1:] = (columns[1][order[1:]] == columns[1][order[:-1]]) & (columns[4][order[1:]] == columns[4][order[:-1]])
         columns = [c[order[~same]] for c in columns]
         part = (X.mix(columns[0]) % np.uint64(parts)).astype(np.int64)
-        part[columns[0] >> np.uint64(_HASH_BITS) >= np.uint64(frequent)] = -1
+        part[columns[0] >> np.uint64(_HASH_BITS) >= np.uint64(frequent)] = apart
         order = np.argsort(part, kind="stable")
         columns, part = [c[order] for c in columns], part[order]
         found, at = np.unique(part, return_index=True)
@@ -290,9 +292,12 @@ class _Pairs:
 
 
 def _meet(percent: int):
-    """Spanning forest of the sets that share a prefix token within the length and positional bounds."""
+    """Spanning forest (a, b) of the sets that share a prefix token within the length and positional bounds. Records of frequent tokens pass through."""
 
     def work(t: pa.Table) -> pa.Table | None:
+        if t.column("part")[0].as_py() < 0:
+            none = pa.nulls(t.num_rows, pa.int64())
+            return pa.table({"a": none, "b": none, "records": t.column("records")})
         *columns, words = [np.concatenate(c) for c in zip(*[_unpack(x.as_py()) for x in t.column("records")], strict=True)]
         columns.append(np.cumsum(_widths(columns[2])) - _widths(columns[2]))  # where each record's signature begins
         order = np.argsort(columns[0])  # the token's records are few; only those of shared tokens go on
@@ -336,7 +341,7 @@ def _meet(percent: int):
         nodes, ends_of_pairs = np.unique(set_[np.concatenate([left, right])], return_inverse=True)
         root = groups.roots(len(nodes), ends_of_pairs[: len(left)], ends_of_pairs[len(left) :])
         far = np.flatnonzero(root != np.arange(len(nodes)))
-        return pa.table({"a": nodes[far].view(np.int64), "b": nodes[root[far]].view(np.int64)}) if len(far) else None
+        return pa.table({"a": nodes[far].view(np.int64), "b": nodes[root[far]].view(np.int64), "records": pa.nulls(len(far), pa.binary())}) if len(far) else None
 
     return work
 
@@ -437,14 +442,14 @@ def removed(plain: DataFrame, percent: int = 80) -> DataFrame:
 
     parts = max(16, -(-int(counts.sum()) * _SENT_BYTES // PART_BYTES))
     sent = spark.sparkContext.broadcast(rarity(counts))
-    packed = shared.written(prefixes(plain, sent, percent, parts, int(rarity(np.array([FREQUENT]))[0])), "line-prefixes", "lz4")
+    packed = prefixes(plain, sent, percent, parts, int(rarity(np.array([FREQUENT]))[0]))  # goes through its shuffle only once and into no table
+    met = shared.written(groups.each(packed, "part", _meet(percent), "a long, b long, records binary", parts), "met", "lz4")
     sent.destroy()
-    met = groups.each(packed.where("part >= 0"), "part", _meet(percent), "a long, b long", parts)
-    frequent = packed.where("part < 0")
+    frequent, met = met.where("records IS NOT NULL"), met.where("records IS NULL").select("a", "b")
     if frequent.limit(1).count():
         rows = shared.written(_unpacked(frequent).distinct(), "frequent-tokens")
         nodes = rows.select("node", "size", "signature").dropDuplicates(["node"])
-        met = shared.written(met, "met").union(groups.forest(rows.select("group", "node", F.lit(0).cast("long").alias("weight")).distinct(), nodes, _meet_block(percent), FREQUENT_BLOCK, 1))
+        met = met.union(groups.forest(rows.select("group", "node", F.lit(0).cast("long").alias("weight")).distinct(), nodes, _meet_block(percent), FREQUENT_BLOCK, 1))
     loose = shared.written(groups.components(met), "line-groups").select(F.col("node").alias("set_id"), "component")
     wanted = loose.join(firsts, "set_id").select("first.id", "first.th", F.struct("first.line", "set_id", "component").alias("w")).groupBy("id", "th").agg(F.collect_list("w").alias("wanted"))
     wanted = shared.written(wanted, "wanted-lines")
