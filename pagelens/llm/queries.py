@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, linededup, neardup, packing, pii, quality, repeats, toxicity, urls
+from . import decontam, fim, licenses, linededup, neardup, packing, periods, pii, quality, repeats, secrets, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +97,58 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, labels).select("page_id", "host", "path", "rule", "verdict", "template", "purity")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The span of an assignment is its whole match, name and value."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    name = lambda c: F.concat_ws(":", c["kind"], c["start"].cast("string"), c["end"].cast("string"))
+    joined = lambda c: F.array_join(F.transform(c, name), ",")
+    counts = [F.size(F.expr(f"filter(spans, s -> s.kind = '{k}')")).cast("long").alias(f"n_{k}") for k in secrets.BASE]
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))
+    formats = F.array_join(F.filter(F.transform("spans", lambda s: s["format"]), lambda f: f != ""), ",").alias("formats")
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), formats)
+
+
+def planted(text: Column, key: Column) -> Column:
+    """The text, in one of ten documents with its words from a place on replaced by repeats of the first of them; place and period follow from the key's
+    checksum. Without a key the text stays."""
+    h = F.crc32(key.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def periodic(w: Column) -> Column:
+        n = F.size(w)
+        a = (g % F.greatest(n, F.lit(1))).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        times = F.ceil((n - a) / p).cast("int")
+        tail = F.slice(F.flatten(F.array_repeat(F.slice(w, a + 1, p), times)), 1, n - a)
+        return F.when(n > 0, F.array_join(F.concat(F.slice(w, 1, a), tail), " ")).otherwise(text)
+
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    return F.when(h % 10 == 0, F.get(F.transform(F.array(words), periodic), F.lit(0))).otherwise(text)  # the lambda binds the words once
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = periods.find(docs.select("doc_id", planted(F.col("text"), F.col("doc_id")).alias("text")))
+    best = F.col("strongest")
+    line = lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fim.transform(table(spark, sf_dir, "documents"))
+    rebuilt = F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), rebuilt)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pii": op1_pii,
@@ -109,6 +161,9 @@ def queries() -> dict[str, Query]:
         "op8_license_scan": op8_license_scan,
         "op9_decontamination": op9_decontamination,
         "op10_url_filter": op10_url_filter,
+        "op11_secret_scan": op11_secret_scan,
+        "op12_periodic_runs": op12_periodic_runs,
+        "op13_fill_in_middle": op13_fill_in_middle,
     }
 
 
@@ -140,6 +195,17 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 """
 
 
+_MIDDLE_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+h AS (SELECT doc_id, t, w, len(w) AS n, CAST('0x' || x[1:8] AS BIGINT) % (len(w) + 1) AS a, CAST('0x' || x[9:16] AS BIGINT) % (len(w) + 1) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || x[17:24] AS BIGINT) % 100 >= 50 THEN 'plain' WHEN CAST('0x' || x[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT doc_id, t, n, form, array_to_string(w[1 : least(a, b)], '') AS prefix, array_to_string(w[least(a, b) + 1 : greatest(a, b)], '') AS middle, array_to_string(w[greatest(a, b) + 1 : n], '') AS suffix FROM h)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(CASE form WHEN 'plain' THEN t ELSE prefix || middle || suffix END) AS restored_sha256 FROM p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The other queries rest on a trained model, a tokenizer, fuzzy matching or components; tests compare them with plain-Python versions."""
-    return {"op5_quality_rules": _QUALITY_SQL, "op9_decontamination": _LEAKS_SQL}
+    return {"op5_quality_rules": _QUALITY_SQL, "op9_decontamination": _LEAKS_SQL, "op13_fill_in_middle": _MIDDLE_SQL}

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 
-from pagelens.llm import groups, licenses, linededup, neardup, packing, pii, quality, repeats, suffixes, text, toxicity, urls
+from pagelens.llm import fim, groups, licenses, linededup, neardup, packing, periods, pii, quality, repeats, secrets, suffixes, text, toxicity, urls
 
 
 def test_functions_are_small_when_pickled():
@@ -12,7 +12,7 @@ def test_functions_are_small_when_pickled():
     for group in text.chunked(batch):
         quality.cascade(group, list(quality.RULES))
     assert text._cache
-    for module in (groups, licenses, linededup, neardup, packing, pii, quality, repeats, suffixes, text, toxicity, urls):
+    for module in (fim, groups, licenses, linededup, neardup, packing, periods, pii, quality, repeats, secrets, suffixes, text, toxicity, urls):
         for name, value in vars(module).items():
             if callable(value) and getattr(value, "__module__", "") == module.__name__:
                 assert len(cloudpickle.dumps(value)) < 200_000, (module.__name__, name)
