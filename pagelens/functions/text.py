@@ -16,22 +16,24 @@ NAME_STOP_WORDS = (
 BRANCH_WORDS = ("filiale", "standort", "zweigstelle")
 TAG_KEYS = ("shop", "office", "amenity", "craft", "healthcare", "leisure")
 LEGAL_FORMS = ("GmbH & Co KG", "GmbH", "AG", "OG", "KG", r"e\.U\.", "eU", r"Ges\.m\.b\.H\.?", r"Gesellschaft m\.b\.H\.?")
-#: Accented Latin letters and the plain ones that a compatibility decomposition leaves, by rule from the Unicode tables.
-_ACCENTS = None
+#: Characters whose compatibility decomposition holds a plain letter, digit or `&`: those that become one character, and those that become several.
+_DECOMPOSED: tuple[dict[str, str], dict[str, str]] = ({}, {})
 
 
-def _accents() -> tuple[str, str]:
-    global _ACCENTS
-    if _ACCENTS is None:
+def decompositions() -> tuple[dict[str, str], dict[str, str]]:
+    """By rule from the Unicode tables: what NFKD makes of a lower-case character, without the marks U+0300 to U+036F, where a slug keeps any of it. What
+    it drops stands for a separator (a space)."""
+    one, many = _DECOMPOSED
+    if not one:
+        import sys
         import unicodedata
 
-        pairs = {}
-        for c in range(0xC0, 0x250):
-            plain = "".join(x for x in unicodedata.normalize("NFKD", chr(c)) if not 0x300 <= ord(x) <= 0x36F)
-            if len(plain) == 1 and plain != chr(c):
-                pairs[chr(c)] = plain
-        _ACCENTS = "".join(pairs), "".join(pairs.values())
-    return _ACCENTS
+        for c in map(chr, range(0x80, sys.maxunicode + 1)):
+            plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not "\u0300" <= x <= "\u036f")
+            if plain != c and any(x.isascii() and (x.islower() or x.isdigit() or x == "&") for x in plain):
+                kept = "".join(x if x.isascii() and (x.islower() or x.isdigit() or x == "&") else " " for x in plain)
+                (one if len(plain) == 1 else many)[c] = kept
+    return _DECOMPOSED
 
 
 def fold_umlauts(c: Column) -> Column:
@@ -42,8 +44,15 @@ def fold_umlauts(c: Column) -> Column:
 
 
 def _plain(c: Column) -> Column:
-    """Umlauts folded, lower case, accents off Latin letters."""
-    return F.regexp_replace(F.translate(F.lower(fold_umlauts(c)), *_accents()), r"[̀-ͯ]", "")
+    """Umlauts folded, lower case, characters decomposed, marks off.
+
+    Characters that become one are translated; only texts that hold one that becomes several (ligatures, fractions, units) are taken apart and joined with the table."""
+    one, many = decompositions()
+    low = F.translate(F.lower(fold_umlauts(c)), "".join(one), "".join(one.values()))
+    table = F.create_map(*[F.lit(x) for pair in many.items() for x in pair])
+    apart = F.array_join(F.transform(F.split(low, ""), lambda x: F.when(x < "\u0080", x).otherwise(F.coalesce(F.try_element_at(table, x), x))), "")
+    rare = low.rlike("[" + "".join(f"\\x{{{ord(x):x}}}" for x in many) + "]")
+    return F.regexp_replace(F.when(rare, apart).otherwise(low), r"[\x{300}-\x{36f}]", "")
 
 
 def slug(c: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..functions import score, url
 from ..schemas import AUDIT, COLLAPSED_LOG, DUPLICATE_LOG, FILTERED_LOG, conform
+from . import prefixes
 
 
 def keep_best(df: DataFrame, key: Column, order: list[Column], tie: str) -> DataFrame:
@@ -42,12 +43,16 @@ def by_url(audits: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]
     return conform(kept, AUDIT), conform(log, DUPLICATE_LOG)
 
 
-def by_apex(audits: DataFrame, apex_audits: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
+def by_apex(audits: DataFrame, apex_audits: DataFrame, settings: Settings, suffixes: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Survivors, the log of branches dropped as those of a good site, and the log of branches collapsed into one row.
 
-    apex_audits: apex and audit columns, one row for each apex that could be audited. Groups of one, and groups without such a row, pass."""
-    apex = F.when(F.col("tier") == "A", url.apex(F.col("discovered_url")))
-    rows = audits.withColumn("_apex", apex)
+    apex_audits: apex and audit columns, one row for each apex that could be audited. Groups of one, and groups without such a row, pass.
+    suffixes: public-suffix rules (`dimensions.suffix_rules`); without them common suffixes of two labels count."""
+    if suffixes is None:
+        rows = audits.withColumn("_apex", url.apex(F.col("discovered_url")))
+    else:
+        rows = prefixes.with_apex(audits, "discovered_url", suffixes, name="_apex")
+    rows = rows.withColumn("_apex", F.when(F.col("tier") == "A", F.col("_apex")))
     sizes = rows.where(F.col("_apex").isNotNull()).groupBy("_apex").agg(F.count("*").cast("int").alias("_branches")).where("_branches > 1")
     canon = apex_audits.withColumn("_has", F.lit(True)).withColumnRenamed("apex", "_apex")
     groups = sizes.join(canon.select("_apex", "_has", F.col("score").alias("_score")), "_apex", "left")

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions import html, js, score, text, url
 
-#: Rows up to which a counted dimension is broadcast.
-BROADCAST_ROWS = 100_000
+#: Rows and characters (as JSON) up to which a counted dimension is broadcast.
+BROADCAST_ROWS, BROADCAST_CHARS = 100_000, 16_000_000
 
 
 @dataclass(frozen=True)
@@ -24,8 +24,9 @@ class BranchPattern:
 
 
 def dimension(df: DataFrame) -> DataFrame:
-    """The table with a broadcast hint if it is counted to be small."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    """The table with a broadcast hint if it is counted to be small, in rows and in size."""
+    rows, chars = df.limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0))).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and chars <= BROADCAST_CHARS else df
 
 
 def chain_reasons(candidates: DataFrame, blacklist: DataFrame, whitelist: DataFrame) -> DataFrame:

@@ -20,13 +20,14 @@ from ..schemas import AUDIT, conform
 
 @dataclass(frozen=True)
 class Inputs:
-    """What was fetched: fetches (pages), psi, robots (origin, rules), place matches, search links; all but the first may be missing."""
+    """What was fetched: fetches (pages), psi, robots (origin, rules), place matches, search links, public-suffix rules; all but the first may be missing."""
 
     fetches: DataFrame
     psi: DataFrame | None = None
     robots: DataFrame | None = None
     matches: DataFrame | None = None
     search_links: DataFrame | None = None
+    suffixes: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -99,6 +100,6 @@ def run(candidates: DataFrame, inputs: Inputs, settings: Settings, patterns: lis
     kept, filtered = filters.branch_pages(audited, patterns, settings)
     if apex_audits is None:
         apex_audits = audited.limit(0).withColumn("apex", F.lit(""))
-    survivors, dropped, collapsed = dedupe.by_apex(conform(kept, AUDIT), apex_audits, settings)
+    survivors, dropped, collapsed = dedupe.by_apex(conform(kept, AUDIT), apex_audits, settings, inputs.suffixes)
     unique, duplicates = dedupe.by_url(survivors, settings)
     return Result(filters.of_tier(unique, only_tier), filtered.unionByName(dropped), collapsed, duplicates)

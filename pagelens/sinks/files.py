@@ -1,13 +1,18 @@
-"""Exports as CSV, JSON and JSON lines, and the append-only logs. Ids K4-K7, K9, K10, X26 of the survey."""
+"""Exports as CSV, JSON and JSON lines, and the append-only logs. Ids K4-K7, K9, K10, X26 of the survey.
+
+Exports are written by the tasks, in the rows' order, and then put together by the file system; no row passes through the driver.
+"""
 
 from __future__ import annotations
 
 import csv
-import io
 import json
 import os
-from collections.abc import Iterable
+import uuid
 
+import pandas as pd
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,18 +45,74 @@ def csv_lines(rows: DataFrame, ddl: str = EXPORT) -> DataFrame:
     return rows.select(F.concat_ws(";", *[cell(f) for f in struct(ddl)]).alias("line"))
 
 
-def _stream(df: DataFrame) -> Iterable:
-    """The rows in order, a partition at a time."""
-    return (r[0] for r in df.toLocalIterator(prefetchPartitions=True))
+class _Files:
+    """A folder of part files beside the target, put together by the file system."""
+
+    def __init__(self, spark, path: str):
+        jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        self.Path, self.io = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.hadoop.io.IOUtils
+        self.spark, self.target = spark, self.Path(path)
+        self.folder = f"{path}.parts-{uuid.uuid4().hex}"
+        self.fs = self.target.getFileSystem(self.conf)
+
+    def _put(self, name: str, data: bytes):
+        at = self.Path(f"{self.folder}/{name}")
+        out = self.fs.create(at, True)
+        out.write(bytearray(data))
+        out.close()
+        return at
+
+    def _copy(self, at, out, count: int) -> None:
+        source = self.fs.open(at)
+        try:
+            self.io.copyBytes(source, out, count, False)
+        finally:
+            source.close()
+
+    def write(self, lines: DataFrame, separator: str, head: str = "", tail: str = "", empty: str = "") -> None:
+        """Every task writes its rows; then the parts become one file in the rows' order, with `separator` behind each row. tail: takes the last separator's place; empty: the file without rows.
+
+        Where the file system can, the parts are joined by their metadata alone; else their bytes are copied one behind the other, in small pieces."""
+        try:
+            lines.write.option("lineSep", separator).text(self.folder)
+            parts = sorted((s for s in self.fs.listStatus(self.Path(self.folder)) if s.getPath().getName().startswith("part-") and s.getLen()), key=lambda s: s.getPath().getName())
+            if not parts and empty:
+                head, tail = empty, ""
+            pieces = [(s.getPath(), s.getLen()) for s in parts]
+            if pieces and tail:
+                last, n = pieces.pop()
+                short = self.Path(f"{self.folder}/short")
+                out = self.fs.create(short, True)
+                self._copy(last, out, n - len(separator.encode()))
+                out.write(bytearray(tail.encode()))
+                out.close()
+                pieces.append((short, n))
+            self._join([self._put("head", head.encode())] * bool(head) + [p for p, _ in pieces])
+        finally:
+            self.fs.delete(self.Path(self.folder), True)
+
+    def _join(self, pieces: list) -> None:
+        whole = self.Path(f"{self.folder}/whole")
+        self.fs.create(whole, True).close()
+        try:
+            rest = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Path, len(pieces))
+            for i, p in enumerate(pieces):
+                rest[i] = p
+            self.fs.concat(whole, rest)
+        except (UnsupportedOperationException, Py4JJavaError):  # most file systems have no concat
+            out = self.fs.create(whole, True)
+            for p in pieces:
+                self._copy(p, out, self.fs.getFileStatus(p).getLen())
+            out.close()
+        self.fs.delete(self.target, False)
+        if not self.fs.rename(whole, self.target):
+            raise OSError(f"can't write {self.target}")
 
 
 def write_csv(rows: DataFrame, path: str, ddl: str = EXPORT) -> None:
     """K4: a file with byte order mark, header, semicolons and CRLF."""
     header = ";".join(f.name for f in struct(ddl))
-    with open(path, "w", encoding="utf-8", newline="") as f:
-        f.write(BOM + header + LINE_END)
-        for line in _stream(csv_lines(rows, ddl)):
-            f.write(line + LINE_END)
+    _Files(rows.sparkSession, path).write(csv_lines(rows, ddl), LINE_END, BOM + header + LINE_END)
 
 
 def json_rows(rows: DataFrame, ddl: str = EXPORT) -> DataFrame:
@@ -60,15 +121,20 @@ def json_rows(rows: DataFrame, ddl: str = EXPORT) -> DataFrame:
     return rows.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"))
 
 
+def indented(value: Column) -> Column:
+    """JSON objects as entries of an array, indented by two spaces."""
+
+    @F.pandas_udf("string")
+    def entry(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: "\n".join("  " + x for x in json.dumps(json.loads(v), indent=2, ensure_ascii=False).split("\n")))
+
+    return entry(value)
+
+
 def write_json(rows: DataFrame, path: str, ddl: str = EXPORT) -> None:
     """K5: a JSON array, indented by two spaces."""
-    with open(path, "w", encoding="utf-8") as f:
-        n = 0
-        for value in _stream(json_rows(rows, ddl)):
-            lines = json.dumps(json.loads(value), indent=2, ensure_ascii=False).split("\n")
-            f.write(("[\n" if n == 0 else ",\n") + "\n".join("  " + x for x in lines))
-            n += 1
-        f.write("\n]" if n else "[]")
+    entries = json_rows(rows, ddl).select(indented(F.col("value")).alias("value"))
+    _Files(rows.sparkSession, path).write(entries, ",\n", "[\n", "\n]", "[]")
 
 
 def label_lines(labelled: DataFrame) -> DataFrame:
@@ -83,9 +149,7 @@ def label_lines(labelled: DataFrame) -> DataFrame:
 
 def write_jsonl(lines: DataFrame, path: str) -> None:
     """K6: one JSON object a line."""
-    with open(path, "w", encoding="utf-8") as f:
-        for value in _stream(lines):
-            f.write(value + "\n")
+    _Files(lines.sparkSession, path).write(lines, "\n")
 
 
 def append_log(rows: DataFrame, path: str) -> int:
@@ -112,12 +176,3 @@ def listing(candidates: DataFrame) -> DataFrame:
 def cached(answers: DataFrame, path: str, basis: list[str]) -> None:
     """Stored answers keyed by the hash of what was asked, added to a Parquet cache."""
     answers.withColumn("key", text.cache_key(*[F.col(b) for b in basis])).write.mode("append").parquet(path)
-
-
-def csv_text(rows: DataFrame, ddl: str = EXPORT) -> str:
-    """K4 as text, for small exports."""
-    out = io.StringIO()
-    out.write(BOM + ";".join(f.name for f in struct(ddl)) + LINE_END)
-    for line in _stream(csv_lines(rows, ddl)):
-        out.write(line + LINE_END)
-    return out.getvalue()

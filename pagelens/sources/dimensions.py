@@ -93,6 +93,31 @@ def districts(spark: SparkSession, path: str | None = None) -> DataFrame:
     return spark.createDataFrame([(i, n, str(1000 + 10 * i)) for i, n in enumerate(DISTRICTS, 1)], "number int, name string, plz string")
 
 
+def suffix_rules(spark: SparkSession, path: str) -> DataFrame:
+    """Name, plain, wildcard, exception, private of a public-suffix file: a rule a line, up to the first space; `//` comments, `*.` any label, `!` an exception.
+
+    Names beyond ASCII are in punycode. What stands behind the mark of the private section is private."""
+    whole = spark.read.text(path, wholetext=True).withColumn("_at", F.instr("value", "===BEGIN PRIVATE DOMAINS==="))
+    parts = whole.select(F.inline(F.array(*[F.struct(t.alias("text"), F.lit(private).alias("private")) for t, private in (
+        (F.when(F.col("_at") > 0, F.left("value", F.col("_at"))).otherwise(F.col("value")), False), (F.when(F.col("_at") > 0, F.substr("value", F.col("_at"))), True))])))
+    lines = parts.select("private", F.explode(F.split("text", r"\r?\n", -1)).alias("line"))
+    rules = lines.select("private", F.lower(F.regexp_extract("line", r"\A\s*(\S+)", 1)).alias("rule")).where((F.col("rule") != "") & ~F.col("rule").startswith("//") & ~F.col("rule").startswith("="))
+    return suffix_table(rules)
+
+
+def suffix_table(rules: DataFrame) -> DataFrame:
+    """The same from rows of rule and private."""
+    bare = F.regexp_replace("rule", r"\A(\*\.|!)", "")
+    name = F.when(bare.rlike(r"[^\x00-\x7F]"), F.try_reflect(F.lit("java.net.IDN"), F.lit("toASCII"), bare)).otherwise(bare)
+    wildcard, exception = F.col("rule").startswith("*."), F.col("rule").startswith("!")
+    return rules.select(name.alias("name"), (~wildcard & ~exception).alias("plain"), wildcard.alias("wildcard"), exception.alias("exception"), "private").where(F.col("name").isNotNull())
+
+
+def number_plan(spark: SparkSession, path: str) -> DataFrame:
+    """Prefix, region, least, most of a CSV file with a header."""
+    return spark.read.option("header", True).schema("prefix string, region string, least int, most int").csv(path)
+
+
 def branch_patterns(text: str | None = None) -> list[BranchPattern]:
     """Patterns in order, the first that fits counts. text: YAML, a list of pattern, chain_name and reason; else the built-in ones."""
     if text is None:

@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.buckets import BucketedTable
 from ..operators.upsert import VersionedTable
 
 
-def upserting(audits: DataFrame, table: VersionedTable, checkpoint: str, trigger: dict | None = None):
-    """Every micro-batch is an upsert; a batch that is delivered twice gives the same table."""
+def upserting(audits: DataFrame, table: VersionedTable | BucketedTable, checkpoint: str, trigger: dict | None = None):
+    """Every micro-batch is an upsert; a batch that is delivered twice gives the same table. A bucketed table rewrites the buckets that the batch touches only, and
+    knows by number which batches of this checkpoint it has."""
 
-    def apply(batch: DataFrame, _: int) -> None:
-        if batch.limit(1).count():
+    def apply(batch: DataFrame, number: int) -> None:
+        if isinstance(table, BucketedTable):
+            table.upsert(batch, batch=(checkpoint, number))
+        elif batch.limit(1).count():
             table.upsert(batch)
 
     return audits.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
