@@ -50,7 +50,7 @@ class _Files:
 
     def __init__(self, spark, path: str):
         jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        self.Path, self.io = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.hadoop.io.IOUtils
+        self.Path, self.io = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.commons.io.IOUtils
         self.spark, self.target = spark, self.Path(path)
         self.folder = f"{path}.parts-{uuid.uuid4().hex}"
         self.fs = self.target.getFileSystem(self.conf)
@@ -65,7 +65,7 @@ class _Files:
     def _copy(self, at, out, count: int) -> None:
         source = self.fs.open(at)
         try:
-            self.io.copyBytes(source, out, count, False)
+            self.io.copyLarge(source, out, 0, count)
         finally:
             source.close()
 
