@@ -34,7 +34,7 @@ def waited(attempts: Column) -> Column:
     )
 
 
-def outcomes(attempts: DataFrame, retries: int = 2) -> DataFrame:
+def outcomes(attempts: DataFrame, retries: int = 2, body_units: int = BODY_UNITS) -> DataFrame:
     """Url, status, body, final_url, error, attempts, waited_ms.
 
     attempts: url, attempt (from 0), status, body, final_url, and failure and code where no answer came. Statuses 429, 503, 504 and timeouts are tried again, `retries` times;
@@ -44,7 +44,7 @@ def outcomes(attempts: DataFrame, retries: int = 2) -> DataFrame:
     again = F.when(failed, error == "TIMEOUT").otherwise(F.col("status").isin(*RETRIED)) & (F.col("attempt") < retries)
     tried = attempts.where(F.col("url").isNotNull() & (F.col("attempt") <= retries))
     answer = F.struct(
-        F.when(failed, F.lit(0)).otherwise(F.col("status")).alias("status"), F.when(failed | F.col("body").isNull(), F.lit("")).otherwise(capped(F.col("body"))).alias("body"),
+        F.when(failed, F.lit(0)).otherwise(F.col("status")).alias("status"), F.when(failed | F.col("body").isNull(), F.lit("")).otherwise(capped(F.col("body"), body_units)).alias("body"),
         F.when(failed, F.col("url")).otherwise(F.coalesce(F.nullif("final_url", F.lit("")), "url")).alias("final_url"), error.alias("error"), (F.col("attempt") + 1).cast("int").alias("attempts"),
     )
     log = tried.select("url", "attempt", F.when(~again, answer).alias("_answer"), F.when(~again, F.col("attempt")).alias("_ends"), F.when(again & ~failed, F.struct("attempt", "status")).alias("_retried"))
