@@ -44,59 +44,84 @@ FACTS = T.StructType(
 )
 
 
+#: Classes of the elements inside which directories put links to a business's own site.
+_PLACES = {"company-website", "restaurant-info", "restaurant-details"}
+
+
 class _Node:
-    __slots__ = ("tag", "attrs", "parent", "text", "before")
+    """start and end: the element's pieces of the page's text. inside: what of interest the elements around it are."""
+
+    __slots__ = ("tag", "attrs", "parent", "start", "end", "before", "inside", "marks")
 
-    def __init__(self, tag, attrs, parent):
-        self.tag, self.attrs, self.parent, self.text, self.before = tag, attrs, parent, [], None
+    def __init__(self, tag, attrs, parent, start):
+        self.tag, self.attrs, self.parent, self.start, self.end, self.before = tag, attrs, parent, start, start, None
+        self.inside = parent.inside | parent.marks if parent and parent.marks else parent.inside if parent else frozenset()
+        self.marks = frozenset()
 
     def has(self, cls: str) -> bool:
         return cls in (self.attrs.get("class") or "").split()
 
-    def inside(self, test) -> bool:
-        up = self.parent
-        while up is not None:
-            if test(up):
-                return True
-            up = up.parent
-        return False
-
 
 class _Page(HTMLParser):
-    """All elements in order, and the body's text: text nodes joined without separators."""
+    """All elements in order, and the text's pieces; each element keeps the bounds of its own, so that nesting costs nothing."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = _Node("", {}, None)
-        self.now, self.nodes, self.body, self.has_body = self.root, [], [], False
+        self.pieces: list[str] = []
+        self.root = self.now = _Node("", {}, None, 0)
+        self.nodes: list[_Node] = []
         self.last: dict = {}
+        self.open: dict[str, int] = {}
+
+    def text(self, node: _Node) -> str:
+        return "".join(self.pieces[node.start : node.end])
+
+    def _mark(self, node: _Node) -> None:
+        found = set(_PLACES.intersection((node.attrs.get("class") or "").split()))
+        if node.tag == "div" and node.attrs.get("data-key") == "website":
+            found.add("website-key")
+        if node.tag == "header":
+            found.add("header")
+        if node.tag == "section" and "header" in node.inside:
+            found.add("header-section")
+        if node.tag == "dd" and node.before is not None and node.before.tag == "dt" and "Website" in self.text(node.before):
+            found.add("website-label")
+        node.marks = frozenset(found)
 
     def handle_starttag(self, tag, attrs):
-        node = _Node(tag, {k: v or "" for k, v in reversed(attrs)}, self.now)
+        node = _Node(tag, {k: v or "" for k, v in reversed(attrs)}, self.now, len(self.pieces))
         node.before = self.last.get(self.now)
         self.last[self.now] = node
+        self._mark(node)
         self.nodes.append(node)
-        self.has_body |= tag == "body"
         if tag not in _VOID:
             self.now = node
+            self.open[tag] = self.open.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in _VOID:
-            self.now = self.now.parent
+            self._up()
+
+    def _up(self) -> None:
+        self.now.end = len(self.pieces)
+        self.open[self.now.tag] -= 1
+        self.now = self.now.parent
 
     def handle_endtag(self, tag):
-        up = self.now
-        while up is not None and up.tag != tag:
-            up = up.parent
-        if up is not None and up is not self.root:
-            self.now = up.parent
+        if self.open.get(tag):
+            while self.now.tag != tag:
+                self._up()
+            self._up()
 
     def handle_data(self, data):
-        up = self.now
-        while up is not None:
-            up.text.append(data)
-            up = up.parent
+        self.pieces.append(data)
+
+    def finish(self) -> None:
+        self.close()
+        while self.now is not self.root:
+            self._up()
+        self.root.end = len(self.pieces)
 
 
 def _types(node, out: list) -> None:
@@ -135,15 +160,15 @@ def _directory_links(page: _Page, html: str, blocks: list[str]) -> dict[str, lis
             if isinstance(n, dict):
                 ld += [n["url"]] if isinstance(n.get("url"), str) else []
                 ld += [s for s in n.get("sameAs") or [] if isinstance(s, str)] if isinstance(n.get("sameAs"), list) else []
-    after_label = [n for n in a if n.inside(lambda u: u.tag == "dd" and u.before is not None and u.before.tag == "dt" and "Website" in "".join(u.before.text))]
+    inside = lambda mark: href([n for n in a if mark in n.inside])
     return {
         "herold": href([n for n in a if n.attrs.get("data-testid") == "website-link"]) + href([n for n in a if n.has("website")]) + [n.attrs.get("content", "") for n in meta[:1]],
-        "firmenabc": href([n for n in a if n.inside(lambda u: u.has("company-website"))]) + href([n for n in a if n.attrs.get("rel") == "external noopener" and n.attrs.get("href", "").startswith("http")]),
+        "firmenabc": inside("company-website") + href([n for n in a if n.attrs.get("rel") == "external noopener" and n.attrs.get("href", "").startswith("http")]),
         "wko": ld,
-        "facebook": href([n for n in a if "Website" in n.attrs.get("aria-label", "")]) + href([n for n in a if n.inside(lambda u: u.tag == "div" and u.attrs.get("data-key") == "website")]) + ([quoted] if quoted.startswith(("http://", "https://")) else []),
-        "instagram": href(shim) + href([n for n in a if n.attrs.get("target") == "_blank" and n.inside(lambda u: u.tag == "section" and u.inside(lambda v: v.tag == "header"))]),
-        "falstaff": href([n for n in a if n.has("website") and n.inside(lambda u: u.has("restaurant-info"))]) + href(after_label),
-        "gaultmillau": href([n for n in a if "http" in n.attrs.get("href", "") and n.inside(lambda u: u.has("restaurant-details"))]),
+        "facebook": href([n for n in a if "Website" in n.attrs.get("aria-label", "")]) + inside("website-key") + ([quoted] if quoted.startswith(("http://", "https://")) else []),
+        "instagram": href(shim) + href([n for n in a if n.attrs.get("target") == "_blank" and "header-section" in n.inside]),
+        "falstaff": href([n for n in a if n.has("website") and "restaurant-info" in n.inside]) + inside("website-label"),
+        "gaultmillau": href([n for n in a if "http" in n.attrs.get("href", "") and "restaurant-details" in n.inside]),
     }
 
 
@@ -154,13 +179,13 @@ def parse(html: str | None) -> dict:
     page = _Page()
     try:
         page.feed(html)
-        page.close()
+        page.finish()
     except (AssertionError, RecursionError, ValueError):
         return empty
     bodies = [n for n in page.nodes if n.tag == "body"]
     heads = [n for n in page.nodes if n.tag in ("head", "html")]
-    body = "".join(bodies[0].text if bodies else page.root.text if not heads else [])
-    blocks = ["".join(n.text) for n in page.nodes if n.tag == "script" and n.attrs.get("type") == "application/ld+json"]
+    body = page.text(bodies[0]) if bodies else page.text(page.root) if not heads else ""
+    blocks = [page.text(n) for n in page.nodes if n.tag == "script" and n.attrs.get("type") == "application/ld+json"]
     types: list[str] = []
     for raw in blocks:
         try:
@@ -172,7 +197,7 @@ def parse(html: str | None) -> dict:
     views = [n for n in page.nodes if n.tag == "meta" and n.attrs.get("name") == "viewport"]
     return {
         "body_text": body,
-        "links": [{"href": n.attrs["href"], "text": "".join(n.text)} for n in page.nodes if n.tag == "a" and n.attrs.get("href")],
+        "links": [{"href": n.attrs["href"], "text": page.text(n)} for n in page.nodes if n.tag == "a" and n.attrs.get("href")],
         "schema_types": list(dict.fromkeys(types)),
         "viewport": (views[0].attrs.get("content", "").strip() or None) if views else None,
         "has_viewport": bool(views),

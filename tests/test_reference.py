@@ -288,3 +288,16 @@ def test_exports_in_parts_give_the_bytes_of_one_file(spark, tmp_path):
 def files_cell(v):
     s = ",".join(v) if isinstance(v, list) else str(v)
     return '"' + s.replace('"', '""') + '"' if any(c in s for c in ';"\r\n') else s
+
+
+def test_deep_pages_are_parsed_in_linear_time():
+    import time
+
+    from pagelens.functions import html
+
+    began = time.process_time()
+    facts = html.parse("<body>" + "<div>t " * 30_000 + "<a href=x>y</a>" * 3000)
+    assert len(facts["links"]) == 3000 and facts["body_text"].count("t ") == 30_000 and time.process_time() - began < 5
+    label = "<dl><dt>Website</dt><dd><p><a href='http://a.at'>x</a></dd><dt>Mail</dt><dd><a href='http://b.at'>y</a></dd></dl><header><section><a target=_blank href=c>z</a></section></header>"
+    links = html.parse(label)["directory_links"]
+    assert links["falstaff"] == ["http://a.at"] and links["instagram"] == ["c"]
