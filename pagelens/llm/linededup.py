@@ -53,12 +53,12 @@ FREQUENT, FREQUENT_BLOCK = 1_000_000, 8192
 
 def tokens(texts: X.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Token hashes of all lines that have words, their bounds, and each line's text and number in its text."""
-    w = X.words(texts, X.NOT_SPACE, lower=True)
+    first, last = X.runs(X.NOT_SPACE[texts.data], texts.bounds)
     starts, ends, own = line_bounds(texts)
-    bounds = np.append(np.searchsorted(w.starts, starts), len(w.starts))
+    bounds = np.append(np.searchsorted(first, starts), len(first))
     has = np.flatnonzero(np.diff(bounds) > 0)
     number = np.arange(len(own)) - np.searchsorted(own, own)
-    return w.hashes, np.append(bounds[has], bounds[-1]), own[has], number[has]
+    return X.block_hashes(texts.data, first, last, lower=True), np.append(bounds[has], bounds[-1]), own[has], number[has]
 
 
 def survey(docs: DataFrame) -> DataFrame:

@@ -169,6 +169,25 @@ class Hasher:
         return mix(((high << np.uint64(31)) | low) + mix((ends - starts).astype(np.uint64)))
 
 
+def block_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Hashes of byte ranges, eight bytes at a time: fewer steps than prefix sums where ranges are short, as words are. Ranges of up to eight bytes and
+    equal length never clash. Not those of Hasher."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[:-8] = _LOWER[data] if lower else data
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    sizes = ends - starts
+    out = mix(sizes.astype(np.uint64) + np.uint64(0x51_7C_C1))
+    todo = np.flatnonzero(sizes > 0)
+    at = starts[todo]
+    while len(todo):
+        left = np.minimum(ends[todo] - at, 8)
+        block = eight[at] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * left.astype(np.uint64)))
+        out[todo] = mix(out[todo] * np.uint64(_STEP[0]) ^ block)
+        more = ends[todo] - at > 8
+        todo, at = todo[more], at[more] + 8
+    return out
+
+
 @dataclass
 class Words:
     """The words of a group of texts: byte ranges, hashes, and bounds of each text in the word arrays."""
