@@ -47,7 +47,7 @@ BLOCK_RECORDS, BLOCK_TOKENS = 512, 1_000_000
 SMALL_GROUP = 512
 #: Bytes of a part of the token space, and what a token's occurrence sends into it at most, on average.
 PART_BYTES, _SENT_BYTES = 32 << 20, 10
-#: Tokens that occur more often don't go to a part; of their records so many are a block.
+#: Tokens that occur more often don't go to a part; so many records of one token are a block, and larger groups are cut.
 FREQUENT, FREQUENT_BLOCK = 1_000_000, 8192
 
 
@@ -167,6 +167,15 @@ def _signatures(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out.reshape(-1, _SIG_WORDS)
 
 
+def _wide(words: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Signatures as rows of all words, from the words of all and where each begins."""
+    out, width = np.zeros((len(n), _SIG_WORDS), np.uint64), _widths(n)
+    for x in range(_SIG_WORDS):
+        has = width > x
+        out[has, x] = words[at[has] + x]
+    return out
+
+
 def _pack(token: np.ndarray, set_: np.ndarray, sig: np.ndarray, n: np.ndarray, pos: np.ndarray) -> bytes:
     """Records as bytes: tokens in the six bytes that they need, sets, numbers in two bytes where they fit (first byte 2, else 4), and signatures
     in their widths. The first eight bytes after the width are the number of records."""
@@ -292,7 +301,8 @@ class _Pairs:
 
 
 def _meet(percent: int):
-    """Spanning forest (a, b) of the sets that share a prefix token within the length and positional bounds. Records of frequent tokens pass through."""
+    """Spanning forest (a, b) of the sets that share a prefix token within the length and positional bounds. Records of frequent tokens pass through, as do
+    those of tokens with more records than a block."""
 
     def work(t: pa.Table) -> pa.Table | None:
         if t.column("part")[0].as_py() < 0:
@@ -329,19 +339,25 @@ def _meet(percent: int):
             left.append(ok)
             right.append(ok + step)
             step += 1
+        passed = []
         for g in np.flatnonzero(size > SMALL_GROUP).tolist():
-            a, b = pairs.spread(int(ends[g] - size[g]), int(ends[g]), set_)
+            a, b = int(ends[g] - size[g]), int(ends[g])
+            if b - a > FREQUENT_BLOCK:
+                passed += [_pack(token[i:j], set_[i:j], _wide(words, sig[i:j], n[i:j]), n[i:j], pos[i:j]) for i, j in ((i, min(i + FREQUENT_BLOCK, b)) for i in range(a, b, FREQUENT_BLOCK))]
+                continue
+            a, b = pairs.spread(a, b, set_)
             left.append(np.array(a, np.int64))
             right.append(np.array(b, np.int64))
         left, right = np.concatenate(left), np.concatenate(right)
         apart = set_[left] != set_[right]
         left, right = left[apart], right[apart]
-        if not len(left):
-            return None
         nodes, ends_of_pairs = np.unique(set_[np.concatenate([left, right])], return_inverse=True)
         root = groups.roots(len(nodes), ends_of_pairs[: len(left)], ends_of_pairs[len(left) :])
         far = np.flatnonzero(root != np.arange(len(nodes)))
-        return pa.table({"a": nodes[far].view(np.int64), "b": nodes[root[far]].view(np.int64), "records": pa.nulls(len(far), pa.binary())}) if len(far) else None
+        link, none = [nodes[far].view(np.int64), nodes[root[far]].view(np.int64)], pa.nulls(len(passed), pa.int64())
+        columns = [pa.concat_arrays([pa.array(x, pa.int64()), none]) for x in link]
+        records = pa.concat_arrays([pa.nulls(len(far), pa.binary()), pa.array(passed, pa.binary())])
+        return pa.table({"a": columns[0], "b": columns[1], "records": records}) if len(records) else None
 
     return work
 

@@ -45,9 +45,11 @@ def expected(rows, percent=80):
     return out
 
 
-@pytest.mark.parametrize(("block", "frequent"), [(2048, 1_000_000), (5, 20)])
-def test_lines(spark, monkeypatch, block, frequent):
+@pytest.mark.parametrize(("block", "frequent", "small"), [(2048, 1_000_000, 512), (5, 20, 512), (2048, 1_000_000, 3)])
+def test_lines(spark, monkeypatch, block, frequent, small):
+    """With small groups of 3 and blocks of 10, groups larger than a block pass on to be cut."""
     monkeypatch.setattr(linededup, "BLOCK_RECORDS", block)
+    monkeypatch.setattr(linededup, "SMALL_GROUP", small)
     monkeypatch.setattr(linededup, "FREQUENT", frequent)
     monkeypatch.setattr(linededup, "FREQUENT_BLOCK", 10)
     rows = documents(EXTRA)
@@ -99,3 +101,40 @@ def test_tokens_that_share_rank_and_hash_bits_count_each():
     hashes = np.array([7 << 32 | 5, 7 << 32 | 9, 7 << 32 | 5, 3 << 32], np.uint64)
     ids, bounds = linededup.ranked(hashes, np.array([0, 4]), np.zeros(linededup.RARITY_BUCKETS, np.uint16))
     assert bounds.tolist() == [0, 3] and ids.tolist() == [3, 7, 7]
+
+
+def test_a_large_group_of_one_token_is_passed_on_in_blocks():
+    import time
+
+    import numpy as np
+    import pyarrow as pa
+
+    m = 100_000
+    n = np.sort(np.random.default_rng(1).integers(1, 400, m))
+    token, set_, pos = np.full(m, 77, np.uint64), np.arange(m, dtype=np.uint64) * np.uint64(7919) + np.uint64(1), np.zeros(m, np.int64)
+    sig = np.random.default_rng(2).integers(0, 1 << 62, (m, linededup._SIG_WORDS)).astype(np.uint64)
+    sig[np.arange(linededup._SIG_WORDS) >= linededup._widths(n)[:, None]] = 0
+    blob = linededup._pack(token, set_, sig, n, pos)
+    began = time.process_time()
+    out = linededup._meet(80)(pa.table({"part": pa.array([0]), "records": pa.array([blob], pa.binary())}))
+    assert time.process_time() - began < 5 and out.num_rows == -(-m // linededup.FREQUENT_BLOCK) and out.column("a").null_count == out.num_rows
+    back = [np.concatenate(x) for x in zip(*[linededup._unpack(b.as_py()) for b in out.column("records")], strict=True)]
+    order = np.argsort(back[1])
+    assert np.array_equal(back[1][order], np.sort(set_)) and np.array_equal(back[2][order], n[np.argsort(set_)])
+    assert len(back[4]) == linededup._widths(n).sum()
+
+
+def test_block_hashes_tell_words_apart():
+    import numpy as np
+
+    from pagelens.llm import text as X
+
+    words = [b"a", b"a\0", b"\0", b"abcdefgh", b"abcdefgh\0", b"abcdefghi", b"x" * 64, b"x" * 65, b"x" * 63 + b"\0", b"ABC", b"abc", "zwölf".encode(), b"q" * 1000, b"q" * 999 + b"r", b""]
+    data = np.frombuffer(b"".join(words), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    starts = ends - [len(w) for w in words]
+    plain, lower = X.block_hashes(data, starts, ends), X.block_hashes(data, starts, ends, lower=True)
+    assert len(set(plain.tolist())) == len(words) and len(set(lower.tolist())) == len(words) - 1 and lower[9] == lower[10]
+    again = np.frombuffer(b"--" + b" ".join(words), np.uint8)
+    at = 2 + np.concatenate([[0], np.cumsum([len(w) + 1 for w in words])[:-1]])
+    assert np.array_equal(X.block_hashes(again, at, at + (ends - starts)), plain)
