@@ -12,7 +12,7 @@ from ..functions import text
 from ..operators import asof, discovery, fetches, prefixes, quota
 from ..operators.buckets import BucketedTable
 from ..sinks import files
-from ..sources import dimensions, labels, lines
+from ..sources import dimensions, labels, lines, places
 from .queries import _BARE, query, table
 
 
@@ -268,3 +268,37 @@ def json_export_file(spark, sf_dir):
     path = f"{_place(spark, 'export')}.json"
     files.write_json(_exported(spark, sf_dir), path, _EXPORT)
     return lines.numbered(spark, path).select("row", "line")
+
+
+# --- S7: paged searches
+
+_RESULTS = 45
+_PLACE = "(q * 13 + p * 11 + k * (1 + q % 3)) % 60"
+
+
+@query(f"""WITH RECURSIVE r AS (SELECT page_id AS q, p, k, {_PLACE} AS id FROM pages, (SELECT unnest(range(0, 7)) AS p), (SELECT unnest(range(0, 23)) AS k) WHERE k < 5 + (page_id + p) % 18),
+g AS (SELECT q, p, list(id ORDER BY k)[1:20] AS ids, (q + p) % 5 <> 4 AS more, (q + 2 * p) % 11 = 10 AS failed FROM r GROUP BY ALL),
+f AS (SELECT page_id AS q, 0 AS p, CAST([] AS BIGINT[]) AS taken, TRUE AS more FROM pages UNION ALL SELECT f.q, f.p + 1, CASE WHEN g.failed THEN f.taken ELSE
+list_concat(f.taken, list_filter(g.ids[1 : least(20, {_RESULTS} - len(f.taken))], lambda x: (x + f.q) % 7 <> 0 AND (f.q % 2 = 0 OR x % 9 = 2 OR x % 9 = 4))) END, g.more AND NOT g.failed
+FROM f JOIN g ON g.q = f.q AND g.p = f.p WHERE f.more AND f.p < 5 AND len(f.taken) < {_RESULTS}),
+l AS (SELECT q, taken FROM f QUALIFY row_number() OVER (PARTITION BY q ORDER BY p DESC) = 1),
+u AS (SELECT q, id, min(n) AS n FROM (SELECT q, unnest(taken) AS id, unnest(range(0, len(taken))) AS n FROM l) GROUP BY ALL)
+SELECT q AS query, CAST(n AS INTEGER) AS nth, 'g' || id AS place_id, '10' || (1 + id % 9) || '0' AS plz FROM u WHERE q % 2 = 0 OR id % 9 IN (2, 4)""")
+def paged_place_search(spark, sf_dir):
+    """Seven stored pages for each of the queries, some failed, some the last, with places that come again or lack a name; every other query wants the codes 1030 and 1050 only."""
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("query"), F.explode(F.sequence(F.lit(0), F.lit(6))).alias("page"))
+    place = F.expr("transform(sequence(0, CAST(4 + (query + page) % 18 AS INT)), k -> (query * 13 + page * 11 + k * (1 + query % 3)) % 60)")
+
+    def raw(i: Column) -> Column:
+        code = F.struct(F.format_string("10%d0", 1 + i % 9).alias("longText"), F.lit("").alias("shortText"), F.array(F.lit("postal_code")).alias("types"))
+        return F.struct(
+            F.format_string("g%d", i).alias("id"), F.struct(F.when((i + F.col("query")) % 7 != 0, F.format_string("Ort %d", i)).alias("text")).alias("displayName"), F.lit("Wien").alias("formattedAddress"), F.array(code).alias("addressComponents"),
+            F.struct(F.lit(48.2).alias("latitude"), F.lit(16.3).alias("longitude")).alias("location"), F.array(F.lit("cafe")).alias("types"), F.lit("cafe").alias("primaryType"), F.lit(None).cast("string").alias("websiteUri"),
+            F.lit(None).cast("string").alias("nationalPhoneNumber"), F.lit(None).cast("string").alias("internationalPhoneNumber"), F.lit("OPERATIONAL").alias("businessStatus"),
+        )
+
+    failed = (F.col("query") + 2 * F.col("page")) % 11 == 10
+    stored = pages.select("query", "page", ((F.col("query") + F.col("page")) % 5 != 4).alias("more"), F.when(failed, F.lit("HTTP 500")).alias("error"), F.transform(place, raw).alias("places"))
+    codes = F.when(F.col("query") % 2 == 1, F.array(F.lit("1030"), F.lit("1050")))
+    return places.paged_search(stored, _RESULTS, codes).select("query", "nth", "place_id", "plz")
+
