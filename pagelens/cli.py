@@ -1,4 +1,4 @@
-"""Command line over stored tables: discover, audit, export, label, export-labels, sanitize-names. Ids X70, K9, S20-S24 of the survey.
+"""Command line over stored tables: discover, audit, export, lookup, label, export-labels, sanitize-names. Ids X70, K9, S20-S24 of the survey.
 
     python -m pagelens.cli audit --map map.json --fetches fetches.parquet --table audits --report summary.md
 """
@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 
 from .config import Settings, plz_mode
 from .operators import dedupe, filters, joins, rows
+from .operators.buckets import BucketedTable
 from .operators.upsert import VersionedTable, append_outcomes
 from .plans import audit, report
 from .schemas import AUDIT, OUTCOME, struct
@@ -37,6 +38,7 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument("--tier", choices=("A", "B1", "B2", "B3", "C"))
             c.add_argument("--force", action="store_true", help="audit fresh rows too")
             c.add_argument("--patterns", help="branch patterns (YAML)")
+            c.add_argument("--suffixes", help="public-suffix file")
             c.add_argument("--logs", default="logs")
             c.add_argument("--report", default="last_run_summary.md")
     c = sub.add_parser("export")
@@ -59,6 +61,11 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--output", required=True)
     c = sub.add_parser("sanitize-names")
     c.add_argument("--table", required=True)
+    c = sub.add_parser("lookup")
+    c.add_argument("--table", required=True)
+    c.add_argument("place_id", nargs="+")
+    for name in ("audit", "export", "export-labels", "sanitize-names", "lookup"):
+        sub.choices[name].add_argument("--buckets", type=int, help="the audit table has so many hashed buckets; without it, numbered whole versions")
     return p
 
 
@@ -87,25 +94,31 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("pagelens").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     settings = _settings(args.as_of)
-    table = VersionedTable(spark, args.table, struct(AUDIT)) if getattr(args, "table", None) else None
+    table = None
+    if getattr(args, "table", None):
+        table = BucketedTable(spark, args.table, struct(AUDIT), buckets=args.buckets) if args.buckets else VersionedTable(spark, args.table, struct(AUDIT))
     if args.command == "discover":
         for r in files.listing(joins.with_industry(_candidates(spark, args))).toLocalIterator():
             print(r.line)
     elif args.command == "audit":
         candidates = _candidates(spark, args)
         candidates = candidates if args.force else filters.stale(candidates, table.read(), settings)
-        inputs = audit.Inputs(spark.read.parquet(args.fetches), spark.read.parquet(args.psi) if args.psi else None)
+        inputs = audit.Inputs(spark.read.parquet(args.fetches), spark.read.parquet(args.psi) if args.psi else None, suffixes=dimensions.suffix_rules(spark, args.suffixes) if args.suffixes else None)
         text = open(args.patterns, encoding="utf-8").read() if args.patterns else None
         result = audit.run(candidates.drop("source"), inputs, settings, dimensions.branch_patterns(text), only_tier=args.tier)
         counts = [files.append_log(df, f"{args.logs}/{name}.csv") for df, name in ((result.filtered_log, "filtered_chain_branches"), (result.collapsed_log, "collapsed_branches"), (result.duplicate_log, "duplicate_urls"))]
         table.upsert(result.rows)
-        with open(args.report, "w", encoding="utf-8") as f:
-            f.write(report.summary(rows.export_rows(result.rows), settings.as_of, *counts))
+        report.write_summary(rows.export_rows(result.rows), args.report, settings.as_of, *counts)
     elif args.command == "export":
         wanted = args.plz or (_plz(spark, args.district) if args.district else None)
         exported = rows.export_rows(filters.checked(table.read(), settings.as_of.year))
         kept = filters.export_filter(filters.plz_filter(exported, wanted, args.plz_fallback), args.tier, None, args.min_score, args.max_score)
         {"csv": files.write_csv, "json": files.write_json}[args.format](filters.export_order(kept, args.limit), args.output)
+    elif args.command == "lookup":
+        keys = spark.createDataFrame([(k,) for k in args.place_id], "place_id string")
+        found = table.lookup(keys) if args.buckets else table.read().join(keys, "place_id", "left_semi")
+        for r in files.json_rows(rows.export_rows(found)).toLocalIterator():
+            print(r.value)
     elif args.command == "label":
         append_outcomes(labels.read_labels(spark, args.csv, int(settings.as_of.timestamp() * 1000)), args.outcomes)
     elif args.command == "export-labels":

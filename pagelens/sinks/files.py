@@ -69,16 +69,20 @@ class _Files:
         finally:
             source.close()
 
+    def _rows(self, lines: DataFrame, name: str, separator: str) -> list:
+        """Part files (path, bytes) of the rows in their order, written by the tasks, with `separator` behind each row."""
+        lines.write.option("lineSep", separator).text(f"{self.folder}/{name}")
+        parts = [s for s in self.fs.listStatus(self.Path(f"{self.folder}/{name}")) if s.getPath().getName().startswith("part-") and s.getLen()]
+        return [(s.getPath(), s.getLen()) for s in sorted(parts, key=lambda s: s.getPath().getName())]
+
     def write(self, lines: DataFrame, separator: str, head: str = "", tail: str = "", empty: str = "") -> None:
-        """Every task writes its rows; then the parts become one file in the rows' order, with `separator` behind each row. tail: takes the last separator's place; empty: the file without rows.
+        """The rows as one file. tail: takes the last separator's place; empty: the file without rows.
 
         Where the file system can, the parts are joined by their metadata alone; else their bytes are copied one behind the other, in small pieces."""
         try:
-            lines.write.option("lineSep", separator).text(self.folder)
-            parts = sorted((s for s in self.fs.listStatus(self.Path(self.folder)) if s.getPath().getName().startswith("part-") and s.getLen()), key=lambda s: s.getPath().getName())
-            if not parts and empty:
+            pieces = self._rows(lines, "rows", separator)
+            if not pieces and empty:
                 head, tail = empty, ""
-            pieces = [(s.getPath(), s.getLen()) for s in parts]
             if pieces and tail:
                 last, n = pieces.pop()
                 short = self.Path(f"{self.folder}/short")
@@ -91,6 +95,16 @@ class _Files:
         finally:
             self.fs.delete(self.Path(self.folder), True)
 
+    def write_all(self, pieces: list) -> None:
+        """Texts, and rows of one column (a line each), one behind the other."""
+        try:
+            found = []
+            for i, piece in enumerate(pieces):
+                found += [self._put(f"text{i}", piece.encode())] if isinstance(piece, str) else [at for at, _ in self._rows(piece, f"rows{i}", "\n")]
+            self._join(found)
+        finally:
+            self.fs.delete(self.Path(self.folder), True)
+
     def _join(self, pieces: list) -> None:
         whole = self.Path(f"{self.folder}/whole")
         self.fs.create(whole, True).close()
@@ -109,6 +123,11 @@ class _Files:
             raise OSError(f"can't write {self.target}")
 
 
+def write_pieces(spark, path: str, pieces: list) -> None:
+    """K8: a text file of texts and frames of lines in their order."""
+    _Files(spark, path).write_all(pieces)
+
+
 def write_csv(rows: DataFrame, path: str, ddl: str = EXPORT) -> None:
     """K4: a file with byte order mark, header, semicolons and CRLF."""
     header = ";".join(f.name for f in struct(ddl))

@@ -36,3 +36,24 @@ def test_audit_export_label(spark, tmp_path, capsys):
     assert "1 names changed" in capsys.readouterr().out and table.read().where("impressum_company_name = 'Huber'").count() == 1
     ages = filters.unexpired(table.read(), "audited_at", F.lit("2026-04-22 12:00:00").cast("timestamp"), 3)
     assert ages.count() == 2 and ages.first().age_days == 2
+
+
+def test_bucketed_table_suffixes_and_lookup(spark, tmp_path, capsys):
+    tags = lambda name, site: {"shop": "books", "name": name, "website": site}
+    with open(f"{tmp_path}/m.json", "w") as f:
+        sites = ["https://a.huber.co.at/", "https://huber.at/"]
+        json.dump({"elements": [{"type": "node", "id": i, "lat": 1, "lon": 1, "tags": tags(f"Laden {i}", s)} for i, s in enumerate(sites, 1)]}, f)
+    (tmp_path / "psl.dat").write_text("at\nco.at\n")
+    page = "<body>" + "text " * 400 + "</body>"
+    spark.createDataFrame([(s, 200, {}, page, s, None, True, None, True) for s in sites], struct(FETCH)).write.parquet(f"{tmp_path}/f")
+    run = lambda *a: cli.main(["--as-of", "2026-04-20T12:00:00", *a], spark)
+    at = ("--table", f"{tmp_path}/t", "--buckets", "4")
+    for _ in range(2):
+        run("audit", "--map", f"{tmp_path}/m.json", "--fetches", f"{tmp_path}/f", *at, "--suffixes", f"{tmp_path}/psl.dat", "--logs", f"{tmp_path}/logs", "--report", f"{tmp_path}/r.md", "--force")
+    assert (tmp_path / "r.md").read_text().count("## (") == 11
+    capsys.readouterr()
+    run("lookup", *at, "osm:node:2", "osm:node:9")
+    (line,) = capsys.readouterr().out.splitlines()
+    assert json.loads(line)["place_id"] == "osm:node:2" and json.loads(line)["url"] == "https://huber.at/"
+    run("export", *at, "--output", f"{tmp_path}/e.csv")
+    assert (tmp_path / "e.csv").read_text().count("osm:node:") == 2
