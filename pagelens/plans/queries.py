@@ -515,12 +515,12 @@ def audit_pipeline(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    from . import page_queries, site_queries, state_queries  # noqa: F401 (they register their own)
+    from . import detail_queries, page_queries, site_queries, state_queries  # noqa: F401 (they register their own)
 
     return {name: e.run for name, e in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import page_queries, site_queries, state_queries  # noqa: F401
+    from . import detail_queries, page_queries, site_queries, state_queries  # noqa: F401
 
     return {name: e.sql for name, e in REGISTRY.items() if e.sql}
