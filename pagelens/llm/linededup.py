@@ -388,19 +388,24 @@ def _verify(percent: int):
         _, first = np.unique(sets[order], return_index=True)
         order = order[np.sort(first)]
         packed = t.column("tokens").to_pylist()
-        posted: dict[int, list[int]] = {}
-        size, hit = np.zeros(len(order), np.int64), []
+        size = np.array([len(packed[row]) // 8 for row in order.tolist()], np.int64)
+        to = np.concatenate([[0], np.cumsum(size)])
+        _, token = np.unique(np.frombuffer(b"".join(packed[row] for row in order.tolist()), np.uint64), return_inverse=True)
+        by_token = np.argsort(token, kind="stable")  # a token's records stand in their order, so those before a place are earlier
+        holder = np.repeat(np.arange(len(order)), size)[by_token]
+        place = np.empty(len(token), np.int64)
+        place[by_token] = np.arange(len(token))
+        counts = np.bincount(token)
+        first = (np.cumsum(counts) - counts)[token]
+        hit = []
         for i, row in enumerate(order.tolist()):
-            own = np.frombuffer(packed[row], np.uint64)
-            size[i] = len(own)
             if not known[row]:
-                earlier = [posted[x] for x in own.tolist() if x in posted]
-                if earlier:
-                    common = np.bincount(np.concatenate([np.array(e) for e in earlier]), minlength=i)
-                    if (100 * common >= percent * (size[:i] + len(own) - common)).any():
-                        hit.append(sets[row])
-            for x in own.tolist():
-                posted.setdefault(x, []).append(i)
+                lo = first[to[i] : to[i + 1]]
+                n = place[to[i] : to[i + 1]] - lo
+                earlier = holder[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
+                common = np.bincount(earlier, minlength=i)
+                if (100 * common >= percent * (size[:i] + size[i] - common)).any():
+                    hit.append(sets[row])
         return pa.table({"set_id": pa.array(hit, pa.int64())}) if hit else None
 
     return work
