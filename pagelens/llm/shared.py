@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 
@@ -21,26 +22,35 @@ def folder(spark: SparkSession) -> str:
     return at
 
 
-_scopes: list[list[str]] = []
+#: Open scopes by thread, innermost last: the paths of their tables. A plain dict, as functions sent to executors carry it.
+_scopes: dict[int, list[list[str]]] = {}
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 @contextlib.contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Tables written inside are deleted at the end; what is to outlive it is written with outlive=True. Frames that read deleted tables are void."""
-    _scopes.append([])
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables written inside are deleted at the end, also where it fails; what is to outlive it is written with outlive=True and belongs to the scope around it, if there is one.
+    Frames that read deleted tables are void."""
+    stack = _scopes.setdefault(threading.get_ident(), [])
+    stack.append([])
     try:
-        yield
+        yield stack[-1]
     finally:
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        for path in _scopes.pop():
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(conf).delete(at, True)
+        for path in stack.pop():
+            deleted(spark, path)
+        if not stack:
+            del _scopes[threading.get_ident()]
 
 
 def written(df: DataFrame, name: str, compression: str = "zstd", outlive: bool = False) -> DataFrame:
     """The frame as a Parquet table in the shared folder, read back."""
     path = f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    scopes = _scopes[:-1] if outlive else _scopes
+    stack = _scopes.get(threading.get_ident(), [])
+    scopes = stack[:-1] if outlive else stack
     if scopes:
         scopes[-1].append(path)
     df.write.option("compression", compression).parquet(path)
