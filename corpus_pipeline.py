@@ -50,8 +50,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows, from `documents`. What a stage returns is written to the shared folder before the next one reads it."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows, from `documents`. What a stage returns is written to the shared folder before the next one reads it; a stage's own tables go when its result stands, and
+    its result goes when the next one's does. The last stage reads the one before it lazily, so that one stays."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
-        docs = shared.written(stage(spark, docs, sf_dir), name)
+        with shared.scratch(spark) as results:
+            with shared.scratch(spark):
+                docs = shared.written(stage(spark, docs, sf_dir), name, outlive=True)
+            result, results[:] = list(results), []  # what stands now outlives the scope
+        for path in before:
+            shared.deleted(spark, path)
+        before = result
     return STAGES[-1][1](spark, docs, sf_dir)
