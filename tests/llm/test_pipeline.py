@@ -1,3 +1,5 @@
+import os
+
 import public_tokenizers
 from cases import SCHEMA, documents, prose, space_words
 from test_decontam import ITEMS
@@ -9,7 +11,7 @@ from test_quality import expected as counts
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from pagelens.llm import quality
+from pagelens.llm import quality, shared
 
 
 def test_every_stage_against_plain_python(spark, tmp_path):
@@ -38,7 +40,11 @@ def test_every_stage_against_plain_python(spark, tmp_path):
             assert set(kept[name]) == {i for i, (_, c) in near_expected(plain, 5, 80).items() if i == c}
         if name == "decontamination":
             assert set(kept[name]) == {i for i, t in plain if not leaks(t, ITEMS)[1]}
+    folder = shared.folder(spark).removeprefix("file://")
+    there = set(os.listdir(folder))
     pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    left = {f.rpartition("-")[0] for f in os.listdir(folder) if f not in there}
+    assert left & {name for name, _ in corpus_pipeline.STAGES} == {"decontamination"}, left  # earlier results are deleted
     exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     found = {}
     for p in sorted(pieces, key=lambda p: p.start):
