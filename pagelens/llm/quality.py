@@ -19,6 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import text as X
@@ -180,10 +181,13 @@ def cascade(texts: X.Texts, rules: list[Rule], measures: Measures | None = None)
     return failed
 
 
-def plan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", sample_rows: int = 256, seed: int = 7) -> list[Rule]:
-    """The rules in the cascade's order, from a sample of about sample_rows rows from all partitions, twice as many at most. Only the order depends on it."""
+def plan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", sample_rows: int = 256, sample_bytes: int = 32 << 20, seed: int = 7) -> list[Rule]:
+    """The rules in the cascade's order, from a sample of about sample_rows rows from all partitions, twice as many at most. Only the order depends on it.
+
+    Texts beyond an even share of sample_bytes stay out of the sample, so that the driver holds no more than that."""
     share = min(1.0, sample_rows / max(docs.count(), 1))
-    sample = [r[0] for r in docs.select(text).sample(fraction=share, seed=seed).limit(2 * sample_rows).collect()]
+    short = F.coalesce(F.octet_length(text), F.lit(0)) <= sample_bytes // (2 * sample_rows)
+    sample = [r[0] for r in docs.select(text).sample(fraction=share, seed=seed).where(short).limit(2 * sample_rows).collect()]
     by = {r.name: r for r in rules}
     return [by[x["name"]] for x in estimate(sample, rules)]
 
