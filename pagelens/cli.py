@@ -11,6 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import SparkSession
 
+from . import tables
 from .config import Settings, plz_mode
 from .operators import dedupe, filters, joins, rows
 from .operators.buckets import BucketedTable
@@ -105,10 +106,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         candidates = candidates if args.force else filters.stale(candidates, table.read(), settings)
         inputs = audit.Inputs(spark.read.parquet(args.fetches), spark.read.parquet(args.psi) if args.psi else None, suffixes=dimensions.suffix_rules(spark, args.suffixes) if args.suffixes else None)
         text = open(args.patterns, encoding="utf-8").read() if args.patterns else None
-        result = audit.run(candidates.drop("source"), inputs, settings, dimensions.branch_patterns(text), only_tier=args.tier)
-        counts = [files.append_log(df, f"{args.logs}/{name}.csv") for df, name in ((result.filtered_log, "filtered_chain_branches"), (result.collapsed_log, "collapsed_branches"), (result.duplicate_log, "duplicate_urls"))]
-        table.upsert(result.rows)
-        report.write_summary(rows.export_rows(result.rows), args.report, settings.as_of, *counts)
+        with tables.scratch(spark):  # all that reads the audit's own tables happens inside
+            result = audit.run(candidates.drop("source"), inputs, settings, dimensions.branch_patterns(text), only_tier=args.tier)
+            logs = ((result.filtered_log, "filtered_chain_branches"), (result.collapsed_log, "collapsed_branches"), (result.duplicate_log, "duplicate_urls"))
+            counts = [files.append_log(df, f"{args.logs}/{name}.csv") for df, name in logs]
+            table.upsert(result.rows)
+            report.write_summary(rows.export_rows(result.rows), args.report, settings.as_of, *counts)
     elif args.command == "export":
         wanted = args.plz or (_plz(spark, args.district) if args.district else None)
         exported = rows.export_rows(filters.checked(table.read(), settings.as_of.year))

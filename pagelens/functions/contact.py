@@ -26,6 +26,7 @@ GENERIC_LOCALS = (
     "info", "office", "kontakt", "contact", "hello", "hallo", "mail", "welcome", "service", "support", "sales", "admin", "team", "buero", "office1",
     "kanzlei", "praxis", "ordination", "rezeption", "empfang", "anfrage",
 )
+#: Patterns of addresses, numbers and places.
 EMAIL = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
 PHONE = rf"(?:\+{js.S}*43|0043|{js.LEFT}0)[{js.SPACE}\-/().0-9]{{6,24}}[0-9]"
 _W = r"A-Za-z0-9_"

@@ -113,6 +113,7 @@ def company_name(c: Column) -> Column:
     return F.when(F.length(short) >= 3, short)
 
 
+#: A name before a legal form, and behind a label.
 _NAME = r"([A-ZÄÖÜ][A-Za-z0-9_ÄÖÜäöüß&.,'\- ]{1,60}?" + js.S + "(?:" + "|".join(LEGAL_FORMS) + "))"
 _LABELLED = r"(?i)(?:Firmenname|Firmenwortlaut|Unternehmen|Inhaber|Medieninhaber)" + js.S + r"*:" + js.S + r"*([^\n\r<]{2,100})"
 

@@ -86,10 +86,26 @@ def latest(df: DataFrame, key: str, at: str, tie: str) -> DataFrame:
     return df.groupBy(key).agg(F.max_by(F.struct(*columns), F.struct(F.col(at).alias("at"), F.col(tie).alias("tie"))).alias("_row")).select("_row.*")
 
 
+#: Milliseconds of a span of a lead's outcomes that are ranked together.
+SPAN_MS = 86_400_000
+
+
 def history(outcomes: DataFrame) -> DataFrame:
-    """Outcomes with the number of each lead's newer ones and the status before; newest first."""
-    w = Window.partitionBy("lead_id").orderBy(F.desc("created_at"), F.desc("id"))
-    return outcomes.withColumn("nth_newest", F.row_number().over(w)).withColumn("previous_status", F.lead("status").over(w)).orderBy(F.desc("created_at"), F.desc("id"))
+    """Outcomes with the number of each lead's newer ones and the status before; newest first.
+
+    A lead's outcomes are ranked by days: what stands in newer days is added, and the status before a day's first outcome comes from the day before, both from one row for each
+    lead and day. So a lead with very many outcomes is spread over its days."""
+    day = F.floor(F.col("created_at") / SPAN_MS)
+    order = [F.desc("created_at"), F.desc("id")]
+    inside = Window.partitionBy("lead_id", "_day").orderBy(*order)
+    ranked = outcomes.withColumn("_day", day).withColumn("_nth", F.row_number().over(inside)).withColumn("_before", F.lead("status").over(inside))
+    days = outcomes.groupBy(F.col("lead_id").alias("_lead"), day.alias("_of")).agg(F.count("*").alias("_n"), F.max_by(F.struct("status"), F.struct("created_at", "id")).alias("_newest"))
+    newer = Window.partitionBy("_lead").orderBy(F.desc("_of"))
+    spans = days.withColumn("_newer", F.sum("_n").over(newer) - F.col("_n")).withColumn("_older", F.lead("_newest").over(newer)["status"]).drop("_newest")
+    joined = ranked.join(spans, F.col("lead_id").eqNullSafe(F.col("_lead")) & F.col("_day").eqNullSafe(F.col("_of")))
+    last = F.col("_nth") == F.col("_n")
+    out = joined.withColumn("nth_newest", (F.col("_nth") + F.col("_newer")).cast("int")).withColumn("previous_status", F.when(last, F.col("_older")).otherwise(F.col("_before")))
+    return out.select(*outcomes.columns, "nth_newest", "previous_status").orderBy(*order)
 
 
 def contributions(discovered: DataFrame, order: list[str]) -> DataFrame:

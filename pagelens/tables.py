@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,8 +22,29 @@ def shared_folder(spark: SparkSession) -> str:
     return at
 
 
+#: Open scopes by thread, innermost last: the paths of their tables.
+_scopes: dict[int, list[list[str]]] = {}
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted at the end, also where it fails. Frames that read them are void then."""
+    stack = _scopes.setdefault(threading.get_ident(), [])
+    stack.append([])
+    try:
+        yield
+    finally:
+        for path in stack.pop():
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        if not stack:
+            del _scopes[threading.get_ident()]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame as a Parquet table in the shared folder, read back."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    for scope in _scopes.get(threading.get_ident(), [])[-1:]:
+        scope.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -301,3 +301,17 @@ def test_deep_pages_are_parsed_in_linear_time():
     label = "<dl><dt>Website</dt><dd><p><a href='http://a.at'>x</a></dd><dt>Mail</dt><dd><a href='http://b.at'>y</a></dd></dl><header><section><a target=_blank href=c>z</a></section></header>"
     links = html.parse(label)["directory_links"]
     assert links["falstaff"] == ["http://a.at"] and links["instagram"] == ["c"]
+
+
+def test_history_of_a_lead_over_many_days(spark):
+    from pagelens.operators import dedupe
+
+    r = random.Random(4)
+    rows = [(i, r.choice(["hot", "hot", "a", "b", None]), r.choice(["X", "Y", None]), r.randrange(0, 40 * 86_400_000, 7_200_000)) for i in range(1500)]
+    got = dedupe.history(spark.createDataFrame(rows, "id long, lead_id string, status string, created_at long")).collect()
+    want = {}
+    for lead in {x[1] for x in rows}:
+        own = sorted((x for x in rows if x[1] == lead), key=lambda x: (-x[3], -x[0]))
+        want |= {x[0]: (n, own[n][2] if n < len(own) else None) for n, x in enumerate(own, 1)}
+    assert {x.id: (x.nth_newest, x.previous_status) for x in got} == want
+    assert [x.created_at for x in got] == sorted((x[3] for x in rows), reverse=True)
