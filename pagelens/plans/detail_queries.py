@@ -15,13 +15,22 @@ from ..sinks import files
 from ..sources import lines
 from .queries import _BARE, SETTINGS, query, table
 
-_N = F.col("page_id")
-_HOST = F.regexp_extract("url", "^[a-z]+://(?:www\\.)?([^/?#]*)", 1)
-_NOW = F.lit(SETTINGS.as_of).cast("timestamp")
 
 
-def _nth(values, of: Column = _N) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), (of % len(values)).cast("int"))
+def _n() -> Column:
+    return F.col("page_id")
+
+
+def _host() -> Column:
+    return F.regexp_extract("url", "^[a-z]+://(?:www\\.)?([^/?#]*)", 1)
+
+
+def _now() -> Column:
+    return F.lit(SETTINGS.as_of).cast("timestamp")
+
+
+def _nth(values, of: Column | None = None) -> Column:
+    return F.get(F.array(*[F.lit(v) for v in values]), ((_n() if of is None else of) % len(values)).cast("int"))
 
 
 def _sql(values, of: str = "page_id") -> str:
@@ -41,8 +50,8 @@ _LABELS = ("müller", "STRÖCK", "plain", "café", "日本")
 @query(f"SELECT page_id, {_sql([u.lower().encode('idna').decode() for u in _LABELS])} || '.' || {_BARE} AS host, CASE WHEN page_id % 2 = 0 THEN 'https://' || {_BARE} || '/a b?x=' || page_id END AS target FROM pages")
 def punycode_and_shims(spark, sf_dir):
     """International hosts, and targets of redirect links."""
-    shim = F.when(_N % 2 == 0, F.concat(F.lit("https://l.instagram.com/?e=1&u="), F.url_encode(F.concat(F.lit("https://"), _HOST, F.lit("/a b?x="), _N.cast("string"))), F.lit("&s=2"))).otherwise(F.concat(F.lit("https://"), _HOST, F.lit("/?u=https%3A%2F%2Fa.at")))
-    made = F.concat(F.lit("HTTPS://"), _nth(_LABELS), F.lit("."), _HOST, F.lit(":443/p"))
+    shim = F.when(_n() % 2 == 0, F.concat(F.lit("https://l.instagram.com/?e=1&u="), F.url_encode(F.concat(F.lit("https://"), _host(), F.lit("/a b?x="), _n().cast("string"))), F.lit("&s=2"))).otherwise(F.concat(F.lit("https://"), _host(), F.lit("/?u=https%3A%2F%2Fa.at")))
+    made = F.concat(F.lit("HTTPS://"), _nth(_LABELS), F.lit("."), _host(), F.lit(":443/p"))
     return _pages(spark, sf_dir).select("page_id", url.hostname(made).alias("host"), url.unshimmed(shim).alias("target"))
 
 
@@ -50,13 +59,13 @@ def punycode_and_shims(spark, sf_dir):
 'Gasse ' || (1 + page_id % 90) || ', 1' || lpad(CAST(page_id % 30 AS VARCHAR), 2, '0') || '0 Wien' AS address, page_id % 30 BETWEEN 1 AND 23 AS viennese FROM pages""")
 def imprint_fields(spark, sf_dir):
     """Company names behind labels and before legal forms, addresses, and whether their postal code is a Viennese one."""
-    number = _N.cast("string")
+    number = _n().cast("string")
     name = (
-        F.when(_N % 5 == 0, F.concat(F.lit("firmenname :  Haus "), number, F.lit(" GmbH\nweiter"))).when(_N % 5 == 1, F.concat(F.lit("Inhaber: Betrieb "), number, F.lit(" Telefon: 1")))
-        .when(_N % 5 == 2, F.concat(F.lit("wir, Laden "), number, F.lit(" e.U. in Wien"))).when(_N % 5 == 3, F.concat(F.lit("Unternehmen: Wirt "), number, F.lit(" | "))).otherwise(F.lit("nur kleingeschrieben"))
+        F.when(_n() % 5 == 0, F.concat(F.lit("firmenname :  Haus "), number, F.lit(" GmbH\nweiter"))).when(_n() % 5 == 1, F.concat(F.lit("Inhaber: Betrieb "), number, F.lit(" Telefon: 1")))
+        .when(_n() % 5 == 2, F.concat(F.lit("wir, Laden "), number, F.lit(" e.U. in Wien"))).when(_n() % 5 == 3, F.concat(F.lit("Unternehmen: Wirt "), number, F.lit(" | "))).otherwise(F.lit("nur kleingeschrieben"))
     )
-    code = F.concat(F.lit("1"), F.lpad((_N % 30).cast("string"), 2, "0"), F.lit("0"))
-    place = F.concat(F.lit("| Gasse  "), (1 + _N % 90).cast("string"), F.lit(",\n "), code, F.lit(" Wien |"))
+    code = F.concat(F.lit("1"), F.lpad((_n() % 30).cast("string"), 2, "0"), F.lit("0"))
+    place = F.concat(F.lit("| Gasse  "), (1 + _n() % 90).cast("string"), F.lit(",\n "), code, F.lit(" Wien |"))
     found = contact.strict_address(place)
     return _pages(spark, sf_dir).select("page_id", text.company_name_in(name).alias("company"), contact.address(place).alias("address"), (found["plz"].isNotNull() & contact.is_vienna_plz(code)).alias("viennese"))
 
@@ -65,9 +74,9 @@ def imprint_fields(spark, sf_dir):
 page_id % 4 <> 3 AND page_id % 5 <> 4 AND length({_BARE}) + 12 BETWEEN 20 AND 140 AS valid FROM pages""")
 def cells_and_opportunities(spark, sf_dir):
     """Cells of tables, cut texts, and texts that are offered as opportunities."""
-    items = F.when(_N % 4 == 3, F.array(*[F.concat(F.lit("Verbessern: "), _HOST)] * 4)).otherwise(F.array(F.concat(F.lit("Verbessern: "), _HOST)))
-    items = F.when(_N % 5 == 4, F.array(F.concat(F.lit("Verbessere Deine Seite "), _HOST))).otherwise(items)
-    return _pages(spark, sf_dir).select("page_id", text.table_cell(F.concat(_HOST, F.lit("/x|"), _N.cast("string"))).alias("cell"), text.truncated(_HOST, 18).alias("short"), text.opportunities_valid(items).alias("valid"))
+    items = F.when(_n() % 4 == 3, F.array(*[F.concat(F.lit("Verbessern: "), _host())] * 4)).otherwise(F.array(F.concat(F.lit("Verbessern: "), _host())))
+    items = F.when(_n() % 5 == 4, F.array(F.concat(F.lit("Verbessere Deine Seite "), _host()))).otherwise(items)
+    return _pages(spark, sf_dir).select("page_id", text.table_cell(F.concat(_host(), F.lit("/x|"), _n().cast("string"))).alias("cell"), text.truncated(_host(), 18).alias("short"), text.opportunities_valid(items).alias("valid"))
 
 
 _LOCALS = ("office", "anna", "info2", "kontakt.wien", "buero", "welcome", "sales_at", "Team")
@@ -78,8 +87,8 @@ SELECT page_id, regexp_matches(lower(a), '^(office|info|kontakt|buero|sales|team
 CASE WHEN page_id % 3 = 0 AND a NOT IN ('anna', 'buero', 'welcome') THEN a || '@' || h WHEN b NOT IN ('anna', 'buero', 'welcome') THEN b || '@' || h END AS email FROM l""")
 def business_emails(spark, sf_dir):
     """Business mailboxes, and the first of a page: of its links, else of its text."""
-    a, b = (F.concat(_nth(_LOCALS, of), F.lit("@"), _HOST) for of in (_N, F.floor(_N / 8)))
-    links = F.when(_N % 3 == 0, F.array(F.lit("/x"), F.concat(F.lit("mailto: "), a, F.lit("?subject=y")))).otherwise(F.array(F.lit("tel:1")))
+    a, b = (F.concat(_nth(_LOCALS, of), F.lit("@"), _host()) for of in (_n(), F.floor(_n() / 8)))
+    links = F.when(_n() % 3 == 0, F.array(F.lit("/x"), F.concat(F.lit("mailto: "), a, F.lit("?subject=y")))).otherwise(F.array(F.lit("tel:1")))
     return _pages(spark, sf_dir).select("page_id", contact.is_generic_business(a).alias("business"), contact.generic_email(links, F.concat(F.lit("Mail: "), b, F.lit(" ."))).alias("email"))
 
 
@@ -91,8 +100,8 @@ _CLASSES = ("TIMEOUT", "TIMEOUT", "DNS_FAIL", "CONNECTION_REFUSED", "CERT_EXPIRE
 @query(f"SELECT page_id, {_sql(_CLASSES)} AS error, {_sql(('AUTH_ERROR', 'QUOTA_EXCEEDED', 'CLIENT_ERROR', 'CLIENT_ERROR'))} AS forbidden FROM pages")
 def error_classes(spark, sf_dir):
     """X57."""
-    message = F.concat(_HOST, _nth((": the API key is bad", ": Quota used up", ": no", "")))
-    return _pages(spark, sf_dir).select("page_id", detect.fetch_error(_nth(_NAMES), _nth(_CODES)).alias("error"), detect.forbidden_error(F.when(_N % 4 != 3, message)).alias("forbidden"))
+    message = F.concat(_host(), _nth((": the API key is bad", ": Quota used up", ": no", "")))
+    return _pages(spark, sf_dir).select("page_id", detect.fetch_error(_nth(_NAMES), _nth(_CODES)).alias("error"), detect.forbidden_error(F.when(_n() % 4 != 3, message)).alias("forbidden"))
 
 
 # --- contact pages
@@ -109,11 +118,11 @@ CASE WHEN there THEN 'P' ELSE '' END || 'E' || CASE WHEN there AND viennese THEN
 def contact_pages(spark, sf_dir):
     """A home page with a role's address, and a contact page, linked from four in five, that robots rules keep closed at one in seven. The first page's address counts, in the list personal ones come first."""
     made = _pages(spark, sf_dir)
-    n, site = _N.cast("string"), F.expr(_CONTACT_SITE)
-    home = F.concat(F.when(_N % 5 != 4, F.lit('<a href="/wir/kontakt">So finden Sie uns</a>')).otherwise(F.lit("")), F.lit("<p>Mail: OFFICE (at) k"), n, F.lit(".at</p>"))
-    digits = F.lpad((_N % 1_000_000).cast("string"), 7, "1")
+    n, site = _n().cast("string"), F.expr(_CONTACT_SITE)
+    home = F.concat(F.when(_n() % 5 != 4, F.lit('<a href="/wir/kontakt">So finden Sie uns</a>')).otherwise(F.lit("")), F.lit("<p>Mail: OFFICE (at) k"), n, F.lit(".at</p>"))
+    digits = F.lpad((_n() % 1_000_000).cast("string"), 7, "1")
     page = F.concat(
-        F.lit("<body>| Kaigasse 3, 1"), F.lpad((1 + _N % 30).cast("string"), 2, "0"), F.lit("0 Wien |\n"), F.when(_N % 2 == 0, F.concat(F.lit("UID: ATU2"), digits)).otherwise(F.lit("UID folgt")),
+        F.lit("<body>| Kaigasse 3, 1"), F.lpad((1 + _n() % 30).cast("string"), 2, "0"), F.lit("0 Wien |\n"), F.when(_n() % 2 == 0, F.concat(F.lit("UID: ATU2"), digits)).otherwise(F.lit("UID folgt")),
         F.lit('\n<a href="tel:+43 1 '), digits, F.lit('">Anruf</a> office@k'), n, F.lit('.at <a href="mailto:Eva'), n, F.lit("@k"), n, F.lit('.at?x=1">Eva</a></body>'),
     )
     none = F.lit(None).cast("string")
@@ -133,14 +142,14 @@ def contact_pages(spark, sf_dir):
 UNION ALL SELECT page_id, NULL, NULL FROM pages WHERE page_id % 5 = 0""")
 def speed_scores(spark, sf_dir):
     """Shares as rounded percents; pages without a measurement have none."""
-    made = _pages(spark, sf_dir).withColumn("at", F.concat(F.lit("u"), _N.cast("string")))
+    made = _pages(spark, sf_dir).withColumn("at", F.concat(F.lit("u"), _n().cast("string")))
     none = F.lit(None).cast("string")
-    psi = made.where("page_id % 5 <> 0").select(F.col("at").alias("url"), (_N % 101 / 100).alias("performance"), (_N % 7 / 8).alias("seo"), F.lit(0.5).alias("accessibility"), F.lit(0.5).alias("best_practices"), none.alias("fetched_at"), none.alias("error"))
+    psi = made.where("page_id % 5 <> 0").select(F.col("at").alias("url"), (_n() % 101 / 100).alias("performance"), (_n() % 7 / 8).alias("seo"), F.lit(0.5).alias("accessibility"), F.lit(0.5).alias("best_practices"), none.alias("fetched_at"), none.alias("error"))
     return joins.with_psi(made.select("page_id", "at"), psi, "at").select("page_id", "psi.performance", "psi.seo")
 
 
 def _statuses(spark, sf_dir: str) -> DataFrame:
-    return _pages(spark, sf_dir).select("page_id", _nth(("A", "B1", "C", "A", "B3")).alias("tier"), _nth(("OPERATIONAL", "CLOSED_PERMANENTLY", None, "CLOSED_TEMPORARILY")).alias("business_status"), F.timestamp_seconds(F.lit(1_776_600_000) - _N * 7919 % 2_000_000).alias("created_at"))
+    return _pages(spark, sf_dir).select("page_id", _nth(("A", "B1", "C", "A", "B3")).alias("tier"), _nth(("OPERATIONAL", "CLOSED_PERMANENTLY", None, "CLOSED_TEMPORARILY")).alias("business_status"), F.timestamp_seconds(F.lit(1_776_600_000) - _n() * 7919 % 2_000_000).alias("created_at"))
 
 
 @query(f"""SELECT page_id, CAST(floor(seconds / 86400) AS BIGINT) AS days FROM (SELECT page_id, epoch(TIMESTAMP '{SETTINGS.as_of}') - 1776600000 + page_id * 7919 % 2000000 AS seconds FROM pages
@@ -148,7 +157,7 @@ WHERE page_id % 5 IN (0, 3) AND page_id % 4 <> 1) WHERE seconds < 14 * 86400""")
 def open_fresh_places(spark, sf_dir):
     """Rows of a tier, without places closed for good, younger than 14 days."""
     kept = filters.open_places(filters.of_tier(_statuses(spark, sf_dir), "A"))
-    return filters.unexpired(kept, "created_at", _NOW, 14).select("page_id", F.floor("age_days").alias("days"))
+    return filters.unexpired(kept, "created_at", _now(), 14).select("page_id", F.floor("age_days").alias("days"))
 
 
 _MARKED = ("TIMEOUT", "UNKNOWN", "DNS_FAIL")
@@ -158,15 +167,15 @@ _MARKED = ("TIMEOUT", "UNKNOWN", "DNS_FAIL")
 TIMESTAMP '{SETTINGS.as_of}' + INTERVAL 30 DAY AS static_signals_expires_at FROM pages WHERE page_id % 3 <> 1""")
 def failed_audits(spark, sf_dir):
     """K2: marker rows."""
-    made = _pages(spark, sf_dir).where("page_id % 3 <> 1").select(F.concat(F.lit("p"), _N.cast("string")).alias("place_id"), _nth(_MARKED).alias("error"))
+    made = _pages(spark, sf_dir).where("page_id % 3 <> 1").select(F.concat(F.lit("p"), _n().cast("string")).alias("place_id"), _nth(_MARKED).alias("error"))
     return rows.error_rows(made, SETTINGS).select("place_id", "tier", "fetch_error", "score", "intent_tier", "impressum_present", "branch_count", F.col("static_signals_expires_at").cast("timestamp_ntz").alias("static_signals_expires_at"))
 
 
 @query(f"""SELECT 'p' || page_id AS place_id, CASE page_id % 4 WHEN 0 THEN 'Haus ' || page_id WHEN 1 THEN NULL ELSE rtrim(left('Name ' || page_id || repeat(' x', 60), 80)) END AS name FROM pages WHERE page_id % 4 <> 3""")
 def renamed_rows(spark, sf_dir):
     """Stored names that today's rules write differently: labels inside, too short ones, too long ones."""
-    number = _N.cast("string")
-    stored = F.when(_N % 4 == 0, F.concat(F.lit("Haus "), number, F.lit(" Telefon: 1"))).when(_N % 4 == 1, F.lit("x:")).when(_N % 4 == 2, F.concat(F.lit("Name "), number, F.repeat(F.lit(" x"), F.lit(60)))).otherwise(F.concat(F.lit("Laden "), number))
+    number = _n().cast("string")
+    stored = F.when(_n() % 4 == 0, F.concat(F.lit("Haus "), number, F.lit(" Telefon: 1"))).when(_n() % 4 == 1, F.lit("x:")).when(_n() % 4 == 2, F.concat(F.lit("Name "), number, F.repeat(F.lit(" x"), F.lit(60)))).otherwise(F.concat(F.lit("Laden "), number))
     made = _pages(spark, sf_dir).select(F.concat(F.lit("p"), number).alias("place_id"), stored.alias("impressum_company_name"))
     return rows.renamed(conform(made, AUDIT)).select("place_id", F.col("impressum_company_name").alias("name"))
 
@@ -211,7 +220,7 @@ def label_export_file(spark, sf_dir):
 @query(f"""SELECT page_id, 'p' || page_id || chr(9) || {_BARE} || chr(9) || CASE WHEN page_id % 2 = 0 THEN 'gastronomy' ELSE 'other' END || chr(9) || CASE WHEN page_id % 3 = 0 THEN '1030' ELSE '' END || chr(9) || url AS line FROM pages""")
 def discover_listing(spark, sf_dir):
     """K9."""
-    made = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("p"), _N.cast("string")).alias("place_id"), _HOST.alias("name"), F.when(_N % 3 == 0, F.lit("1030")).alias("plz"), F.col("url").alias("website"), F.array(F.lit("x")).alias("types"), F.when(_N % 2 == 0, F.lit("cafe")).alias("primary_type"))
+    made = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("p"), _n().cast("string")).alias("place_id"), _host().alias("name"), F.when(_n() % 3 == 0, F.lit("1030")).alias("plz"), F.col("url").alias("website"), F.array(F.lit("x")).alias("types"), F.when(_n() % 2 == 0, F.lit("cafe")).alias("primary_type"))
     placed = joins.with_industry(made)
     return files.listing(placed).select(F.regexp_extract("line", "^p([0-9]+)", 1).cast("long").alias("page_id"), "line")
 
@@ -219,5 +228,5 @@ def discover_listing(spark, sf_dir):
 @query(f"""WITH s AS (SELECT {_BARE} AS host, arg_min((['osm', 'places', 'dns'])[CAST(page_id % 3 AS INTEGER) + 1], page_id) AS source FROM pages GROUP BY 1) SELECT source, count(*) AS added FROM s GROUP BY 1""")
 def source_contributions(spark, sf_dir):
     """How many hosts each source found first."""
-    made = table(spark, sf_dir, "pages").select(_HOST.alias("place_id"), _nth(("osm", "places", "dns")).alias("source"), "page_id")
+    made = table(spark, sf_dir, "pages").select(_host().alias("place_id"), _nth(("osm", "places", "dns")).alias("source"), "page_id")
     return dedupe.contributions(made, ["page_id"])

@@ -12,7 +12,9 @@ from . import audit as audit_plan
 from .queries import _BARE as _BARE_HOST
 from .queries import SETTINGS, query, table
 
-_N = F.col("page_id")
+
+def _n() -> Column:
+    return F.col("page_id")
 
 
 def _part(test: Column, html: str | Column) -> Column:
@@ -51,31 +53,31 @@ def _made_sites(spark, sf_dir: str) -> tuple[DataFrame, audit_plan.Inputs, DataF
     base = table(spark, sf_dir, "pages").select("page_id", F.expr(_KIND).alias("kind"), F.expr(_URL).alias("url"))
     site = F.when(F.col("kind") != "none", F.col("url"))
     candidates = base.select(
-        F.concat(F.lit("p"), _N.cast("string")).alias("place_id"), F.lit("Ort").alias("name"), none.alias("address"), none.alias("plz"), none.alias("district"), F.array(F.lit("shop=books")).alias("types"), none.alias("primary_type"), site.alias("website"),
+        F.concat(F.lit("p"), _n().cast("string")).alias("place_id"), F.lit("Ort").alias("name"), none.alias("address"), none.alias("plz"), none.alias("district"), F.array(F.lit("shop=books")).alias("types"), none.alias("primary_type"), site.alias("website"),
         none.alias("phone"), F.lit(0.0).alias("lat"), F.lit(0.0).alias("lng"),
     )
     body = F.concat(
-        F.lit("<html><head><title>Seite</title>"), _part(_N % 2 == 0, '<meta name="viewport" content="width=device-width">'), _part(_N % 5 == 1, '<meta name="x" content="by Wix.com"><img src="https://static.wixstatic.com/a.png">'),
-        _part(_N % 5 == 2, '<link href="/wp-content/a.css"><script src="/wp-includes/b.js"></script>'), _part(_N % 5 == 3, '<meta name="generator" content="Joomla! 4">'), _part(_N % 6 < 3, '<script src="/matomo.js"></script><script>var _paq = [];</script>'),
-        _part(_N % 4 == 0, '<script src="https://static.hotjar.com/c/hotjar-1.js">_hjSettings</script>'), _part(_N % 6 == 0, '<script type="application/ld+json">{"@type": "Restaurant"}</script>'), F.lit("</head><body><p>"), F.repeat(F.lit("Willkommen im Haus. "), F.lit(60)), F.lit("</p>"),
-        _part(_N % 7 < 4, F.concat(F.lit('<a href="https://www.facebook.com/b'), _N.cast("string"), F.lit('">f</a>'))), _part(_N % 3 == 1, '<a href="/impressum">Impressum</a>'), F.lit("</body></html>"),
+        F.lit("<html><head><title>Seite</title>"), _part(_n() % 2 == 0, '<meta name="viewport" content="width=device-width">'), _part(_n() % 5 == 1, '<meta name="x" content="by Wix.com"><img src="https://static.wixstatic.com/a.png">'),
+        _part(_n() % 5 == 2, '<link href="/wp-content/a.css"><script src="/wp-includes/b.js"></script>'), _part(_n() % 5 == 3, '<meta name="generator" content="Joomla! 4">'), _part(_n() % 6 < 3, '<script src="/matomo.js"></script><script>var _paq = [];</script>'),
+        _part(_n() % 4 == 0, '<script src="https://static.hotjar.com/c/hotjar-1.js">_hjSettings</script>'), _part(_n() % 6 == 0, '<script type="application/ld+json">{"@type": "Restaurant"}</script>'), F.lit("</head><body><p>"), F.repeat(F.lit("Willkommen im Haus. "), F.lit(60)), F.lit("</p>"),
+        _part(_n() % 7 < 4, F.concat(F.lit('<a href="https://www.facebook.com/b'), _n().cast("string"), F.lit('">f</a>'))), _part(_n() % 3 == 1, '<a href="/impressum">Impressum</a>'), F.lit("</body></html>"),
     )
     parked = F.lit("<html><title>This domain is for sale</title><body>Sedo</body></html>")
-    error = F.when(F.col("kind") == "error", F.get(F.array(*[F.lit(e) for e in _ERRORS]), (_N % 6).cast("int")))
-    headers = F.when(_N % 5 == 4, F.create_map(F.lit("X-Powered-By"), F.lit("Next.js 14"))).otherwise(rows.no_links())
+    error = F.when(F.col("kind") == "error", F.get(F.array(*[F.lit(e) for e in _ERRORS]), (_n() % 6).cast("int")))
+    headers = F.when(_n() % 5 == 4, F.create_map(F.lit("X-Powered-By"), F.lit("Next.js 14"))).otherwise(rows.no_links())
     fetch = lambda address, page, failure: [
-        address.alias("url"), F.when(failure.isNull(), F.lit(200)).otherwise(F.lit(0)).alias("status"), headers.alias("headers"), page.alias("body"), address.alias("final_url"), failure.alias("error"), (_N % 10 != 0).alias("ssl_valid"),
-        F.lit(None).cast("timestamp").alias("ssl_expires_at"), (_N % 8 != 0).alias("http_to_https"),
+        address.alias("url"), F.when(failure.isNull(), F.lit(200)).otherwise(F.lit(0)).alias("status"), headers.alias("headers"), page.alias("body"), address.alias("final_url"), failure.alias("error"), (_n() % 10 != 0).alias("ssl_valid"),
+        F.lit(None).cast("timestamp").alias("ssl_expires_at"), (_n() % 8 != 0).alias("http_to_https"),
     ]
-    number = F.lpad(_N.cast("string"), 7, "0")
+    number = F.lpad(_n().cast("string"), 7, "0")
     imprint = F.concat(
-        F.lit("<body>Impressum\nFirmenname: Huber "), number, F.lit(" GmbH\nUID: "), F.when(_N % 9 != 1, F.concat(F.lit("ATU1"), number)).otherwise(F.lit("beantragt")), F.lit("\n| Hauptgasse 5, 1030 Wien |\nTel: +43 1 "), number,
-        F.lit('\n<a href="mailto:'), F.when(_N % 2 == 0, F.lit("office")).otherwise(F.lit("anna.huber")), F.lit('@haus.at?subject=x">Mail</a></body>'),
+        F.lit("<body>Impressum\nFirmenname: Huber "), number, F.lit(" GmbH\nUID: "), F.when(_n() % 9 != 1, F.concat(F.lit("ATU1"), number)).otherwise(F.lit("beantragt")), F.lit("\n| Hauptgasse 5, 1030 Wien |\nTel: +43 1 "), number,
+        F.lit('\n<a href="mailto:'), F.when(_n() % 2 == 0, F.lit("office")).otherwise(F.lit("anna.huber")), F.lit('@haus.at?subject=x">Mail</a></body>'),
     )
     pages = base.where("kind <> 'none'").select(*fetch(F.col("url"), F.when(F.col("kind") == "parked", parked).otherwise(body), error))
-    imprints = base.where((F.col("kind") == "live") & (_N % 3 == 1) & ~F.col("url").contains("dup")).select(*fetch(F.concat(F.regexp_extract("url", "^(https://[^/]*)", 1), F.lit("/impressum")), imprint, none))
+    imprints = base.where((F.col("kind") == "live") & (_n() % 3 == 1) & ~F.col("url").contains("dup")).select(*fetch(F.concat(F.regexp_extract("url", "^(https://[^/]*)", 1), F.lit("/impressum")), imprint, none))
     fetched = pages.unionByName(imprints)
-    psi = base.where((F.col("kind") == "live") & (_N % 12 != 0)).select("url", *[((_N % 101) / 100).alias(c) for c in ("performance", "seo", "accessibility", "best_practices")], F.lit(None).cast("timestamp").alias("fetched_at"), none.alias("error"))
+    psi = base.where((F.col("kind") == "live") & (_n() % 12 != 0)).select("url", *[((_n() % 101) / 100).alias(c) for c in ("performance", "seo", "accessibility", "best_practices")], F.lit(None).cast("timestamp").alias("fetched_at"), none.alias("error"))
     rules = F.array(F.struct(F.lit(False).alias("allow"), F.lit("/").alias("path")))
     robots = base.where("kind = 'robots'").select(F.regexp_extract("url", "^(https://[^/]*)", 1).alias("origin"), rules.alias("rules")).distinct()
     chains = spark.createDataFrame([("kette0.at", 12), ("kette1.at", 2)], "apex string, score int")
@@ -121,7 +123,7 @@ _CASCADE = (
 
 
 def _nth(values: list) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), (_N % len(values)).cast("int"))
+    return F.get(F.array(*[F.lit(v) for v in values]), (_n() % len(values)).cast("int"))
 
 
 def _texts(values) -> str:
@@ -131,7 +133,7 @@ def _texts(values) -> str:
 @query(f"SELECT page_id, CASE WHEN page_id % 53 = 52 THEN 'unknown' ELSE {_texts([c[3] for c in _CASCADE])}[CAST(page_id % {len(_CASCADE)} AS INTEGER) + 1] END AS cms FROM pages")
 def cms_cascade(spark, sf_dir):
     """Fingerprints, the generator tag, headers and asset paths, each before the next, planted into the pages; an empty page is unknown."""
-    planted = table(spark, sf_dir, "pages").select("page_id", F.when(_N % 53 != 52, F.concat("html", _nth([c[0] for c in _CASCADE]))).otherwise(F.lit("")).alias("body"), _nth([c[1] for c in _CASCADE]).alias("name"), _nth([c[2] for c in _CASCADE]).alias("value"))
+    planted = table(spark, sf_dir, "pages").select("page_id", F.when(_n() % 53 != 52, F.concat("html", _nth([c[0] for c in _CASCADE]))).otherwise(F.lit("")).alias("body"), _nth([c[1] for c in _CASCADE]).alias("name"), _nth([c[2] for c in _CASCADE]).alias("value"))
     headers = F.when((F.col("name") != "") & (F.col("body") != ""), F.create_map("name", "value")).otherwise(rows.no_links())
     found = planted.withColumn("_headers", headers).withColumn("_cms", detect.tech_stack(F.col("body"), F.col("_headers"))["cms"])
     return found.select("page_id", detect.cms(F.col("body"), F.col("_headers"), F.col("_cms")).alias("cms"))
@@ -155,7 +157,7 @@ WHEN 9 THEN ['no_chain_branches'] WHEN 10 THEN ['last_modified'] WHEN 11 THEN ['
 def invariant_rules(spark, sf_dir):
     """rows that break one rule each, and sound ones at the rules' edges. The other three can't be broken: they follow from the tier, the score and the address by construction."""
     case = lambda name: F.expr("CASE CAST(page_id % " + str(len(_BROKEN)) + " AS INT) " + "".join(f"WHEN {i} THEN {c[name]} " for i, (_, c) in enumerate(_BROKEN) if name in c) + f"ELSE {_SOUND[name]} END")
-    made = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), _N.cast("string")).alias("place_id"), *[case(n).alias(n) for n in _SOUND])
+    made = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), _n().cast("string")).alias("place_id"), *[case(n).alias(n) for n in _SOUND])
     return filters.violations(conform(made, AUDIT), 2026)
 
 
@@ -169,10 +171,10 @@ m AS (SELECT t, any_value(i) AS i FROM (SELECT unnest(t) AS t, unnest(i) AS i FR
 SELECT page_id, CASE page_id % 4 WHEN 0 THEN i[a] WHEN 1 THEN i[b] WHEN 2 THEN i[b] ELSE 'other' END AS industry FROM t""")
 def industry_types(spark, sf_dir):
     """The primary type counts, else the first known one of the others, else `other`."""
-    of = lambda step: F.get(F.array(*[F.lit(t) for t, _ in _TYPES]), (_N * step % len(_TYPES)).cast("int"))
-    unknown = F.concat(F.lit("kind_"), _N.cast("string"))
-    primary = F.when(_N % 4 == 0, of(1)).when(_N % 4 == 1, unknown)
-    types = F.when(_N % 4 == 3, F.array(unknown)).otherwise(F.array(unknown, of(7), of(1)))
+    of = lambda step: F.get(F.array(*[F.lit(t) for t, _ in _TYPES]), (_n() * step % len(_TYPES)).cast("int"))
+    unknown = F.concat(F.lit("kind_"), _n().cast("string"))
+    primary = F.when(_n() % 4 == 0, of(1)).when(_n() % 4 == 1, unknown)
+    types = F.when(_n() % 4 == 3, F.array(unknown)).otherwise(F.array(unknown, of(7), of(1)))
     made = table(spark, sf_dir, "pages").select("page_id", primary.alias("primary_type"), types.alias("types"))
     return joins.with_industry(made).select("page_id", "industry")
 
@@ -191,10 +193,10 @@ def email_spellings(spark, sf_dir):
     host = F.replace(F.regexp_extract("url", "^[a-z]+://(?:www\\.)?([^/?#]*)", 1), F.lit("example."), F.lit("firma."))
     first, second = _nth(["info", "anna", "office2", "max.huber", "noreply", "kontakt.wien"]), _nth(["team", "eva", "root", "sales-at"])
     ways = [F.concat(F.lit(w.split("{h}")[0].replace("{l}", "")), F.lit("")) for w in _WAYS]
-    a = F.concat(first, F.get(F.array(*ways), (_N % len(_WAYS)).cast("int")), host)
+    a = F.concat(first, F.get(F.array(*ways), (_n() % len(_WAYS)).cast("int")), host)
     b = F.concat(second, F.lit("@shop."), host)
     body = F.concat(F.lit("Schreiben: "), a, F.lit(" ; oder "), F.upper(b), F.lit(" ; danke "), b)
-    made = table(spark, sf_dir, "pages").select("page_id", body.alias("body"), F.when(_N % 3 == 0, F.array(F.concat(F.lit("MAILTO: "), F.upper(b), F.lit("?subject=x")), F.lit("/x"))).otherwise(F.array(F.lit("/y"))).alias("links"))
+    made = table(spark, sf_dir, "pages").select("page_id", body.alias("body"), F.when(_n() % 3 == 0, F.array(F.concat(F.lit("MAILTO: "), F.upper(b), F.lit("?subject=x")), F.lit("/x"))).otherwise(F.array(F.lit("/y"))).alias("links"))
     return made.select("page_id", F.array_join(contact.emails(F.col("body")), ",").alias("emails"), F.get(contact.mailto_emails(F.col("links")), F.lit(0)).alias("mailto"))
 
 
@@ -209,9 +211,9 @@ l AS (SELECT page_id, has_ld OR has_micro AS has_schema_org, list_concat(CASE WH
 SELECT page_id, has_schema_org, array_to_string(list_sort(list_distinct(list_filter(l, lambda x: x IN ('Restaurant', 'LocalBusiness', 'Event', 'Person', 'Product')))), ',') AS types FROM l""")
 def schema_types(spark, sf_dir):
     """Types of JSON-LD, nested ones too, and of microdata, each once, those of interest in order."""
-    pick = lambda values, step: F.get(F.array(*[F.lit(v) for v in values]), (_N * step % len(values)).cast("int"))
+    pick = lambda values, step: F.get(F.array(*[F.lit(v) for v in values]), (_n() * step % len(values)).cast("int"))
     ld = F.concat(F.lit('<script type="application/ld+json">{"@type": "http://schema.org/'), pick(_LD, 1), F.lit('", "x": [{"@type": ["'), pick(_LD, 3), F.lit('"]}]}</script>'))
     micro = F.concat(F.lit('<div itemscope itemtype="https://schema.org/'), pick(_MICRO, 1), F.lit('">x</div>'))
-    made = table(spark, sf_dir, "pages").select("page_id", F.concat(_part(_N % 7 < 5, ld), "html", _part(_N % 3 < 2, micro)).alias("body"))
+    made = table(spark, sf_dir, "pages").select("page_id", F.concat(_part(_n() % 7 < 5, ld), "html", _part(_n() % 3 < 2, micro)).alias("body"))
     found = made.withColumn("_s", html.schema_org(html.page_facts("body")))
     return found.select("page_id", F.col("_s.has_schema_org").alias("has_schema_org"), F.array_join("_s.types", ",").alias("types"))
