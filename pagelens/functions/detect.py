@@ -116,10 +116,12 @@ def scanned(body: Column) -> Column:
 
 def lower_headers(headers: Column) -> Column:
     """The headers with lower-case names; of names that differ in case only, the last wins."""
-    entries = F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
-    names = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-    last = lambda n: F.element_at(F.filter(entries, lambda e: e["key"] == n), -1)["value"]
-    return F.map_from_arrays(names, F.transform(names, last))
+
+    def of(entries: Column) -> Column:
+        last = lambda n: F.element_at(F.filter(entries, lambda e: e["key"] == n), -1)["value"]
+        return js.let(F.array_distinct(F.transform(entries, lambda e: e["key"])), lambda names: F.map_from_arrays(names, F.transform(names, last)))
+
+    return js.let(F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value"))), of)
 
 
 def header(lowered: Column, name: str) -> Column:
@@ -135,18 +137,22 @@ def cookie_names(lowered: Column) -> Column:
 
 def tech_stack(body: Column, headers: Column) -> Column:
     """Struct of six arrays with the technologies found, in the fingerprints' order."""
-    lowered, html = lower_headers(headers), F.coalesce(scanned(body), F.lit(""))
-    cookies = cookie_names(lowered)
-    found: dict[str, list[Column]] = {b: [] for b in BUCKETS}
-    for name, bucket, patterns, of_headers, of_cookies in FINGERPRINTS:
-        signals = [html.rlike(p.removeprefix("(?-i)") if p.startswith("(?-i)") else "(?i)" + p) for p in patterns]
-        signals += [F.coalesce(header(lowered, h).rlike("(?i)" + p), F.lit(False)) for h, p in of_headers.items()]
-        signals += [_any_matches(cookies, "(?i)" + p) for p in of_cookies]
-        hits = F.lit(0)
-        for s in signals:
-            hits = hits + s.cast("int")
-        found[bucket].append(F.when(hits >= MIN_SIGNALS, F.lit(name)))
-    return F.struct(*[F.array_compact(F.array(*found[b])).alias(b) for b in BUCKETS])
+
+    def of(page: Column) -> Column:
+        html, lowered, cookies = page["html"], page["lowered"], page["cookies"]
+        found: dict[str, list[Column]] = {b: [] for b in BUCKETS}
+        for name, bucket, patterns, of_headers, of_cookies in FINGERPRINTS:
+            signals = [html.rlike(p.removeprefix("(?-i)") if p.startswith("(?-i)") else "(?i)" + p) for p in patterns]
+            signals += [F.coalesce(header(lowered, h).rlike("(?i)" + p), F.lit(False)) for h, p in of_headers.items()]
+            signals += [_any_matches(cookies, "(?i)" + p) for p in of_cookies]
+            hits = F.lit(0)
+            for s in signals:
+                hits = hits + s.cast("int")
+            found[bucket].append(F.when(hits >= MIN_SIGNALS, F.lit(name)))
+        return F.struct(*[F.array_compact(F.array(*found[b])).alias(b) for b in BUCKETS])
+
+    names = F.struct(F.coalesce(scanned(body), F.lit("")).alias("html"), lower_headers(headers).alias("lowered"))
+    return js.let(names, lambda x: js.let(F.struct(x["html"].alias("html"), x["lowered"].alias("lowered"), cookie_names(x["lowered"]).alias("cookies")), of))
 
 
 def _any_matches(values: Column, pattern: str) -> Column:
@@ -191,7 +197,9 @@ def _years(texts: Column) -> Column:
     """UTC years of dates in the forms that pages use; null for others."""
 
     def year(t: Column) -> Column:
-        bare = F.regexp_replace(js.trim(t), r"(?i)\A[a-z]{3,9},?\s+", "")
+        return js.let(F.regexp_replace(js.trim(t), r"(?i)\A[a-z]{3,9},?\s+", ""), of)
+
+    def of(bare: Column) -> Column:
         iso = F.try_to_timestamp(F.regexp_extract(bare, r"\A(\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?)\z", 1))
         rfc = F.try_to_timestamp(F.regexp_replace(bare, r"\s+(GMT|UTC|Z)\z", " +0000"), F.lit("d MMM yyyy HH:mm:ss Z"))
         only = F.when(bare.rlike(r"\A\d{4}(-\d{2})?\z"), F.left(bare, F.lit(4)).cast("int"))
@@ -222,27 +230,38 @@ def last_modified_year(body: Column, headers: Column, this_year: int) -> Column:
 
 def social_platform(href: Column) -> Column:
     """The platform whose profile a link leads to; null for shares, front pages and other links."""
+
+    def of(at: Column) -> Column:
+        host, path, out = at["host"], at["path"], F.lit(None).cast("string")
+        for name, hosts, reject in reversed(SOCIAL):
+            out = F.when(host.rlike("(?i)" + hosts) & ~path.rlike(f"(?i)^/(?:{reject})") & (path != "/") & (path != ""), F.lit(name)).otherwise(out)
+        return out
+
     link = js.trim(href)
-    host, path = url.hostname(link), url.pathname(link)
-    out = F.lit(None).cast("string")
-    for name, hosts, reject in reversed(SOCIAL):
-        out = F.when(host.rlike("(?i)" + hosts) & ~path.rlike(f"(?i)^/(?:{reject})") & (path != "/") & (path != ""), F.lit(name)).otherwise(out)
-    return F.when(url.scheme(link).isin("http", "https"), out)
+    parts = F.struct(url.hostname(link).alias("host"), url.pathname(link).alias("path"))
+    return F.when(url.scheme(link).isin("http", "https"), js.let(parts, of))
 
 
 def social_links(hrefs: Column) -> Column:
     """Map from platform to the first link of it."""
-    found = F.filter(F.transform(hrefs, lambda h: F.struct(social_platform(h).alias("platform"), js.trim(h).alias("href"))), lambda x: x["platform"].isNotNull())
-    names = F.array_distinct(F.transform(found, lambda x: x["platform"]))
-    return F.map_from_arrays(names, F.transform(names, lambda n: F.get(F.filter(found, lambda x: x["platform"] == n), F.lit(0))["href"]))
+
+    def of(found: Column) -> Column:
+        first = lambda n: F.get(F.filter(found, lambda x: x["platform"] == n), F.lit(0))["href"]
+        return js.let(F.array_distinct(F.transform(found, lambda x: x["platform"])), lambda names: F.map_from_arrays(names, F.transform(names, first)))
+
+    return js.let(F.filter(F.transform(hrefs, lambda h: F.struct(social_platform(h).alias("platform"), js.trim(h).alias("href"))), lambda x: x["platform"].isNotNull()), of)
 
 
 def directory(page: Column) -> Column:
     """The directory that a URL belongs to, by host; the first that fits."""
-    out = F.lit(None).cast("string")
-    for name, hosts in reversed(DIRECTORIES):
-        out = F.when(url.hostname(page).rlike(hosts), F.lit(name)).otherwise(out)
-    return out
+
+    def of(host: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for name, hosts in reversed(DIRECTORIES):
+            out = F.when(host.rlike(hosts), F.lit(name)).otherwise(out)
+        return out
+
+    return js.let(url.hostname(page), of)
 
 
 def title(body: Column) -> Column:
@@ -259,9 +278,14 @@ def parking(body: Column, headers: Column) -> Column:
             F.when(F.coalesce(header(lower_headers(headers), "server"), F.lit("")).rlike(PARKING_SERVER), F.lit("server-header")),
         )
     )
-    n = F.size(signals)
-    verdict = F.when(n >= 2, F.lit("parked")).when(n == 1, F.lit("inconclusive")).otherwise(F.lit("not-parked"))
-    return F.struct(verdict.alias("verdict"), F.when(n >= 2, F.array_join(signals, "+")).alias("fingerprint"))
+
+
+    def of(found: Column) -> Column:
+        n = F.size(found)
+        verdict = F.when(n >= 2, F.lit("parked")).when(n == 1, F.lit("inconclusive")).otherwise(F.lit("not-parked"))
+        return F.struct(verdict.alias("verdict"), F.when(n >= 2, F.array_join(found, "+")).alias("fingerprint"))
+
+    return js.let(signals, of)
 
 
 def viewport(body: Column) -> Column:

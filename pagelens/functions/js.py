@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,12 @@ S = f"[{SPACE}]"
 LEFT, RIGHT = "(?<![A-Za-z0-9_])", "(?![A-Za-z0-9_])"
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is worked out once for each row. A Python variable that holds a column is written out wherever it stands; inside lambdas and
+    conditions Spark works it out each time, and nested ones multiply."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def trim(c: Column) -> Column:
     """Both ends without white space of any kind."""
     return F.regexp_replace(c, rf"\A{S}+|{S}+\z", "")
@@ -28,7 +36,7 @@ def null_if_empty(c: Column) -> Column:
 
 def group(c: Column, pattern: str, i: int = 1) -> Column:
     """A group of the first match; null where there is no match or the group is empty."""
-    return null_if_empty(F.regexp_extract(c, pattern, i))
+    return let(F.regexp_extract(c, pattern, i), null_if_empty)
 
 
 def first_not_null(values: Column) -> Column:

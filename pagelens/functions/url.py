@@ -40,18 +40,21 @@ def scheme(url: Column) -> Column:
 
 def hostname(url: Column) -> Column:
     """Host without port, lower-cased and in punycode; null for what isn't a URL with a valid host."""
-    raw = F.regexp_replace(F.regexp_replace(_part(url, 2), r"\A.*@", ""), r":[0-9]*\z", "")
-    ascii_ = F.when(raw.rlike(r"[^\x00-\x7F]"), F.try_reflect(F.lit("java.net.IDN"), F.lit("toASCII"), F.lower(raw))).otherwise(F.lower(raw))
-    good = (raw != "") & ~raw.rlike(r"[\x00-\x20<>\^|%\\]") & _part(url, 2).rlike(r"(?s)\A(.*@)?(\[[0-9a-fA-F:.]+\]|[^:]*)(:[0-9]*)?\z")
-    return F.when(good, ascii_)
+
+    def of(part: Column) -> Column:
+        fits = part.rlike(r"(?s)\A(.*@)?(\[[0-9a-fA-F:.]+\]|[^:]*)(:[0-9]*)?\z")
+        bare = F.regexp_replace(F.regexp_replace(part, r"\A.*@", ""), r":[0-9]*\z", "")
+        return js.let(bare, lambda raw: F.when((raw != "") & ~raw.rlike(r"[\x00-\x20<>\^|%\\]") & fits, F.lower(raw)))
+
+    good = js.let(_part(url, 2), of)  # the call of Java stays outside of lambdas, so that a host can be grouped by
+    return F.when(good.rlike(r"[^\x00-\x7F]"), F.try_reflect(F.lit("java.net.IDN"), F.lit("toASCII"), good)).otherwise(good)
 
 
 def host(url: Column) -> Column:
     """Host with a port that isn't the scheme's default."""
-    port = js.group(_part(url, 2), r":([0-9]+)\z")
-    default = F.when(scheme(url) == "https", F.lit("443")).when(scheme(url) == "http", F.lit("80")).when(scheme(url) == "ftp", F.lit("21"))
-    number = F.regexp_replace(port, "^0+(?=[0-9])", "")
-    return F.concat(hostname(url), F.when(port.isNotNull() & ~number.eqNullSafe(default), F.concat(F.lit(":"), number)).otherwise(""))
+    default = js.let(scheme(url), lambda s: F.when(s == "https", F.lit("443")).when(s == "http", F.lit("80")).when(s == "ftp", F.lit("21")))
+    number = F.regexp_replace(js.group(_part(url, 2), r":([0-9]+)\z"), "^0+(?=[0-9])", "")
+    return F.concat(hostname(url), js.let(number, lambda n: F.when(n.isNotNull() & ~n.eqNullSafe(default), F.concat(F.lit(":"), n)).otherwise("")))
 
 
 def _resolved(path: Column) -> Column:
@@ -73,13 +76,13 @@ def _resolved(path: Column) -> Column:
 def _encoded(path: Column) -> Column:
     """Characters that a path can't hold as percent escapes of their UTF-8 bytes."""
     one = lambda c: F.when(c.rlike(r"[^\x21-\x7E]|[\x22<>`{}]"), F.regexp_replace(F.hex(F.encode(c, "UTF-8")), "(..)", "%$1")).otherwise(c)
-    return F.when(path.rlike(r"[^\x21-\x7E]|[\x22<>`{}]"), F.array_join(F.transform(F.split(path, "", -1), one), "")).otherwise(path)
+    return js.let(path, lambda p: F.when(p.rlike(r"[^\x21-\x7E]|[\x22<>`{}]"), F.array_join(F.transform(F.split(p, "", -1), one), "")).otherwise(p))
 
 
 def pathname(url: Column) -> Column:
     raw = F.regexp_replace(_part(url, 3), r"\\", "/")
-    path = F.when(raw == "", F.lit("/")).otherwise(raw)
-    return _encoded(F.when(path.rlike(r"(?i)/(\.|%2e){1,2}(/|\z)"), _resolved(path)).otherwise(path))
+    path = js.let(raw, lambda r: F.when(r == "", F.lit("/")).otherwise(r))
+    return _encoded(js.let(path, lambda p: F.when(p.rlike(r"(?i)/(\.|%2e){1,2}(/|\z)"), _resolved(p)).otherwise(p)))
 
 
 def query(url: Column) -> Column:
@@ -101,22 +104,26 @@ def _kept_query(url: Column, drop) -> Column:
     decode = lambda s: F.coalesce(F.try_url_decode(s), s)
     name = lambda p: decode(F.substring_index(p, "=", 1))
     value = lambda p: F.when(p.contains("="), decode(F.regexp_replace(p, r"(?s)\A[^=]*=", ""))).otherwise(F.lit(""))
-    kept = F.filter(pairs, lambda p: ~drop(name(p)))
+    kept = F.filter(pairs, lambda p: js.let(name(p), lambda n: ~drop(n)))
     return F.array_join(F.transform(kept, lambda p: F.concat(F.url_encode(name(p)), F.lit("="), F.url_encode(value(p)))), "&")
 
 
+def _with_mark(rest: Column) -> Column:
+    return js.let(rest, lambda r: F.when(r != "", F.concat(F.lit("?"), r)).otherwise(""))
+
+
 def dedupe_key(url: Column) -> Column:
     """The form in which two URLs are the same page: no `www.`, no trailing slash, no tracking parameters, no fragment."""
     path = F.regexp_replace(pathname(url), r"/\z", "")
     rest = _kept_query(url, lambda n: F.lower(n).startswith("utm_") | F.lower(n).isin(*TRACKING))
-    return F.concat(scheme(url), F.lit("://"), without_www(host(url)), path, F.when(rest != "", F.concat(F.lit("?"), rest)).otherwise(""))
+    return F.concat(scheme(url), F.lit("://"), without_www(host(url)), path, _with_mark(rest))
 
 
 def directory_link(url: Column) -> Column:
     """A link as directories give it: http(s) only, named tracking parameters dropped, one trailing slash less, fragment kept."""
     touched = query(url).rlike(r"(^|&)(" + "|".join(DIRECTORY_TRACKING) + ")(=|&|$)")
     rest = F.when(touched, _kept_query(url, lambda n: n.isin(*DIRECTORY_TRACKING))).otherwise(query(url))
-    whole = F.concat(scheme(url), F.lit("://"), host(url), pathname(url), F.when(rest != "", F.concat(F.lit("?"), rest)).otherwise(""), _part(url, 5))
+    whole = F.concat(scheme(url), F.lit("://"), host(url), pathname(url), _with_mark(rest), _part(url, 5))
     return F.when(scheme(url).isin("http", "https"), F.regexp_replace(whole, r"/\z", ""))
 
 
@@ -127,13 +134,16 @@ def host_and_path(url: Column) -> Column:
 
 def apex(url: Column) -> Column:
     """The registrable domain; null for addresses, single labels and what isn't a URL."""
-    h = F.regexp_replace(hostname(url), r"\.\z", "")
-    labels = F.split(h, r"\.", -1)
-    n = F.size(labels)
-    two = F.concat_ws(".", F.slice(labels, F.greatest(n - 1, F.lit(1)), F.lit(2)))
-    deep = F.when(two.isin(*TWO_LABEL_SUFFIXES), F.lit(3)).otherwise(F.lit(2))
-    address = h.rlike(r"\A[0-9.]+\z") | h.startswith("[")
-    return F.when(~address & (n >= deep) & ~h.rlike(r"(^|\.)(\.|$)"), F.concat_ws(".", F.slice(labels, n - deep + 1, deep)))
+
+    def of(h: Column) -> Column:
+        labels = F.split(h, r"\.", -1)
+        n = F.size(labels)
+        two = F.concat_ws(".", F.slice(labels, F.greatest(n - 1, F.lit(1)), F.lit(2)))
+        deep = F.when(two.isin(*TWO_LABEL_SUFFIXES), F.lit(3)).otherwise(F.lit(2))
+        address = h.rlike(r"\A[0-9.]+\z") | h.startswith("[")
+        return F.when(~address & (n >= deep) & ~h.rlike(r"(^|\.)(\.|$)"), F.concat_ws(".", F.slice(labels, n - deep + 1, deep)))
+
+    return js.let(F.regexp_replace(hostname(url), r"\.\z", ""), of)
 
 
 def host_title(url: Column) -> Column:
@@ -145,11 +155,8 @@ def host_title(url: Column) -> Column:
 
 def is_platform(url: Column) -> Column:
     """Whether the host is a platform's or directory's, or the URL is unusable."""
-    h = without_www(hostname(url))
-    hit = F.lit(False)
-    for p in PLATFORM_HOSTS:
-        hit = hit | (h == p) | h.endswith("." + p)
-    return F.coalesce(hit, F.lit(True))
+    hosts = "|".join(p.replace(".", r"\.") for p in PLATFORM_HOSTS)
+    return F.coalesce(without_www(hostname(url)).rlike(rf"(?:\A|\.)(?:{hosts})\z"), F.lit(True))
 
 
 def scheduling_host(url: Column) -> Column:

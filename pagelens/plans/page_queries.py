@@ -54,7 +54,9 @@ def _nth(i: Column, values, kind: str = "string") -> Column:
 
 
 def _customers(spark, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("i"))
+    """Customers' numbers, dealt over all cores: a file with few row groups is few tasks, and the pages are made and parsed where the rows lie."""
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("i")).repartition(n, "i")
 
 
 _ROWS = "SELECT c_custkey AS i FROM customer"
