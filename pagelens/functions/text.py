@@ -104,13 +104,15 @@ def domain_guesses(name: Column) -> Column:
 
 def company_name(c: Column) -> Column:
     """A company name cut at a line's end or a stop word inside it, without trailing punctuation, 3 to 80 characters; else null."""
-    line = F.regexp_replace(c, r"(?s)\r?\n.*\z", "")
-    lower = F.lower(line)
-    at = F.filter(F.array(*[F.instr(lower, w.lower()) for w in NAME_STOP_WORDS]), lambda i: i > 1)
-    cut = F.when(F.size(at) > 0, F.left(line, F.array_min(at) - 1)).otherwise(line)
-    bare = js.trim(F.regexp_replace(js.trim(cut), rf"[:;,|\-{js.SPACE}]+\z", ""))
-    short = F.when(F.length(bare) > 80, js.trim(F.left(bare, F.lit(80)))).otherwise(bare)
-    return F.when(F.length(short) >= 3, short)
+
+    def cut(line: Column) -> Column:
+        places = js.let(F.lower(line), lambda low: F.array(*[F.instr(low, w.lower()) for w in NAME_STOP_WORDS]))
+        return js.let(F.filter(places, lambda i: i > 1), lambda at: F.when(F.size(at) > 0, F.left(line, F.array_min(at) - 1)).otherwise(line))
+
+    head = js.let(F.regexp_replace(c, r"(?s)\r?\n.*\z", ""), cut)
+    bare = js.trim(F.regexp_replace(js.trim(head), rf"[:;,|\-{js.SPACE}]+\z", ""))
+    short = js.let(bare, lambda b: F.when(F.length(b) > 80, js.trim(F.left(b, F.lit(80)))).otherwise(b))
+    return js.let(short, lambda s: F.when(F.length(s) >= 3, s))
 
 
 #: A name before a legal form, and behind a label.
@@ -123,7 +125,7 @@ def company_name_in(text: Column) -> Column:
 
     def finished(raw: Column) -> Column:
         head = js.trim(F.regexp_replace(raw, r"(?s)\r?\n.*\z", ""))
-        return F.when(F.length(head) >= 3, company_name(head))
+        return js.let(head, lambda h: F.when(F.length(h) >= 3, company_name(h)))
 
     labelled = finished(js.group(text, _LABELLED))
     return F.coalesce(labelled, finished(js.group(F.regexp_replace(text, r"[ \t]+", " "), _NAME)))
@@ -131,13 +133,16 @@ def company_name_in(text: Column) -> Column:
 
 def validates(html: Column, name: Column, plz: Column, phone: Column) -> Column:
     """Whether a page is the candidate's: two long words of the name, or the postal code, or the phone's last seven digits, near its top."""
-    top = F.left(F.lower(html), F.lit(20_000))
-    words = F.filter(F.regexp_extract_all(F.coalesce(F.lower(fold_umlauts(name)), F.lit("")), F.lit("[a-z0-9]+"), F.lit(0)), lambda w: F.length(w) >= 4)
-    by_name = F.size(F.filter(words, lambda w: top.contains(w))) >= 2
-    by_plz = (F.coalesce(plz, F.lit("")) != "") & top.contains(F.coalesce(plz, F.lit("")))
-    digits = F.regexp_replace(F.coalesce(phone, F.lit("")), "[^0-9]", "")
-    by_phone = (F.length(digits) >= 7) & F.regexp_replace(top, "[^0-9]", "").contains(F.right(digits, F.lit(7)))
-    return F.coalesce(by_name | by_plz | by_phone, F.lit(False))
+
+    def of(top: Column) -> Column:
+        words = F.filter(F.regexp_extract_all(F.coalesce(F.lower(fold_umlauts(name)), F.lit("")), F.lit("[a-z0-9]+"), F.lit(0)), lambda w: F.length(w) >= 4)
+        by_name = F.size(F.filter(words, lambda w: top.contains(w))) >= 2
+        by_plz = (F.coalesce(plz, F.lit("")) != "") & top.contains(F.coalesce(plz, F.lit("")))
+        digits = F.regexp_replace(F.coalesce(phone, F.lit("")), "[^0-9]", "")
+        by_phone = (F.length(digits) >= 7) & F.regexp_replace(top, "[^0-9]", "").contains(F.right(digits, F.lit(7)))
+        return F.coalesce(by_name | by_plz | by_phone, F.lit(False))
+
+    return js.let(F.left(F.lower(html), F.lit(20_000)), of)
 
 
 def cache_key(*parts: Column) -> Column:
