@@ -58,22 +58,31 @@ def district(plz: Column) -> Column:
     return js.group(plz, r"\A1(0[1-9]|1[0-9]|2[0-3])0\z")
 
 
-def _address(text: Column) -> tuple[Column, Column]:
-    flat = js.trim(js.squeeze(text))
-    street, plz, city = (F.regexp_extract(flat, ADDRESS, i) for i in (1, 2, 3))
-    return F.when(street != "", F.concat(js.trim(street), F.lit(", "), plz, F.lit(" "), js.trim(city))), js.null_if_empty(plz)
+def _address(text: Column) -> Column:
+    """Struct of address and plz. The text is searched once: the groups are read from the place that was found."""
+    found = F.regexp_extract(js.trim(js.squeeze(text)), ADDRESS, 0)
+
+    def of(place: Column) -> Column:
+        street, plz, city = (F.regexp_extract(place, rf"\A{ADDRESS}\z", i) for i in (1, 2, 3))
+        whole = js.let(street, lambda s: F.when(s != "", F.concat(js.trim(s), F.lit(", "), plz, F.lit(" "), js.trim(city))))
+        return F.struct(whole.alias("address"), js.let(plz, js.null_if_empty).alias("plz"))
+
+    return js.let(found, of)
 
 
 def address(text: Column) -> Column:
     """`street number, plz city` found in a text."""
-    return _address(text)[0]
+    return _address(text)["address"]
 
 
 def strict_address(text: Column) -> Column:
     """Struct of address and plz; both null unless the postal code is a Viennese one."""
-    found, plz = _address(text)
-    good = is_vienna_plz(plz)
-    return F.struct(F.when(good, found).alias("address"), F.when(good, plz).alias("plz"))
+
+    def of(found: Column) -> Column:
+        good = is_vienna_plz(found["plz"])
+        return F.struct(F.when(good, found["address"]).alias("address"), F.when(good, found["plz"]).alias("plz"))
+
+    return js.let(_address(text), of)
 
 
 def uid(text: Column) -> Column:
@@ -94,13 +103,9 @@ def phone_e164(raw: Column) -> Column:
 
     Without a number plan at hand the test is on form: country code or trunk prefix, an area or mobile code that doesn't start with 0, and 7
     to 13 national digits in all (4 to 13 for the capital's code 1 with at least 6 digits after it)."""
-    digits = F.regexp_replace(raw, r"[^0-9+]", "")
-    national = (
-        F.when(digits.startswith("+43"), F.substring(digits, 4, 30)).when(digits.startswith("0043"), F.substring(digits, 5, 30))
-        .when(digits.rlike(r"\A0[1-9]"), F.substring(digits, 2, 30))
-    )
-    bare = F.regexp_replace(national, r"\A0", "")
-    return F.when(bare.rlike(r"\A[1-9][0-9]{6,12}\z"), F.concat(F.lit("+43"), bare))
+    of = lambda d: F.when(d.startswith("+43"), F.substring(d, 4, 30)).when(d.startswith("0043"), F.substring(d, 5, 30)).when(d.rlike(r"\A0[1-9]"), F.substring(d, 2, 30))
+    national = js.let(F.regexp_replace(raw, r"[^0-9+]", ""), of)
+    return js.let(F.regexp_replace(national, r"\A0", ""), lambda bare: F.when(bare.rlike(r"\A[1-9][0-9]{6,12}\z"), F.concat(F.lit("+43"), bare)))
 
 
 def deobfuscated(text: Column) -> Column:
@@ -129,12 +134,16 @@ def _domain(email: Column) -> Column:
 
 def is_noise(email: Column) -> Column:
     """Addresses of examples, machines and unreachable mailboxes, and malformed ones."""
-    local, domain = _local(email), _domain(email)
-    bad = domain.isin(*NOISE_DOMAINS)
-    for d in NOISE_DOMAINS:
-        bad = bad | domain.endswith("." + d)
-    malformed = ~email.contains("@") | email.startswith("@") | (domain == "")
-    return malformed | bad | local.isin(*NOISE_LOCALS) | ((local == "admin") & (domain == "wordpress.org"))
+
+    def of(at: Column) -> Column:
+        local, domain = at["local"], at["domain"]
+        bad = domain.isin(*NOISE_DOMAINS)
+        for d in NOISE_DOMAINS:
+            bad = bad | domain.endswith("." + d)
+        malformed = ~email.contains("@") | email.startswith("@") | (domain == "")
+        return malformed | bad | local.isin(*NOISE_LOCALS) | ((local == "admin") & (domain == "wordpress.org"))
+
+    return js.let(F.struct(_local(email).alias("local"), _domain(email).alias("domain")), of)
 
 
 def _starts_role(local: Column, roles) -> Column:
@@ -162,7 +171,7 @@ def generic_class(email: Column) -> Column:
 
 def prioritised(emails: Column) -> Column:
     """Personal mailboxes before role mailboxes, each in order."""
-    return F.concat(F.filter(emails, lambda e: ~is_role(e)), F.filter(emails, lambda e: is_role(e)))
+    return js.let(emails, lambda all_: F.concat(F.filter(all_, lambda e: ~is_role(e)), F.filter(all_, lambda e: is_role(e))))
 
 
 def emails(text: Column) -> Column:

@@ -1,6 +1,7 @@
 """Joins with dimensions and side tables. Ids J1-J14 of the survey.
 
 Dimensions are tables of fixed, small size that the package ships or that are counted before they are broadcast; side tables that grow with the data are joined on keys.
+Pages carry a merge hint: Spark guesses their size from the compressed files and would send them whole through the driver.
 """
 
 from __future__ import annotations
@@ -96,7 +97,7 @@ def by_dns_guess(candidates: DataFrame, fetches: DataFrame) -> DataFrame:
     able = candidates.where(F.col("name").isNotNull() & (F.trim("name") != "") & ~text.is_branch_name(F.col("name")))
     guessed = able.select("place_id", "name", "plz", "phone", F.posexplode(text.domain_guesses(F.col("name"))).alias("_nth", "_domain"))
     pages = fetches.where(F.col("error").isNull() & (F.col("status") < 400)).select(F.col("url").alias("_url"), "body")
-    met = guessed.withColumn("_url", F.concat(F.lit("https://"), "_domain")).join(pages, "_url").where(text.validates(F.col("body"), F.col("name"), F.col("plz"), F.col("phone")))
+    met = guessed.withColumn("_url", F.concat(F.lit("https://"), "_domain")).join(pages.hint("merge"), "_url").where(text.validates(F.col("body"), F.col("name"), F.col("plz"), F.col("phone")))
     return met.groupBy("place_id").agg(F.min_by("_url", "_nth").alias("url"))
 
 
@@ -105,9 +106,9 @@ def by_directory_search(candidates: DataFrame, search_links: DataFrame, fetches:
 
     search_links: place_id, query_rank, link_rank, link."""
     pages = fetches.where(F.col("error").isNull() & (F.col("status") < 400)).select(F.col("url").alias("link"), F.col("body").alias("_page"))
-    met = search_links.join(pages, "link").withColumn("_facts", html.page_facts("_page")).withColumn("url", html.directory_site(F.col("link"), F.col("_facts"))).where(F.col("url").isNotNull())
+    met = search_links.join(pages.hint("merge"), "link").withColumn("_facts", html.page_facts("_page")).withColumn("url", html.directory_site(F.col("link"), F.col("_facts"))).where(F.col("url").isNotNull())
     sites = fetches.where(F.col("error").isNull() & (F.col("status") < 400)).select(F.col("url"), F.col("body").alias("_site"))
-    good = met.join(sites, "url").join(candidates.select("place_id", "name", "plz", "phone"), "place_id").where(text.validates(F.col("_site"), F.col("name"), F.col("plz"), F.col("phone")))
+    good = met.join(sites.hint("merge"), "url").join(candidates.select("place_id", "name", "plz", "phone").hint("merge"), "place_id").where(text.validates(F.col("_site"), F.col("name"), F.col("plz"), F.col("phone")))
     return good.groupBy("place_id").agg(F.min_by("url", F.struct("query_rank", "link_rank")).alias("url"))
 
 
@@ -122,7 +123,7 @@ def discovered(candidates: DataFrame, fetches: DataFrame, search_links: DataFram
     method = F.when(site.isNotNull(), F.lit("osm-tag")).when(F.col("_dns").isNotNull(), F.lit("dns-probe")).when(F.col("_cse").isNotNull(), F.lit("cse"))
     out = out.withColumn("discovered_url", F.coalesce(site, "_dns", "_cse")).withColumn("discovery_method", method).drop("_dns", "_cse")
     pages = fetches.withColumnRenamed("url", "discovered_url").withColumnRenamed("error", "fetch_error").withColumn("_fetched", F.lit(True))
-    joined = out.join(pages, "discovered_url", "left")
+    joined = out.join(pages.hint("merge"), "discovered_url", "left")
     missing = F.col("discovered_url").isNotNull() & F.col("_fetched").isNull()
     return joined.withColumn("fetch_error", F.when(missing, F.lit("UNKNOWN")).otherwise(F.col("fetch_error"))).drop("_fetched")
 
@@ -143,7 +144,7 @@ def imprints(sites: DataFrame, fetches: DataFrame, site: str = "discovered_url")
     paths = html.joined_urls(F.col(site), F.array(*[F.lit(p) for p in html.IMPRESSUM_PATHS]))
     tried = sites.select("place_id", F.posexplode(F.array_distinct(F.concat(links, paths))).alias("_nth", "_url"))
     pages = fetches.where((F.col("status") == 200) & (F.length("body") > 0)).select(F.col("url").alias("_url"), F.col("body").alias("_body"), F.col("final_url").alias("_final"))
-    first = tried.join(pages, "_url").groupBy("place_id").agg(F.min_by(F.struct("_url", "_body", "_final"), "_nth").alias("_page"))
+    first = tried.join(pages.hint("merge"), "_url").groupBy("place_id").agg(F.min_by(F.struct("_url", "_body", "_final"), "_nth").alias("_page"))
     parsed = first.withColumn("_facts", html.page_facts("_page._body"))
     return parsed.select("place_id", html.imprint(F.col("_facts"), F.coalesce("_page._final", "_page._url")).alias("impressum"))
 
@@ -161,7 +162,7 @@ def contacts(sites: DataFrame, fetches: DataFrame, robots: DataFrame, site: str
     per = tried.groupBy("place_id").agg(F.max(~F.col("robots_allowed")).alias("robots_blocked"), F.slice(F.sort_array(F.collect_list(F.when(F.col("robots_allowed"), F.struct("_nth", "_url")))), 1, html.MAX_CONTACT_PAGES).alias("_visits"))
     visits = per.select("place_id", "robots_blocked", F.inline_outer("_visits"))
     pages = fetches.where((F.col("status") == 200) & F.col("error").isNull() & (F.length("body") > 0)).select(F.col("url").alias("_url"), F.col("body").alias("_body"), F.coalesce("final_url", "url").alias("_final"))
-    met = visits.join(pages, "_url", "left").withColumn("_facts", html.page_facts("_body")).withColumn("_parsed", F.when(F.col("_body").isNotNull(), html.contact_page(F.col("_facts"), F.col("_body"))))
+    met = visits.join(pages.hint("merge"), "_url", "left").withColumn("_facts", html.page_facts("_body")).withColumn("_parsed", F.when(F.col("_body").isNotNull(), html.contact_page(F.col("_facts"), F.col("_body"))))
     known = (F.coalesce("_parsed.email", F.lit("")) != "") | (F.coalesce("_parsed.phone", F.lit("")) != "") | (F.coalesce("_parsed.address", F.lit("")) != "")
     found = met.groupBy("place_id").agg(
         F.max("robots_blocked").alias("robots_blocked"), F.sort_array(F.collect_list(F.when(F.col("_parsed").isNotNull(), F.struct("_nth", "_parsed")))).alias("_pages"),
