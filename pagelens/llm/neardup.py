@@ -246,9 +246,10 @@ def _classes(docs: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
     loose = groups.forest(banded, nodes.select("node", "signature"), _bucket(params.least_estimate), BLOCK_ROWS, 1)
     loose = shared.written(groups.components(loose), "loose")
 
-    wanted = loose.join(nodes.select("node", "head.id", "head.th"), "node")
-    full = shared.written(_members(docs.join(wanted, ["id", "th"]), params).dropDuplicates(["node"]), "sets")
-    full = full.join(nodes.select("node", "signature"), "node")
+    wanted = loose.join(nodes.select("node", "head.id", "head.th", "signature"), "node")
+    wanted = shared.written(wanted.select("node", "id", "th", "signature"), "wanted")
+    texts = groups.filtered(docs.select("id", "th", "text"), "th", groups.key_filter(wanted.select("th")), True)  # other texts aren't shuffled
+    full = shared.written(_members(texts.join(wanted.hint("merge"), ["id", "th"]), params).dropDuplicates(["node"]), "sets")
     members = loose.join(nodes.select("node", "n_shingles"), "node").select(F.col("component").alias("group"), "node", F.col("n_shingles").alias("weight"))
     links = groups.forest(members, full, _confirm(params.percent, params.least_estimate), BLOCK_ROWS, BLOCK_SHINGLES, rounds=2)
     found = shared.written(groups.components(links), "classes")
@@ -269,16 +270,16 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", params: Pa
 
 
 def _members(docs: DataFrame, p: Params) -> DataFrame:
-    """node, members (sorted shingle hashes as bytes). docs: node and text."""
+    """node, members (sorted shingle hashes as bytes), signature. docs: node, text, signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for group in X.chunked(batch.column(1)):
                 values, bounds = sets(group, p.shingle_words)
                 rows = batch.slice(group.first, len(group))
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([values[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)], pa.binary())], names=["node", "members"])
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([values[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)], pa.binary()), rows.column(2)], names=["node", "members", "signature"])
 
-    return docs.select("node", "text").mapInArrow(run, "node long, members binary")
+    return docs.select("node", "text", "signature").mapInArrow(run, "node long, members binary, signature binary")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", params: Params = Params()) -> DataFrame:

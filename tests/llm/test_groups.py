@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from pagelens.llm import groups
@@ -41,3 +42,21 @@ def test_components_are_those_of_a_plain_search(spark, monkeypatch, name, chunk)
     assert len(got) == len(dict(got))
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert dict(got) == plain(GRAPHS[name])
+
+
+def test_few_edges_need_no_rounds(spark, monkeypatch):
+    """One contraction of all: no shuffles round by round."""
+    names = []
+    written = groups.shared.written
+    monkeypatch.setattr(groups.shared, "written", lambda df, name, *a, **b: names.append(name) or written(df, name, *a, **b))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(200)], "a long, b long").repartition(8)
+    assert {r.component for r in groups.components(edges).collect()} == {0}
+    assert names == ["components"]
+
+
+def test_roots_are_those_of_a_plain_search():
+    r = np.random.default_rng(1)
+    for n, m in ((40, 30), (300, 290), (2000, 2100)):
+        a, b = r.integers(0, n, m), r.integers(0, n, m)
+        want = plain(list(zip(a.tolist(), b.tolist(), strict=True)))
+        assert groups.roots(n, a, b).tolist() == [want.get(i, i) for i in range(n)]
