@@ -5,6 +5,8 @@ All are generated expressions over one row. Scans look at the first 256 Ki chara
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -98,6 +100,8 @@ DIRECTORIES = (
 )
 PARKING_TITLE = r"(?i)\A\s*(for sale|to buy|coming soon|this domain|parked|default web page)"
 PARKING_BODY = r"(?i)this domain is (?:for sale|parked)|buy this domain|godaddy|sedoparking|afternic|dan\.com|uniregistry|bodis"
+#: One of these is in every text that PARKING_BODY fits.
+PARKING_PARTS = ("this domain", "godaddy", "sedoparking", "afternic", "dan.com", "uniregistry", "bodis")
 PARKING_SERVER = "(?i)sedo|parkingcrew|bodis|afternic"
 WHOIS_FREE = ("no match", "not found", "no entries found", "no data found", "status: free", "status: available", "% nothing found", "domain not found", "is available for registration")
 WHOIS_TAKEN = ("registrar:", "creation date", "created:", "changed:", "registered:", "domain:", "registrant", "updated date")
@@ -135,14 +139,27 @@ def cookie_names(lowered: Column) -> Column:
     return F.coalesce(F.filter(named, lambda n: n != ""), F.array().cast("array<string>"))
 
 
+def fixed_part(pattern: str) -> str:
+    """The longest run of plain characters, in lower case, that every match of a fingerprint's pattern holds; empty if there is none."""
+    bare = re.sub(r"\\[wdsS][+*?]?|\[[^\]]*\][+*?]?(?:\{\d+\})?|\((?!\?-i)[^()]*\)|\.[+*]\??", "\0", pattern.removeprefix("(?-i)").replace(r"\(", "\1"))
+    bare = re.sub(r"[^\\][*?]", "\0", bare)
+    return max(re.split("[\0^$|]", re.sub(r"\\(.)", r"\1", bare).replace("\1", "(")), key=len).lower()
+
+
+def _seen(html: Column, low: Column, pattern: str) -> Column:
+    """Whether a pattern is in the page. Its plain part is looked for first, in the lower-case page: most pages lack it, and a search that minds no case is slow."""
+    search = html.rlike(pattern.removeprefix("(?-i)") if pattern.startswith("(?-i)") else "(?i)" + pattern)
+    return low.contains(fixed_part(pattern)) & search
+
+
 def tech_stack(body: Column, headers: Column) -> Column:
     """Struct of six arrays with the technologies found, in the fingerprints' order."""
 
     def of(page: Column) -> Column:
-        html, lowered, cookies = page["html"], page["lowered"], page["cookies"]
+        html, low, lowered, cookies = page["html"], page["low"], page["lowered"], page["cookies"]
         found: dict[str, list[Column]] = {b: [] for b in BUCKETS}
         for name, bucket, patterns, of_headers, of_cookies in FINGERPRINTS:
-            signals = [html.rlike(p.removeprefix("(?-i)") if p.startswith("(?-i)") else "(?i)" + p) for p in patterns]
+            signals = [_seen(html, low, p) for p in patterns]
             signals += [F.coalesce(header(lowered, h).rlike("(?i)" + p), F.lit(False)) for h, p in of_headers.items()]
             signals += [_any_matches(cookies, "(?i)" + p) for p in of_cookies]
             hits = F.lit(0)
@@ -152,7 +169,7 @@ def tech_stack(body: Column, headers: Column) -> Column:
         return F.struct(*[F.array_compact(F.array(*found[b])).alias(b) for b in BUCKETS])
 
     names = F.struct(F.coalesce(scanned(body), F.lit("")).alias("html"), lower_headers(headers).alias("lowered"))
-    return js.let(names, lambda x: js.let(F.struct(x["html"].alias("html"), x["lowered"].alias("lowered"), cookie_names(x["lowered"]).alias("cookies")), of))
+    return js.let(names, lambda x: js.let(F.struct(x["html"].alias("html"), F.lower(x["html"]).alias("low"), x["lowered"].alias("lowered"), cookie_names(x["lowered"]).alias("cookies")), of))
 
 
 def _any_matches(values: Column, pattern: str) -> Column:
@@ -160,10 +177,13 @@ def _any_matches(values: Column, pattern: str) -> Column:
 
 
 def _slug_of_word(word: Column) -> Column:
-    out = F.when(word.isin(*CMS_SLUGS), word)
-    for w, slug in GENERATOR_WORDS.items():
-        out = out.when(word == w, F.lit(slug))
-    return out
+    def of(word: Column) -> Column:
+        out = F.when(word.isin(*CMS_SLUGS), word)
+        for w, slug in GENERATOR_WORDS.items():
+            out = out.when(word == w, F.lit(slug))
+        return out
+
+    return js.let(word, of)
 
 
 def _first_word(c: Column) -> Column:
@@ -274,7 +294,7 @@ def parking(body: Column, headers: Column) -> Column:
     signals = F.array_compact(
         F.array(
             F.when(F.length(html) < SMALL_BODY_CHARS, F.lit("small-body")),
-            F.when(title(html).rlike(PARKING_TITLE) | html.rlike(PARKING_BODY), F.lit("parking-text")),
+            F.when(title(html).rlike(PARKING_TITLE) | (js.contains_any(F.lower(html), PARKING_PARTS) & html.rlike(PARKING_BODY)), F.lit("parking-text")),
             F.when(F.coalesce(header(lower_headers(headers), "server"), F.lit("")).rlike(PARKING_SERVER), F.lit("server-header")),
         )
     )

@@ -128,7 +128,8 @@ def company_name_in(text: Column) -> Column:
         return js.let(head, lambda h: F.when(F.length(h) >= 3, company_name(h)))
 
     labelled = finished(js.group(text, _LABELLED))
-    return F.coalesce(labelled, finished(js.group(F.regexp_replace(text, r"[ \t]+", " "), _NAME)))
+    has_form = text.rlike(js.S + "(?:" + "|".join(LEGAL_FORMS) + ")")
+    return F.coalesce(labelled, F.when(has_form, finished(js.group(F.regexp_replace(text, r"[ \t]+", " "), _NAME))))
 
 
 def validates(html: Column, name: Column, plz: Column, phone: Column) -> Column:

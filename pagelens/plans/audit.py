@@ -57,8 +57,8 @@ def audit_rows(candidates: DataFrame, inputs: Inputs, settings: Settings) -> Dat
     tier = score.tier(has_url, F.col("fetch_error"), F.lit(0), F.lit(0))
     intent = score.intent(tier, has_url, F.col("fetch_error"))
     verdict = F.when(F.col("body").isNotNull(), detect.parking(F.col("body"), F.col("headers"))["verdict"])
-    tier_now, intent_now = score.parked(tier, intent, verdict)
-    staged = tables.written(found.withColumns({"tier": tier_now, "intent_tier": intent_now}), "discovered")
+    tier_now, intent_now = score.parked(tier, intent, F.col("_verdict"))
+    staged = tables.written(found.withColumn("_verdict", verdict).withColumns({"tier": tier_now, "intent_tier": intent_now}).drop("_verdict"), "discovered")
 
     others = rows.empty_rows(staged.where("tier <> 'A'"), settings)
     live = joins.with_robots(staged.where("tier = 'A'"), _robots(inputs), "discovered_url")
