@@ -28,8 +28,23 @@ from . import text as X
 
 #: Texts of these characters only are split alike by both libraries, whatever their Unicode versions.
 _COMMON = regex.compile(r"[\x09\x0A\x0D\x20-\x7E¡-¬®-ɏͰ-ͳΆΈ-ϿА-я‐-‧‰-⁞€]*+")
-#: Beyond this many bytes without white space the rank library's merging is slow.
-_LONG_RUN = regex.compile(r"\S{2000}")
+#: From this many characters without white space on the rank library's merging is slow.
+LONG_RUN = 2000
+_SPACE = regex.compile(r"\s")
+
+
+def has_long_run(text: str) -> bool:
+    """Whether LONG_RUN characters in a row are no white space. Each look goes to a space as far ahead as a shorter run may reach; a pattern would count at every word."""
+    at = 0
+    while len(text) - at >= LONG_RUN:
+        space = text.rfind(" ", at, at + LONG_RUN)
+        if space < 0:
+            found = _SPACE.search(text, at, at + LONG_RUN)
+            if not found:
+                return True
+            space = found.start()
+        at = space + 1
+    return False
 
 
 class Encoder:
@@ -58,7 +73,7 @@ class Encoder:
         return self._exact
 
     def __call__(self, text: str) -> list[int]:
-        if self.fast and _COMMON.fullmatch(text) and not any(s in text for s in self.special) and not _LONG_RUN.search(text):
+        if self.fast and _COMMON.fullmatch(text) and not any(s in text for s in self.special) and not has_long_run(text):
             return self.fast.encode_ordinary(text)
         return self.exact.encode(text, add_special_tokens=False).ids
 

@@ -1,3 +1,6 @@
+import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -62,3 +65,18 @@ def test_repeated_rows_and_null_keys(spark):
     got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string, start long"), length=4).collect()
     assert sorted({(p.sequence_id, p.offset + i) for p in got for i in range(p.length)}) == [(i // 4, i % 4) for i in range(sum(p.length for p in got))]
     assert sum(p.start == 0 for p in got) == len(rows)
+
+
+def test_long_runs_are_found_as_by_a_pattern_and_cheaply():
+    r = random.Random(9)
+    run = re.compile(r"\S{2000}")
+    texts = ["", "a" * 1999, "a" * 2000, " " + "a" * 2000, "a" * 1999 + " " + "b" * 1999, "a" * 1999 + "\t" + "b" * 2000, "x\n" * 3000, "a " * 900 + "b" * 2000 + " c", " " * 5000, "\n".join("y" * 1990 for _ in range(4))]
+    texts += ["".join(r.choice([" ", "\n", "\t", "z" * r.choice([1, 600, 1400])]) for _ in range(30)) for _ in range(300)]
+    assert [packing.has_long_run(t) for t in texts] == [bool(run.search(t)) for t in texts]
+    prose = " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(2, 9))) for _ in range(200_000))
+    encode = packing.encoder(*packing.default_paths())
+    began = time.process_time()
+    encode.fast.encode_ordinary(prose)
+    coded = time.process_time()
+    assert not packing.has_long_run(prose)
+    assert time.process_time() - coded < (coded - began) / 10
