@@ -249,9 +249,10 @@ def _classes(docs: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
     wanted = loose.join(nodes.select("node", "head.id", "head.th", "signature"), "node")
     wanted = shared.written(wanted.select("node", "id", "th", "signature"), "wanted")
     texts = groups.filtered(docs.select("id", "th", "text"), "th", groups.key_filter(wanted.select("th")), True)  # other texts aren't shuffled
-    full = shared.written(_members(texts.join(wanted.hint("merge"), ["id", "th"]), params).dropDuplicates(["node"]), "sets")
+    once = texts.join(wanted.hint("merge"), ["id", "th"]).dropDuplicates(["id", "th"])  # repeated rows go where the join has put them, before they are sets
+    full = shared.written(_members(once, params), "sets")
     members = loose.join(nodes.select("node", "n_shingles"), "node").select(F.col("component").alias("group"), "node", F.col("n_shingles").alias("weight"))
-    links = groups.forest(members, full, _confirm(params.percent, params.least_estimate), BLOCK_ROWS, BLOCK_SHINGLES, rounds=2)
+    links = groups.forest(members, full, _confirm(params.percent, params.least_estimate), BLOCK_ROWS, BLOCK_SHINGLES, rounds=2, wide=True)
     found = shared.written(groups.components(links), "classes")
 
     of = nodes.select("node", "least", "keep").join(found, "node", "left").withColumn("class", F.coalesce("component", "node"))

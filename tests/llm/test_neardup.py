@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from cases import BASE, SCHEMA, documents, lower_ascii, prose, space_words
 
-from pagelens.llm import neardup, queries
+from pagelens.llm import groups, neardup, queries
 
 
 def edited(base, n, seed):
@@ -76,3 +76,35 @@ def test_query(spark, tmp_path):
     want = expected(rows, 3, 85)
     for r in queries.op4_minhash(spark, str(tmp_path)).collect():
         assert (r.n_shingles, r.component_id, r.kept) == (*want[r.doc_id], r.doc_id == want[r.doc_id][1])
+
+
+def test_repeated_rows_are_one_set_and_later_rounds_shuffle_large_groups_only(spark, monkeypatch):
+    r = random.Random(8)
+    words = lambda n: ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(n)]
+    rows, at = [], 0
+    for size in (40, 3, 3, 3):  # near copies: one class beyond the bound of a block, three small ones
+        base = words(60)
+        for i in range(size):
+            rows.append((at, " ".join([*base[:58], f"end{i}"])))
+            at += 1
+    made, sent = [], []
+    members, filtered = neardup._members, groups.filtered
+
+    def counted(docs, p):
+        made.append(docs.count())
+        return members(docs, p)
+
+    def seen(df, key, bits, member):
+        out = filtered(df, key, bits, member)
+        if "members" in df.columns:
+            sent.append((df.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(neardup, "_members", counted)
+    monkeypatch.setattr(groups, "filtered", seen)
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 16)
+    docs = spark.createDataFrame(rows * 5, "doc_id long, text string").repartition(3)
+    got = {x.doc_id: x.component_id for x in neardup.classes(docs, params=neardup.Params(3, 85)).collect()}
+    assert got == {i: 0 if i < 40 else 40 + (i - 40) // 3 * 3 for i in range(at)}
+    assert made == [at]
+    assert [(a, 40 <= b < a) for a, b in sent] == [(at, True)]
