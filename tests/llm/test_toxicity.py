@@ -85,3 +85,28 @@ def test_repeated_rows_in_any_order_give_one_network(spark, tables):
         nets.append(pickle.dumps(net.__dict__))
     once = toxicity.train(spark.createDataFrame(sorted(set(docs), key=repr), "doc_id long, text string"), labels, max_rows=50)
     assert nets[0] == nets[1] == nets[2] == pickle.dumps(once.__dict__)
+
+
+def test_every_labelled_row_counts(spark):
+    r = random.Random(6)
+    rude = ["q" + "".join(r.choice("uvwxyz") for _ in range(6)) for _ in range(40)]  # each in a few rows only: a draw of 60 rows misses most
+    plain = lambda: ["".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(12)]
+    rows = [(i, " ".join([*plain(), rude[i // 2 % 40], *plain()] if i % 2 else plain() + plain()), i % 2) for i in range(1200)]
+    docs = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    net = toxicity.train(docs, labels, max_rows=60)
+    new = spark.createDataFrame([(i, " ".join([*plain(), rude[i], *plain()])) for i in range(40)], "doc_id long, text string")
+    assert sum(x.score >= 0.5 for x in toxicity.score(new, net).collect()) >= 38
+    words = toxicity.features(next(X.chunked(pa.array(rude)))).word
+    assert (net.word[words, 0] > 1).sum() >= 38
+
+
+def test_thresholds_are_the_best_steps():
+    r = np.random.default_rng(2)
+    y = r.integers(0, 2, 500)
+    logit = r.normal(2.0 * y, 1.0)
+    counts = np.zeros((2, 2 * toxicity._MOST * toxicity._STEPS), np.int64)
+    np.add.at(counts, (y, np.floor(toxicity._STEPS * (logit + toxicity._MOST)).astype(int)), 1)
+    f1 = lambda at: 2 * (y[logit >= at].sum()) / ((logit >= at).sum() + y.sum())
+    assert f1(toxicity._threshold(counts)) >= max(map(f1, logit)) - 0.01
+    assert toxicity._threshold(counts * [[0], [1]]) == 0.0
