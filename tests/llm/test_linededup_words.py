@@ -50,3 +50,23 @@ def test_tokens_are_words(spark, monkeypatch, block, small):
     want = expected(rows)
     assert got == want
     assert footer.format("friday") not in "\n".join(got.values())
+
+
+def test_the_survey_passes_over_its_table_once_for_many_small_batches(monkeypatch):
+    """Counts are those of all batches together, and few batches don't each cost a pass over all buckets."""
+    import numpy as np
+    import pyarrow as pa
+
+    from pagelens.llm import linededup
+
+    class Docs:
+        def mapInArrow(self, run, schema):
+            return run
+
+    passes, whole = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a, minlength=0, **k: (passes.append(minlength), whole(*a, minlength=minlength, **k))[1])
+    texts = [f"a b c{i}\nb " + "x" * (300 + i) for i in range(20)]
+    batches = [pa.record_batch([pa.array([i]), pa.array([i]), pa.array([t])], names=["id", "th", "text"]) for i, t in enumerate(texts)]
+    out = list(linededup.survey(Docs())(iter(batches)))
+    assert sum(np.frombuffer(x, np.int64).sum() for x in out[-1].column("counts").to_pylist()) == 100
+    assert passes.count(linededup.RARITY_BUCKETS) == 1
